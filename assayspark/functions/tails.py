@@ -13,16 +13,13 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-_erfc = np.frompyfunc(math.erfc, 1, 1)
-_lgamma = np.frompyfunc(math.lgamma, 1, 1)
-
 
 def normal_sf(x: np.ndarray) -> np.ndarray:
-    return 0.5 * _erfc(np.asarray(x, float) / math.sqrt(2)).astype(float)
+    return 0.5 * np.frompyfunc(math.erfc, 1, 1)(np.asarray(x, float) / math.sqrt(2)).astype(float)
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
-    return _lgamma(np.asarray(x, float)).astype(float)
+    return np.frompyfunc(math.lgamma, 1, 1)(np.asarray(x, float)).astype(float)
 
 
 def beta_regularised(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
