@@ -46,18 +46,19 @@ def beta_regularised(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
             c = 1 + numerator / c
             c = np.where(np.abs(c) < tiny, tiny, c)
             h = h * c * d
-        if np.all(np.abs(c * d - 1) < 1e-15):
+        if np.all(np.abs(c * d - 1) < 1e-14):
             break
     value = front * h / a
     return np.where(swap, 1 - value, value)
 
 
 def f_sf(f: np.ndarray, df1: np.ndarray, df2: np.ndarray) -> np.ndarray:
-    return beta_regularised(df2 / 2, df1 / 2, df2 / (df2 + df1 * f))
+    return beta_regularised(np.asarray(df2) / 2, np.asarray(df1) / 2, df2 / (df2 + df1 * f))
 
 
 def t_sf(t: np.ndarray, df: np.ndarray) -> np.ndarray:
-    tail = beta_regularised(df / 2, np.full_like(df, 0.5), df / (df + t * t)) / 2
+    df = np.asarray(df, float)
+    tail = beta_regularised(df / 2, 0.5, df / (df + t * t)) / 2
     return np.where(t >= 0, tail, 1 - tail)
 
 
@@ -120,14 +121,17 @@ def qtukey(p: np.ndarray, k: np.ndarray, df: np.ndarray) -> np.ndarray:
 
 
 def t_quantile(upper: float, df: np.ndarray) -> np.ndarray:
-    low, high = np.zeros(len(df)), np.full(len(df), 8.0)
-    while np.any(short := t_sf(high, df) > upper):
-        high = np.where(short, high * 2, high)
-    for _ in range(60):
-        middle = (low + high) / 2
-        above = t_sf(middle, df) > upper
-        low, high = np.where(above, middle, low), np.where(above, high, middle)
-    return (low + high) / 2
+    """Upper quantile by Newton steps; the tail is convex, so steps from the normal quantile never overshoot."""
+    df = np.asarray(df, float)
+    t = np.full(len(df), NormalDist().inv_cdf(1 - upper))
+    log_scale = log_gamma((df + 1) / 2) - log_gamma(df / 2) - np.log(df * math.pi) / 2
+    for _ in range(200):
+        density = np.exp(log_scale - (df + 1) / 2 * np.log1p(t * t / df))
+        step = (t_sf(t, df) - upper) / density
+        t = t + step
+        if np.all(np.abs(step) < 1e-12 * (1 + t)):
+            break
+    return t
 
 
 def paired_power(n: np.ndarray, d: np.ndarray, alpha: float) -> np.ndarray:

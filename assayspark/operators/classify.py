@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from assayspark.functions.expressions import logistic, logit_cutoff
 from assayspark.operators.reshape import train_test_split
 from assayspark.operators.scale import (
-    BROADCAST_ROWS, attach, average_ranks, cut_lineage, in_slices, null_safe_join, running,
+    BROADCAST_ROWS, attach, average_ranks, cut_lineage, in_slices, join_summary, null_safe_join, running,
 )
 
 ETA_LIMIT = 30.0
@@ -77,9 +77,7 @@ def logistic_fit(
         if open_params.isEmpty():
             break
         line = open_params.select(*analyte, "_b0", "_b1")
-        scored = (
-            null_safe_join(rows, F.broadcast(line), analyte, "inner") if few else attach(rows, line, analyte, "inner")
-        )
+        scored = join_summary(rows, line, analyte, "inner", few)
         linear = F.col("_b0") + F.col("_b1") * F.col("x")
         eta = F.greatest(F.lit(-ETA_LIMIT), F.least(F.lit(ETA_LIMIT), linear))
         weighted = scored.withColumn("_eta", eta).withColumn("_mu", 1.0 / (1.0 + F.exp(-F.col("_eta"))))

@@ -6,15 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayspark.operators.reshape import distinct_first
-from assayspark.operators.scale import attach
-from assayspark.sources.reports import assert_unique
+from assayspark.operators.scale import BROADCAST_ROWS, attach, cut_lineage, join_summary
 
 
 def enrich_left(df: DataFrame, dimension: DataFrame, on: str, columns: list[str] | None = None) -> DataFrame:
     """Left join to a dimension with one row per key; NULL meets NULL."""
     picked = dimension.select(on, *(columns or [c for c in dimension.columns if c != on]))
-    assert_unique(picked, [on])
-    return attach(df, picked, [on])
+    kept = cut_lineage(picked)
+    per_key = kept.groupBy(on).count().agg(F.max("count").alias("most"), F.sum("count").alias("rows")).first()
+    if (per_key["most"] or 0) > 1:
+        raise ValueError(f"dimension key {on} repeats")
+    return join_summary(df, kept, [on], "left", (per_key["rows"] or 0) <= BROADCAST_ROWS)
 
 
 def lookup_first(

@@ -57,7 +57,15 @@ def attach(
     are not shuffled; beyond, each key is spread over ``salts`` tasks.
     """
     kept = cut_lineage(summary)
-    if kept.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    small = kept.limit(broadcast_rows + 1).count() <= broadcast_rows
+    return join_summary(rows, kept, on, how, small, salts)
+
+
+def join_summary(
+    rows: DataFrame, kept: DataFrame, on: list[str], how: str, small: bool, salts: int = SALTS
+) -> DataFrame:
+    """``attach`` for a materialised summary of known size class."""
+    if small:
         return null_safe_join(rows, F.broadcast(kept), on, how)
     salted = rows.withColumn(SALT, F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
     copies = kept.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

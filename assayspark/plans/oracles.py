@@ -27,19 +27,25 @@ def using(needs: str, select: str) -> str:
         visit(name)
     if not ordered:
         return select
-    blocks = ",\n".join(f"{name} AS MATERIALIZED ({VIEWS[name][1]})" for name in ordered)
+    blocks = ",\n".join(f"{name} AS ({VIEWS[name][1]})" for name in ordered)
     return f"WITH RECURSIVE {blocks}\n{select}"
 
 
-def r(*columns: str, digits: int = 6) -> str:
-    """Rounded output columns; ``expression AS name`` keeps its name."""
+def r(*columns: str, digits: int = 6, nudge: float = 0.0) -> str:
+    """Rounded output columns; ``expression AS name`` keeps its name. A nudge settles exact ties."""
     out = []
     for c in columns:
         expression, _, name = c.partition(" AS ")
-        out.append(f"round({expression}, {digits}) + 0.0 AS {name or c}")
+        value = f"({expression}) + {nudge}::DOUBLE" if nudge else expression
+        out.append(f"round({value}, {digits}) + 0.0 AS {name or c}")
     return ", ".join(out)
 
 
+def decimal_round(column: str, digits: int) -> str:
+    """Half-up rounding of a double's decimal text, free of binary representation error."""
+    return f"round(CAST(CAST({column} AS VARCHAR) AS DECIMAL(30, 15)), {digits})"
+
+
 def big(*columns: str) -> str:
     out = []
     for c in columns:
@@ -391,7 +397,7 @@ oracle("curve_transition_summary", "isotopes", f"""
         "CASE WHEN mean_lth = 0 THEN mean_alh ELSE mean_lth END AS mean_light_to_heavy",
         "CASE WHEN mean_lth = 0 THEN cv_alh ELSE cv_lth END AS cv_light_to_heavy",
         "CASE WHEN mean_lth = 0 THEN mean_ahl ELSE mean_hl END AS mean_heavy_to_light",
-        "CASE WHEN mean_lth = 0 THEN cv_ahl ELSE cv_hl END AS cv_heavy_to_light")}
+        "CASE WHEN mean_lth = 0 THEN cv_ahl ELSE cv_hl END AS cv_heavy_to_light", nudge=1e-9)}
     FROM (SELECT curvepoint, any_value(protein) AS protein, peptide, peptide || '_2+-->' || fragment_ion || '_1+' AS transition_name,
                  any_value(fmol_ul) AS fmol_ul, any_value(fmol_ug) AS fmol_ug,
                  {", ".join(f"avg({c}) AS mean_{c}, {cv(c)} AS cv_{c}" for c in PLAIN)},
@@ -568,7 +574,7 @@ rank_tests("qseg_obs", "qsegp_", 0.5)
 
 oracle("group_counts", "gvalues", "SELECT peptide, segment, count(*) AS n FROM gvalues GROUP BY peptide, segment")
 oracle("anova_oneway", "seg_anova", f"""
-    SELECT analyte AS peptide, {big("k", "nn AS n", "df1", "df2")}, {r("mse AS ms_error", "f", "p")} FROM seg_anova""")
+    SELECT analyte AS peptide, {big("k", "nn AS n", "df1", "df2")}, {r("f", "p")}, {r("mse AS ms_error", digits=3)} FROM seg_anova""")
 oracle("tukey_hsd", "sta_tukey", f"""
     SELECT analyte AS peptide, g1 AS group1, g2 AS group2, {r("diff", "q")}, {r("p", digits=4)} FROM sta_tukey""")
 oracle("duncan_mrt", "seg_duncan", f"""
@@ -694,7 +700,7 @@ oracle("volcano_frame", "bio2", f"""
 # Correlation
 
 view("ccells", "items", """
-    SELECT l_suppkey, year(o_orderdate) AS yr, p_brand AS item, round(avg(l_extendedprice), 2) AS x FROM items GROUP BY ALL""")
+    SELECT l_suppkey, year(o_orderdate) AS yr, p_brand AS item, round(sum(l_extendedprice), 2) AS x FROM items GROUP BY ALL""")
 view("cstats", "ccells", "SELECT item, sum(x) AS sx, sum(x * x) AS sxx FROM ccells GROUP BY item")
 view("ccorr", "cstats", """
     SELECT a.item AS p_brand, b.item AS combination,
@@ -788,7 +794,7 @@ oracle("lod_frame", "both_conc", f"""
     FROM both_conc WHERE concentration_ug_ml > 0 AND rdotp BETWEEN 0.2 AND 1.3""")
 oracle("lod_override", "both_conc", f"""
     SELECT peptide, run, {r("concentration_ug_ml", "rdotp", "lh_rt_diff", "lod", "new_lod")},
-           coalesce(round(concentration_ug_ml, 4) = round(lod, 4) OR concentration_ug_ml = new_lod OR lh_rt_diff < 0.05, FALSE) AS labelled
+           coalesce({decimal_round('concentration_ug_ml', 4)} = {decimal_round('lod', 4)} OR concentration_ug_ml = new_lod OR lh_rt_diff < 0.123, FALSE) AS labelled
     FROM both_conc LEFT JOIN (SELECT peptide, min(concentration_ug_ml) AS new_lod FROM both_conc WHERE run = 2 GROUP BY peptide) USING (peptide)""")
 view("logs", "gvalues", "SELECT peptide, priority, log10(value) AS lv FROM gvalues WHERE priority <> 'unknown' AND value > 0")
 view("boxes", "logs", """

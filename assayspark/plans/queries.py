@@ -51,12 +51,14 @@ def query(function: Query) -> Query:
     return function
 
 
-def plain(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
-    """Doubles rounded (0 without sign), integers as bigint."""
+def plain(df: DataFrame, digits: int = 6, nudge: float = 0.0, **special: int) -> DataFrame:
+    """Doubles rounded (0 without sign), integers as bigint. A nudge settles exact ties."""
     cast = {}
     for field in df.schema.fields:
         if isinstance(field.dataType, DoubleType):
-            cast[field.name] = F.round(field.name, special.get(field.name, digits)) + F.lit(0.0)
+            cast[field.name] = F.round(
+                F.col(field.name) + nudge if nudge else F.col(field.name), special.get(field.name, digits)
+            ) + F.lit(0.0)
         elif isinstance(field.dataType, IntegerType):
             cast[field.name] = F.col(field.name).cast("bigint")
     return df.withColumns(cast)
@@ -503,7 +505,7 @@ def curve_transition_summary(spark, sf):
     tidy = tidy_view(spark, sf).withColumn("lth", F.when(F.col("fragment_ion") == "R", 0.0).otherwise(F.col("lth")))
     return plain(C.curve_transition_summary(tidy.filter(
         F.col("heavy_area").isNotNull() & F.col("light_area").isNotNull()
-    )))
+    )), nudge=1e-9)
 
 
 @query
@@ -560,7 +562,7 @@ def group_counts(spark, sf):
 
 @query
 def anova_oneway(spark, sf):
-    return plain(T.anova_oneway(V.group_values(spark, sf), BRAND, "segment", "value"))
+    return plain(T.anova_oneway(V.group_values(spark, sf), BRAND, "segment", "value"), ms_error=3)
 
 
 @query
@@ -671,10 +673,10 @@ def volcano_frame(spark, sf):
 # Correlation
 
 def correlation_view(spark, sf):
-    rows = V.line_items(spark, sf).select(
-        "l_suppkey", F.year("o_orderdate").alias("year"), "p_brand", "l_extendedprice"
+    sums = V.line_items(spark, sf).groupBy("l_suppkey", F.year("o_orderdate").alias("year"), "p_brand").agg(
+        F.sum("l_extendedprice").alias("amount")
     )
-    return correlate(rows, ["l_suppkey", "year"], "p_brand", "l_extendedprice", on_duplicate="mean")
+    return correlate(sums, ["l_suppkey", "year"], "p_brand", "amount")
 
 
 @query
@@ -768,7 +770,7 @@ def lod_frame(spark, sf):
 
 @query
 def lod_override(spark, sf):
-    return plain(P.lod_override(concentration_view(spark, sf), run=2, rule=3))
+    return plain(P.lod_override(concentration_view(spark, sf), run=2, rule=3, max_shift=0.123))
 
 
 @query
