@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayspark.functions.aggregates import sd
@@ -14,12 +14,15 @@ from assayspark.operators.scale import attach, cut_lineage
 VALUE = "concentration_ug_ml"
 
 
+def _strict_min(value: str) -> Column:
+    return F.when(F.count(value) == F.count(F.lit(1)), F.min(value))
+
+
 def ratio_to_group_min(df: DataFrame, group: list[str], value: str = VALUE, out: str = "concentration_r") -> DataFrame:
     """Value over the smallest value of its group; NULL if the group has a NULL."""
-    lowest = df.groupBy(*group).agg(
-        F.when(F.count(value) == F.count(F.lit(1)), F.min(value)).alias("_lowest")
-    )
-    return attach(df, lowest, group).withColumn(out, F.try_divide(F.col(value), F.col("_lowest"))).drop("_lowest")
+    lowest = df.groupBy(*group).agg(_strict_min(value).alias("_lowest"), F.count(F.lit(1)).alias("_rows_of_key"))
+    joined = attach(df, lowest, group, rows_per_key="_rows_of_key")
+    return joined.withColumn(out, F.try_divide(F.col(value), F.col("_lowest"))).drop("_lowest")
 
 
 def longitudinal(
@@ -30,12 +33,18 @@ def longitudinal(
     """
     first = distinct_first(df, [subject, *analyte, timepoint], order_by)
     floored = cut_lineage(first.withColumn(value, floor_zero(F.col(value))))
-    kept = cut_lineage(complete_subjects(floored, subject, analyte))
-    related = ratio_to_group_min(kept, [subject, *analyte], value)
-    total = kept.groupBy(*analyte).agg(sd(value).alias("total_sd"))
-    within = kept.groupBy(subject, *analyte).agg(sd(value).alias("group_sd"))
-    described = attach(attach(related, total, analyte), within, [subject, *analyte])
-    return described.withColumn("sdr", F.try_divide(F.col("group_sd"), F.col("total_sd")))
+    kept = complete_subjects(floored, subject, analyte)
+    rows = F.count(F.lit(1)).alias("_rows_of_key")
+    total = kept.groupBy(*analyte).agg(sd(value).alias("total_sd"), rows)
+    within = kept.groupBy(subject, *analyte).agg(sd(value).alias("group_sd"), _strict_min(value).alias("_lowest"), rows)
+    described = attach(
+        attach(kept, total, analyte, rows_per_key="_rows_of_key"),
+        within, [subject, *analyte], rows_per_key="_rows_of_key",
+    )
+    return described.withColumns({
+        "concentration_r": F.try_divide(F.col(value), F.col("_lowest")),
+        "sdr": F.try_divide(F.col("group_sd"), F.col("total_sd")),
+    }).drop("_lowest")
 
 
 def sd_ratio(longit: DataFrame, subject: str, analyte: list[str]) -> DataFrame:

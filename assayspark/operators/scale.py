@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
 SALTS = 32
+HEAVY_KEYS = 1000
 SLICE = "_slice"
 SALT = "_salt"
 
@@ -48,27 +49,40 @@ def attach(
     summary: DataFrame,
     on: list[str],
     how: str = "left",
+    rows_per_key: str | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join at most one summary row per key to the rows, whatever the size of a key.
 
     The summary is materialised and counted. Up to ``broadcast_rows`` it is broadcast, so the rows
-    are not shuffled; beyond, each key is spread over ``salts`` tasks.
+    are not shuffled; beyond, the most frequent keys are salted. ``rows_per_key`` names a summary
+    column with the key's row count, which saves counting them; it does not reach the result.
     """
     kept = cut_lineage(summary)
     small = kept.limit(broadcast_rows + 1).count() <= broadcast_rows
-    return join_summary(rows, kept, on, how, small, salts)
+    return join_summary(rows, kept, on, how, small, rows_per_key)
 
 
 def join_summary(
-    rows: DataFrame, kept: DataFrame, on: list[str], how: str, small: bool, salts: int = SALTS
+    rows: DataFrame, kept: DataFrame, on: list[str], how: str, small: bool, rows_per_key: str | None = None
 ) -> DataFrame:
     """``attach`` for a materialised summary of known size class."""
+    wanted = kept.drop(rows_per_key) if rows_per_key else kept
     if small:
-        return null_safe_join(rows, F.broadcast(kept), on, how)
-    salted = rows.withColumn(SALT, F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
-    copies = kept.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        return null_safe_join(rows, F.broadcast(wanted), on, how)
+    if rows_per_key:
+        counts = kept.select(*on, F.col(rows_per_key).alias("_rows"))
+    else:
+        counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    heavy = cut_lineage(counts.orderBy(F.desc("_rows")).limit(HEAVY_KEYS).select(*on, F.lit(True).alias("_heavy")))
+    drawn = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
+    salted = null_safe_join(rows, F.broadcast(heavy), on).withColumn(
+        SALT, F.when(F.col("_heavy"), drawn).otherwise(0)
+    ).drop("_heavy")
+    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    copies = null_safe_join(wanted, F.broadcast(heavy), on).withColumn(
+        SALT, F.explode(F.when(F.col("_heavy"), every).otherwise(F.array(F.lit(0))))
+    ).drop("_heavy")
     return null_safe_join(salted, copies, [*on, SALT], how).drop(SALT)
 
 
