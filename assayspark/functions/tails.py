@@ -15,11 +15,11 @@ from pyspark.sql.types import DoubleType
 
 
 def normal_sf(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.frompyfunc(math.erfc, 1, 1)(np.asarray(x, float) / math.sqrt(2)).astype(float)
+    return 0.5 * np.asarray(np.frompyfunc(math.erfc, 1, 1)(np.asarray(x, float) / math.sqrt(2)), float)
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
-    return np.frompyfunc(math.lgamma, 1, 1)(np.asarray(x, float)).astype(float)
+    return np.asarray(np.frompyfunc(math.lgamma, 1, 1)(np.asarray(x, float)), float)
 
 
 def beta_regularised(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Mapping
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,21 +21,27 @@ SLICE = "_slice"
 SALT = "_salt"
 
 
-def _checkpoint_dir(spark: SparkSession) -> str:
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="assayspark-")
-    raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's folder under the cluster's shared checkpoint folder."""
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not shared:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="assayspark-"))
+        shared = context.getCheckpointDir()
+    return f"{shared.rstrip('/')}/assayspark-{context.applicationId}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the cluster's shared folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(_checkpoint_dir(df.sparkSession))
-    return df.checkpoint()
+    """The same rows read back from a table in the shared folder.
+
+    Later stages start from files, so they survive a lost executor, know the true size and read only
+    the columns they need. Iterations stay cheap to plan, as a plain table carries no constraints.
+    """
+    path = f"{scratch_folder(df.sparkSession)}/{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
@@ -90,7 +97,7 @@ def in_slices(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Range-partition by key and order column and number the partitions.
 
     The order column is part of the range key, so a hot key spreads over many slices. Sampled range
-    bounds may differ between two runs, hence the checkpoint: every reader sees the same slices.
+    bounds may differ between two runs, hence the written table: every reader sees the same slices.
     """
     ranged = df.repartitionByRange(*keys, *order).withColumn(SLICE, F.spark_partition_id())
     return cut_lineage(ranged)
