@@ -25,7 +25,7 @@ def skewed(spark, rows=4000):
     data = []
     for i in range(rows):
         key = "hot" if i % 2 else f"k{i % 9}"
-        data.append((key, 1.0 if key == "hot" and i % 3 == 0 else round(rng.random() * 50, 1), f"g{i % 3}"))
+        data.append((key, 1.0 if key == "hot" and i % 3 == 0 else round(rng.random() * 50, 3 if key == "hot" else 1), f"g{i % 3}"))
     return data, spark.createDataFrame(data, "key string, v double, g string")
 
 
