@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayspark.operators.scale import cut_lineage, null_safe_join, scratch_folder
+from assayspark.operators import scale
+from assayspark.operators.scale import null_safe_join, scratch_folder
 
 __all__ = ["ascii_lower", "components", "cut_lineage", "join_small", "null_safe_join", "scratch_folder", "table",
            "words"]
@@ -41,6 +42,17 @@ def join_small(rows: DataFrame, small: DataFrame, on: list[str], how: str = "lef
     return null_safe_join(rows, F.broadcast(small) if fits else small, on, how)
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The rows as a written table in the shared folder; the shuffle files behind it go when it is complete."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        return scale.cut_lineage(df)
+    finally:
+        conf.set(key, before)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Label of each linked node: (node, component), component being the smallest node reachable.
 
