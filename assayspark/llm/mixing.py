@@ -2,8 +2,8 @@
 
 Every source gets a target in words. All its documents are taken ``whole`` times for certain; the
 rest of the target is filled with documents in the order of their Pareto rank, the odds of a uniform
-draw divided by the odds of inclusion, up to the document whose middle lies at the target. The
-cut is kept as one rank per source, so texts are neither sorted nor shuffled.
+draw divided by the odds of inclusion, as far as the target allows, and the gap below it with documents
+that fit in. The cuts are kept as a few ranks per source, so texts are neither sorted nor shuffled.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from assayspark.operators.scale import in_slices, running
 WORD = BLANKS.replace("[", "[^", 1)
 MOST_COPIES = 3
 SOURCE_BYTES = 256
+ROUNDS = 4
 
 
 def word_count(text: Column) -> Column:
@@ -62,7 +63,12 @@ def mix_plan(
     docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.0, seed: int = 7,
     favour: Column | None = None,
 ) -> DataFrame:
-    """One row per source: source_size, target, whole copies of every document, and the rank of the cut."""
+    """One row per source: source_size, target, whole copies of every document, and the cuts of the drawn ones.
+
+    A document is drawn if for one of the ROUNDS its size is at most the limit and its rank at most the cut.
+    The first round has no limit; each later one fills the gap that the one before left below the target, with
+    documents that fit in.
+    """
     sized = docs.select(F.col("source"), word_count(F.col("text")).alias("size"), _draw(seed).alias("draw"),
                         _favour(favour).alias("favour"))
     kept = cut_lineage(sized)
@@ -71,17 +77,28 @@ def mix_plan(
     plan = cut_lineage(targets.withColumn("whole", F.floor(ratio)).withColumns({
         "part": ratio - F.col("whole"),
         "rest": F.col("target") - F.col("whole") * F.col("source_size"),
+        "limits": F.array().cast("array<double>"), "cuts": F.array().cast("array<double>"),
     }))
-    ranked = join_small(kept, plan.select("source", "part", "rest"), ["source"], "inner", SOURCE_BYTES)
-    ranked = ranked.filter(F.col("rest") > 0).withColumn("rank", pareto_rank(F.col("draw"), F.col("part"), F.col("favour")))
-    filled = running(
-        in_slices(ranked.select("source", "rest", "rank", "size"), ["source"], ["rank", "size"]),
-        ["source"], ["rank", "size"], sums={"upto": "size"},
-    )
-    cuts = filled.filter(F.col("upto") - F.col("size") / 2 <= F.col("rest")).groupBy("source").agg(
-        F.max("rank").alias("cut")
-    )
-    return cut_lineage(null_safe_join(plan, cuts, ["source"]))
+    ranked = join_small(kept, plan.select("source", "part"), ["source"], "inner", SOURCE_BYTES).filter("size > 0")
+    ranked = ranked.withColumn("rank", pareto_rank(F.col("draw"), F.col("part"), F.col("favour")))
+    order = ["rank", "size"]
+    sliced = in_slices(ranked.filter(F.col("rank").isNotNull()).select("source", *order), ["source"], order)
+    for turn in range(ROUNDS):
+        limit = F.col("rest") if turn else F.lit(float("inf"))
+        beyond = F.coalesce(F.get("cuts", F.lit(turn - 1)), F.lit(-1.0)) if turn else F.lit(-1.0)
+        open_ = plan.select("source", F.col("rest").alias("_rest"), limit.alias("_limit"), beyond.alias("_beyond"))
+        fitting = join_small(sliced, open_, ["source"], "inner", SOURCE_BYTES).filter(
+            (F.col("size") <= F.col("_limit")) & (F.col("rank") > F.col("_beyond"))
+        )
+        filled = running(fitting, ["source"], order, sums={"upto": "size"}).filter(F.col("upto") <= F.col("_rest"))
+        got = filled.groupBy("source").agg(F.max("rank").alias("_cut"), F.max("upto").alias("_got"))
+        cut = F.coalesce("_cut", beyond)
+        plan = cut_lineage(null_safe_join(plan, got, ["source"]).select(
+            "source", "source_size", "target", "whole", "part",
+            (F.col("rest") - F.coalesce("_got", F.lit(0))).alias("rest"),
+            F.array_append("limits", limit).alias("limits"), F.array_append("cuts", cut).alias("cuts"),
+        ))
+    return plan
 
 
 def pareto_rank(draw: Column, part: Column, favour: Column) -> Column:
@@ -103,13 +120,16 @@ def mix(
     """
     plan = mix_plan(docs, weights, share, seed, favour).select(
         F.col("source"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"),
-        F.col("whole").alias("_whole"), F.col("part").alias("_part"), F.col("cut").alias("_cut"),
+        F.col("whole").alias("_whole"), F.col("part").alias("_part"), F.arrays_zip("limits", "cuts").alias("_cuts"),
     )
     rows = docs.withColumns({"mix_size": word_count(F.col("text")), "_draw": _draw(seed), "_favour": _favour(favour)})
     joined = join_small(rows, plan, ["source"], "left", SOURCE_BYTES)
-    drawn = pareto_rank(F.col("_draw"), F.col("_part"), F.col("_favour")) <= F.col("_cut")
+    rank = pareto_rank(F.col("_draw"), F.col("_part"), F.col("_favour"))
+    drawn = (F.col("mix_size") > 0) & F.exists(
+        "_cuts", lambda c: (F.col("mix_size") <= c["limits"]) & (rank <= c["cuts"])
+    )
     copies = F.col("_whole") + F.coalesce(drawn, F.lit(False)).cast("long")
-    return joined.withColumn("mix_copies", copies).drop("_draw", "_favour", "_whole", "_part", "_cut")
+    return joined.withColumn("mix_copies", copies).drop("_draw", "_favour", "_whole", "_part", "_cuts")
 
 
 def repeat_rows(mixed: DataFrame) -> DataFrame:
