@@ -67,7 +67,7 @@ def mix_plan(
 
     A document is drawn if for one of the ROUNDS its size is at most the limit and its rank at most the cut.
     The first round has no limit; each later one fills the gap that the one before left below the target, with
-    documents that fit in.
+    documents that fit in. ``last`` is the rank of one more document, where that brings the sum nearer to the target.
     """
     sized = docs.select(F.col("source"), word_count(F.col("text")).alias("size"), _draw(seed).alias("draw"),
                         _favour(favour).alias("favour"))
@@ -98,7 +98,19 @@ def mix_plan(
             (F.col("rest") - F.coalesce("_got", F.lit(0))).alias("rest"),
             F.array_append("limits", limit).alias("limits"), F.array_append("cuts", cut).alias("cuts"),
         ))
-    return plan
+    rounds = plan.select("source", "rest", F.struct("limits", "cuts").alias("plan"))
+    left = join_small(sliced, rounds, ["source"], "inner", SOURCE_BYTES)
+    gap = F.abs(F.col("size") - F.col("rest"))
+    nearest = left.filter(~_drawn(F.col("size"), F.col("rank"), F.col("plan")) & (gap < F.col("rest"))).groupBy("source").agg(
+        F.min_by("rank", F.struct(gap, "rank")).alias("last")
+    )
+    return cut_lineage(null_safe_join(plan, nearest, ["source"]))
+
+
+def _drawn(size: Column, rank: Column, plan: Column) -> Column:
+    """Whether one of the plan's rounds takes a row."""
+    rounds = F.arrays_zip(plan["limits"].alias("limits"), plan["cuts"].alias("cuts"))
+    return F.exists(rounds, lambda c: (size <= c["limits"]) & (rank <= c["cuts"]))
 
 
 def pareto_rank(draw: Column, part: Column, favour: Column) -> Column:
@@ -111,7 +123,7 @@ def mix(
     docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.0, seed: int = 7,
     favour: Column | None = None,
 ) -> DataFrame:
-    """The documents with mix_size, mix_source_size, mix_target and mix_copies.
+    """The documents with mix_size, mix_source_size, mix_target and mix_copies; columns that begin with mix_ are replaced.
 
     ``favour`` is a positive column that multiplies a document's odds of inclusion; NULL or values
     that are not positive count as 1. A null source is a source of its own. A null or empty text has
@@ -119,17 +131,19 @@ def mix(
     source whose documents are all empty has target 0. No rows give no rows.
     """
     plan = mix_plan(docs, weights, share, seed, favour).select(
-        F.col("source"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"),
-        F.col("whole").alias("_whole"), F.col("part").alias("_part"), F.arrays_zip("limits", "cuts").alias("_cuts"),
+        F.col("source"), F.struct("source_size", "target", "whole", "part", "limits", "cuts", "last").alias("mix_plan")
     )
-    rows = docs.withColumns({"mix_size": word_count(F.col("text")), "_draw": _draw(seed), "_favour": _favour(favour)})
+    rows = docs.withColumns({"mix_size": word_count(F.col("text")), "mix_draw": _draw(seed), "mix_favour": _favour(favour)})
     joined = join_small(rows, plan, ["source"], "left", SOURCE_BYTES)
-    rank = pareto_rank(F.col("_draw"), F.col("_part"), F.col("_favour"))
-    drawn = (F.col("mix_size") > 0) & F.exists(
-        "_cuts", lambda c: (F.col("mix_size") <= c["limits"]) & (rank <= c["cuts"])
+    known = F.col("mix_plan")
+    rank = pareto_rank(F.col("mix_draw"), known["part"], F.col("mix_favour"))
+    drawn = (F.col("mix_size") > 0) & (
+        _drawn(F.col("mix_size"), rank, known) | (rank == F.coalesce(known["last"], F.lit(-1.0)))
     )
-    copies = F.col("_whole") + F.coalesce(drawn, F.lit(False)).cast("long")
-    return joined.withColumn("mix_copies", copies).drop("_draw", "_favour", "_whole", "_part", "_cuts")
+    return joined.withColumns({
+        "mix_copies": known["whole"] + F.coalesce(drawn, F.lit(False)).cast("long"),
+        "mix_source_size": known["source_size"], "mix_target": known["target"],
+    }).drop("mix_plan", "mix_draw", "mix_favour")
 
 
 def repeat_rows(mixed: DataFrame) -> DataFrame:
