@@ -6,7 +6,9 @@ differ in at most s(1-t)/t. The index has one list per block content, so a probe
 Shingles of many documents are left out of the blocks where enough others remain; a set for which they don't remain gets
 blocks of all its shingles as well, and, if those are still too few, its empty blocks. So no link is lost.
 
-Answers. Lists that share a set form a candidate group. Inside it every set's overlaps with the others are derived
+A short list gives its pairs, of which those go that sketches prove dissimilar. Long lists are not counted out in pairs.
+
+Answers. Pairs and long lists that share a set form a candidate group. Inside it every set's overlaps with the others are derived
 from those of the set before it by the shingles in which the two differ, where these are fewer than its
 own; of each shingle's list, which is ordered by set size, only the positions of possible sizes are read. Groups beyond a
 number of shingles are cut into portions, compared two at a time.
@@ -29,6 +31,8 @@ from assayspark.llm.shingles import mix, shingle_sets
 #: steers the work, not the result; at most (shingles per document) / FREQUENT shingles can pass it.
 FREQUENT = 0.0005
 FREQUENT_IN_BATCH = 0.001
+#: Sets of a list whose pairs are looked at one by one; a longer list makes one candidate group of its sets.
+SHORT_LIST = 16
 #: Shingles in one portion of a candidate group.
 PORTION = 200_000
 
@@ -92,12 +96,13 @@ def _describe(size: int):
             yield pd.DataFrame({
                 "kind": 0, "doc_id": batch["doc_id"], "n": [len(s) for s in sets],
                 "k1": np.array([i for i, _ in ids], dtype=np.int64), "k2": np.array([i for _, i in ids], dtype=np.int64),
+                "sketch": [_sketch(s) for s in sets],
             })
             found, counts = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
             often = counts >= max(3, FREQUENT_IN_BATCH * len(batch))
             yield pd.DataFrame({
                 "kind": 1, "doc_id": pd.array([pd.NA] * int(often.sum()), dtype="Int64"), "n": counts[often],
-                "k1": found[often].view(np.int64), "k2": np.int64(0),
+                "k1": found[often].view(np.int64), "k2": np.int64(0), "sketch": b"",
             })
 
     return describe
@@ -122,24 +127,87 @@ def _index(size: int, percent: int, frequent: np.ndarray):
     return index
 
 
+PAIR, CHAIN, END = range(3)
+
+
 def _neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows in order of (key, owner): pairs of neighbours in a list (``kind`` 0), first and last row (1)."""
-    last_key = last_owner = None
+    """Rows in order of (key, owner): what each list says about its sets.
+
+    A list of at most SHORT_LIST sets gives all its PAIRs, a longer one a CHAIN from set to set, which joins them in one candidate
+    group without counting pairs. A list that may go on in another partition is a chain, with its key and one set as END.
+    """
+    held: tuple[np.ndarray, np.ndarray] | None = None
+    chained: set[int] = set()
     for batch in batches:
         if not len(batch):
             continue
         key, owner = batch["key"].to_numpy(), batch["owner"].to_numpy()
-        if last_key is None:
-            yield pd.DataFrame({"kind": 1, "a": key[:1], "b": owner[:1]})
+        if held is None:
+            chained.add(int(key[0]))
+            yield pd.DataFrame({"kind": END, "a": key[:1], "b": owner[:1]})
         else:
-            key, owner = np.concatenate([[last_key], key]), np.concatenate([[last_owner], owner])
-        last_key, last_owner = key[-1], owner[-1]
-        met = (key[1:] == key[:-1]) & (owner[1:] != owner[:-1])
-        if met.any():
-            pairs = np.unique(np.stack([owner[:-1][met], owner[1:][met]], axis=1), axis=0)
-            yield pd.DataFrame({"kind": 0, "a": pairs[:, 0], "b": pairs[:, 1]})
-    if last_key is not None:
-        yield pd.DataFrame({"kind": [1], "a": [last_key], "b": [last_owner]})
+            key, owner = np.concatenate([held[0], key]), np.concatenate([held[1], owner])
+        fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])])
+        key, owner = key[fresh], owner[fresh]
+        end = int(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))[-1])
+        if len(key) - end > SHORT_LIST:
+            # The list is known to be long: chain what is there, go on from its last set.
+            chained.add(int(key[-1]))
+            yield from _list_pairs(key, owner, chained)
+            held = key[-1:], owner[-1:]
+        else:
+            yield from _list_pairs(key[:end], owner[:end], chained)
+            held = key[end:], owner[end:]
+    if held is not None:
+        chained.add(int(held[0][-1]))
+        yield from _list_pairs(*held, chained)
+        yield pd.DataFrame({"kind": END, "a": held[0][-1:], "b": held[1][-1:]})
+
+
+def _list_pairs(key: np.ndarray, owner: np.ndarray, chained: set[int]) -> Iterator[pd.DataFrame]:
+    edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else np.zeros(1, np.int64)
+    starts, sizes = edges[:-1], np.diff(edges)
+    long = (sizes > SHORT_LIST) | np.isin(key[starts], list(chained))
+    for size in np.unique(sizes[~long & (sizes > 1)]):
+        i, j = np.triu_indices(size, 1)
+        own = starts[~long & (sizes == size)][:, None]
+        pairs = np.unique(np.stack([owner[own + i].ravel(), owner[own + j].ravel()], axis=1), axis=0)
+        yield pd.DataFrame({"kind": PAIR, "a": pairs[:, 0], "b": pairs[:, 1]})
+    if (long & (sizes > 1)).any():
+        linked = np.repeat(long, sizes)
+        linked[starts] = False
+        at = np.flatnonzero(linked)
+        pairs = np.unique(np.stack([owner[at - 1], owner[at]], axis=1), axis=0)
+        yield pd.DataFrame({"kind": CHAIN, "a": pairs[:, 0], "b": pairs[:, 1]})
+
+
+def _sketch(own: np.ndarray) -> bytes:
+    """Parity of the number of shingles in each of a power of two of bins, about two bins a shingle."""
+    bins = 1 << max(9, int(2 * len(own) - 1).bit_length())
+    place = (mix(own, 9) % np.uint64(bins)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=bins) & 1).astype(np.uint8)).tobytes()
+
+
+def _may_link(percent: int):
+    """Pairs that can be similar: each odd bin of two sketches takes a shingle in which the sets differ."""
+
+    def may_link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keep = np.zeros(len(batch), dtype=bool)
+            rows = batch[["n_a", "n_b", "sketch_a", "sketch_b"]].itertuples(index=False, name=None)
+            for at, (n_a, n_b, one, two) in enumerate(rows):
+                if 100 * min(n_a, n_b) < percent * max(n_a, n_b):
+                    continue
+                one, two = np.frombuffer(one, dtype=np.uint64), np.frombuffer(two, dtype=np.uint64)
+                while len(one) > len(two):
+                    one = one[:len(one) // 2] ^ one[len(one) // 2:]
+                while len(two) > len(one):
+                    two = two[:len(two) // 2] ^ two[len(two) // 2:]
+                odd = int(np.bitwise_count(one ^ two).sum())
+                keep[at] = odd * (100 + percent) <= (100 - percent) * (n_a + n_b)
+            yield batch.loc[keep, ["a", "b"]]
+
+    return may_link
 
 
 def overlaps_join(sets: list[np.ndarray], side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -231,8 +299,8 @@ def jaccard_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
     """
     spark = docs.sparkSession
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    described = cut_lineage(own.mapInPandas(_describe(size), "kind int, doc_id long, n long, k1 long, k2 long"))
-    rows = described.filter("kind = 0").drop("kind")
+    described = cut_lineage(own.mapInPandas(_describe(size), "kind int, doc_id long, n long, k1 long, k2 long, sketch binary"))
+    rows = described.filter("kind = 0").drop("kind", "sketch")
     linkable = rows.filter("n > 0 and doc_id is not null")
     classes = cut_lineage(linkable.groupBy("n", "k1", "k2").agg(
         F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies")
@@ -246,9 +314,16 @@ def jaccard_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = lists.repartitionByRange(parts, "key", "owner").sortWithinPartitions("key", "owner")
     met = cut_lineage(dealt.mapInPandas(_neighbours, "kind int, a long, b long"))
-    ends = met.filter("kind = 1")
+    ends = met.filter(f"kind = {END}")
     across = ends.join(ends.groupBy("a").agg(F.min("b").alias("first")), "a").select(F.col("first").alias("a"), "b")
-    candidates = components(met.filter("kind = 0").select("a", "b").unionByName(across))
+    sketches = described.filter("kind = 0 and n > 0").groupBy("k1").agg(
+        F.max(F.struct("n", "sketch")).alias("own")
+    ).select("k1", "own.n", "own.sketch")
+    sides = [sketches.withColumnsRenamed({"k1": c, "n": f"n_{c}", "sketch": f"sketch_{c}"}) for c in ("a", "b")]
+    pairs = met.filter(f"kind = {PAIR}").select("a", "b").distinct().join(sides[0], "a").join(sides[1], "b")
+    likely = cut_lineage(pairs.mapInPandas(_may_link(percent), "a long, b long"))
+    chains = met.filter(f"kind = {CHAIN}").select("a", "b")
+    candidates = components(likely.unionByName(chains).unionByName(across))
     grouped = classes.join(candidates.withColumnRenamed("node", "k1"), "k1")
     sums = grouped.groupBy("component").agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("sets"))
     wanted = cut_lineage(grouped.join(sums.filter("sets > 1"), "component").drop("sets"))
