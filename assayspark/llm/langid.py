@@ -24,7 +24,8 @@ UNKNOWN = "und"
 MEMORY = 20_000
 _OTHER = re.compile(r"[\W\d_]+")
 _letters: dict[str, np.ndarray] = {}
-_grams: dict[str, np.ndarray] = {}
+_rows: dict[int, int] = {}
+_vectors = np.zeros((0, DIMENSIONS), dtype=np.float32)
 
 
 def letter_vector(letter: str) -> np.ndarray:
@@ -37,16 +38,29 @@ def letter_vector(letter: str) -> np.ndarray:
 
 def gram_vector(gram: str) -> np.ndarray:
     """Product of the letters' vectors, the first rotated most."""
-    if gram not in _grams:
-        if len(_grams) >= MEMORY:
-            _grams.clear()
-        if len(_letters) >= MEMORY:
-            _letters.clear()
-        bound = letter_vector(gram[-1])
-        for back, letter in enumerate(reversed(gram[:-1]), 1):
-            bound = bound * np.roll(letter_vector(letter), back)
-        _grams[gram] = bound
-    return _grams[gram]
+    bound = letter_vector(gram[-1])
+    for back, letter in enumerate(reversed(gram[:-1]), 1):
+        bound = bound * np.roll(letter_vector(letter), back)
+    return bound
+
+
+def _gram_rows(keys: list[int]) -> list[int]:
+    """Rows of the remembered vectors for n-grams packed into numbers; at most MEMORY keys at a time."""
+    global _vectors
+    missing = [k for k in keys if k not in _rows]
+    if len(_rows) + len(missing) > MEMORY:
+        _rows.clear()
+        _letters.clear()
+        missing = keys
+    if len(_rows) + len(missing) > len(_vectors):
+        larger = np.zeros((min(MEMORY, 2 * (len(_rows) + len(missing))), DIMENSIONS), dtype=np.float32)
+        larger[:len(_vectors)] = _vectors
+        _vectors = larger
+    for key in missing:
+        gram = "".join(chr(key >> 21 * back & 0x1FFFFF) for back in range(GRAM - 1, -1, -1))
+        _vectors[len(_rows)] = gram_vector(gram)
+        _rows[key] = len(_rows)
+    return [_rows[k] for k in keys]
 
 
 def normalised(text: str | None) -> str:
@@ -66,12 +80,10 @@ def text_vector(text: str | None) -> np.ndarray | None:
     for place in range(GRAM):
         keys = (keys << 21) | points[place:place + span]
     found, counts = np.unique(keys, return_counts=True)
-    shift = 21 * np.arange(GRAM - 1, -1, -1)
-    names = ["".join(map(chr, row)) for row in ((found[:, None] >> shift) & 0x1FFFFF).tolist()]
     total = np.zeros(DIMENSIONS, dtype=np.float64)
-    for at in range(0, len(names), 1024):
-        part = np.stack([gram_vector(g) for g in names[at:at + 1024]])
-        total += counts[at:at + 1024].astype(np.float32) @ part
+    for at in range(0, len(found), 1024):
+        rows = _gram_rows(found[at:at + 1024].tolist())
+        total += counts[at:at + 1024].astype(np.float32) @ _vectors[rows]
     return total
 
 
