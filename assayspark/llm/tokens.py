@@ -23,6 +23,9 @@ from assayspark.llm.common import join_small
 BLOCK_IDS = 1 << 16
 #: Words whose ids a worker remembers; when full it starts anew. Results don't depend on it.
 MEMORY = 400_000
+#: Unknown words encoded in one call.
+TOGETHER = 256
+WORD_END = "</w>"
 BLOCK_SCHEMA = (
     "shard int, block int, first long, n_ids long, n_unnamed long, doc_ids array<long>, doc_lens array<long>, "
     "payload binary"
@@ -44,6 +47,9 @@ class WordCoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith(WORD_END)]] = True
         self.known: dict[str, bytes] = {"": b""}
 
     def _learn(self, missing: set[str]) -> None:
@@ -57,12 +63,25 @@ class WordCoder:
             else:
                 stems[word] = (stem,)
         parts = list({p for s in stems.values() for p in s if p not in self.known})
+        plain = [p for p in parts if p.isalpha()]
+        for at in range(0, len(plain), TOGETHER):
+            self._learn_plain(plain[at:at + TOGETHER])
+        parts = [p for p in parts if p not in self.known]
         for part, found in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
             self.known[part] = np.array(found.ids, dtype="<u4").tobytes()
         for word, stem in stems.items():
             if len(stem) > 1 or stem[0] != word:
                 self.known[word] = b"".join(self.known[p] for p in stem)
 
+    def _learn_plain(self, parts: list[str]) -> None:
+        """Words of letters, encoded as one text and told apart by their last pieces; else they stay unknown."""
+        found = np.array(self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, dtype="<u4")
+        stops = np.flatnonzero(self.ends[found]) + 1
+        if len(stops) != len(parts) or stops[-1] != len(found):
+            return
+        for part, start, stop in zip(parts, [0, *stops[:-1].tolist()], stops.tolist(), strict=True):
+            self.known[part] = found[start:stop].tobytes()
+
     def ids(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         missing: set[str] = set()
