@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from assayspark.operators import scale
 from assayspark.operators.scale import null_safe_join, scratch_folder
 
-__all__ = ["ascii_lower", "components", "cut_lineage", "join_small", "null_safe_join", "scratch_folder", "table",
+__all__ = ["components", "computed", "cut_lineage", "join_small", "null_safe_join", "scratch_folder", "table",
            "words"]
 
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -32,6 +32,15 @@ def words(text: Column) -> Column:
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
+def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is worked out once per row.
+
+    A plain column would be put back in place of its name by the optimizer, also inside a lambda, which would work it out anew
+    for every element. A generator of one row stands in between.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def join_small(rows: DataFrame, small: DataFrame, on: list[str], how: str = "left", row_bytes: int = 64) -> DataFrame:
     """NULL-safe join with a table that is usually small.
 

@@ -1,7 +1,7 @@
 """Benchmark decontamination by templates.
 
-A word becomes a placeholder if it is a number, the unit after a number, or begins with a capital (a name);
-other words count in lower case, without punctuation at either end. Windows of template words are hash-joined with those of
+A word, without punctuation at either end, becomes a placeholder if it begins with a digit (a number), is a unit of measure,
+or begins with a capital (a name). Windows of template words are hash-joined with those of
 the benchmark. A document holds an item if enough of the item's windows stand in it, along alignments in which
 equal slots of the item are filled alike in the document and different ones differently. Numbers, names and units may
 thus have been exchanged, but not at random. DataFrame functions only.
@@ -12,16 +12,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayspark.llm.common import BLANKS, cut_lineage, join_small
+from assayspark.llm.common import BLANKS, computed, cut_lineage, join_small
 
 WINDOW = 5
 PERCENT = 80
-PUNCTUATION = ".,;:!?\"'()[]{}<>*_`~|/\\«»„“”‚‘’…–—¿¡-"
-# Units that count as such after a number.
-UNITS = """mm cm m km in inch inches ft foot feet yd yards mi mile miles mg g kg t oz lb lbs pounds ml cl l litre litres
-    liter liters gal gallons s sec seconds min minutes h hr hrs hour hours day days week weeks month months year years
-    mph kmh hz khz mhz ghz w kw mw v a j kj cal kcal b kb mb gb tb % c f k usd eur gbp dollar dollars cent cents euro
-    euros percent degrees""".split()
+PUNCTUATION = ".,;:!?\"'()[]{}<>*_`~|/\\«»„“”‚‘’…–—¿¡-+$€£%"
+# Units of measure that are no ordinary words.
+UNITS = """mm cm km inch inches ft feet yd yards mi miles mg kg oz lb lbs pounds ml cl litre litres liter liters gal gallons
+    sec seconds minutes hr hrs hour hours day days week weeks month months year years mph kmh hz khz mhz ghz kw mw kj kcal
+    kb mb gb tb usd eur gbp dollar dollars cent cents euro euros percent degrees""".split()
+#: Letters that count as capitals, one mark for all of them.
+CAPITALS = "".join(chr(c) for c in range(0x41, 0x530) if chr(c).isupper())
+MARK = "\x01"
 NUMBER, UNIT, NAME = "<number>", "<unit>", "<name>"
 
 
@@ -31,45 +33,30 @@ def bare_words(text: Column) -> Column:
     return F.coalesce(F.filter(found, lambda w: w != ""), F.array().cast("array<string>"))
 
 
-def _is_number(word: Column) -> Column:
-    return F.substring(word, 1, 1).between("0", "9") | (
-        F.substring(word, 1, 1).isin("+", "$", "€", "£") & F.substring(word, 2, 1).between("0", "9")
-    )
-
-
-def template(words: str) -> Column:
-    """The template word for each word of an array column."""
+def template_words(text: Column) -> Column:
+    """The template word for each bare word of a text."""
 
-    def one(word: Column, at: Column) -> Column:
-        lower = F.lower(word)
-        after_number = F.when(at > 0, _is_number(F.get(F.col(words), at - 1))).otherwise(False)
-        return (
-            F.when(_is_number(word), NUMBER)
-            .when(lower.isin(*UNITS) & after_number, UNIT)
-            .when(F.substring(word, 1, 1) != F.substring(lower, 1, 1), NAME)
-            .otherwise(lower)
-        )
+    def one(word: Column) -> Column:
+        first = F.ascii(word)
+        special = F.when(first == ord(MARK), NAME).when(first >= ord("0"), NUMBER).otherwise(word)
+        return F.when(first <= ord("9"), special).when(word.isin(*UNITS), UNIT).otherwise(word)
 
-    return F.transform(words, one)
+    return F.transform(bare_words(F.translate(text, CAPITALS, MARK * len(CAPITALS))), one)
 
 
 def template_windows(rows: DataFrame, key: str, window: int = WINDOW) -> DataFrame:
-    """(key, place, hash, check) of every window; fewer words than ``window`` make one window, none makes none."""
-    hashed = rows.select(key, template("words").alias("parts")).select(
-        key, F.transform("parts", lambda p: F.xxhash64(p)).alias("one"),
-        F.size("parts").alias("n"),
-    ).filter("n > 0")
-
-    def at(place: Column) -> Column:
-        return F.struct(place.alias("place"), F.xxhash64(F.slice("one", place + 1, window)).alias("hash"))
-
-    return hashed.select(key, F.inline(F.transform(F.sequence(F.lit(0), F.greatest(F.col("n") - window, F.lit(0))), at)))
+    """(key, place, hash) of every window of ``text``; fewer words than ``window`` make one window, none makes none."""
+    hashes = F.transform(template_words(F.col("text")), lambda p: F.xxhash64(p))
+    hashed = computed(rows.select(key, "text"), "one", hashes).select(key, "one", F.size("one").alias("n")).filter("n > 0")
+    starts = F.sequence(F.lit(1), F.greatest(F.col("n") - window, F.lit(0)) + 1)
+    keys = F.transform(starts, lambda at: F.xxhash64(F.slice("one", at, window)))
+    return hashed.select(key, F.posexplode(keys).alias("place", "hash"))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """The items with their words and number of windows, and their windows; both written tables."""
     items = cut_lineage(benchmark.filter(F.col("text").isNotNull()).select(
-        F.xxhash64("item_id", "text").alias("item"), "item_id", bare_words(F.col("text")).alias("words")
+        F.xxhash64("item_id", "text").alias("item"), "item_id", "text", bare_words(F.col("text")).alias("words")
     ).filter(F.size("words") > 0).dropDuplicates(["item"]))
     return items, cut_lineage(template_windows(items, "item", window).withColumnsRenamed({"place": "item_place"}))
 
@@ -82,9 +69,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, percent:
     reported with a null one. Other columns are not read.
     """
     items, wanted = benchmark_windows(benchmark, window)
-    texts = docs.filter(F.col("text").isNotNull()).select(
-        F.md5("text").alias("text_key"), bare_words(F.col("text")).alias("words")
-    )
+    texts = docs.filter(F.col("text").isNotNull()).select(F.md5("text").alias("text_key"), "text")
     hits = cut_lineage(
         join_small(template_windows(texts, "text_key", window), wanted, ["hash"], "inner", 32).distinct()
         .withColumn("shift", F.col("place") - F.col("item_place"))
@@ -97,7 +82,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, percent:
     spots = aligned.select(
         "text_key", "item", "shift", "item_place", F.explode(F.sequence(F.lit(0), F.lit(window - 1))).alias("step")
     ).select("text_key", "item", "shift", (F.col("item_place") + F.col("step")).alias("spot")).distinct()
-    held = cut_lineage(join_small(texts, likely.select("text_key").distinct(), ["text_key"], "inner").dropDuplicates(["text_key"]))
+    some = join_small(texts, cut_lineage(likely.select("text_key").distinct()), ["text_key"], "inner")
+    held = cut_lineage(some.dropDuplicates(["text_key"]).select("text_key", bare_words(F.col("text")).alias("words")))
     filled = join_small(spots, items.select("item", F.col("words").alias("item_words")), ["item"], "inner", 4096).select(
         "text_key", "shift", "item", "spot", F.get("item_words", F.col("spot")).alias("in_item"),
     ).join(held, "text_key").select(

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayspark.llm.common import cut_lineage, null_safe_join
+from assayspark.llm.common import computed, cut_lineage, null_safe_join
 
 RUN = 3
 
@@ -30,11 +30,12 @@ def fingerprints(docs: DataFrame, run: int = RUN) -> DataFrame:
 
     A text of fewer lines than ``run`` is one window.
     """
-    hashed = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.transform(text_lines(F.col("text")), _line_hash(1)).alias("one"),
-        F.transform(text_lines(F.col("text")), _line_hash(2)).alias("two"),
-    ).filter("doc_id is not null and size(one) > 0")
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
+    split = computed(named, "lines", text_lines(F.col("text")))
+    both = F.struct(
+        F.transform("lines", _line_hash(1)).alias("one"), F.transform("lines", _line_hash(2)).alias("two")
+    )
+    hashed = computed(split, "hashes", both).select("doc_id", "hashes.one", "hashes.two").filter("size(one) > 0")
     last = F.greatest(F.size("one") - run, F.lit(0))
 
     def window(at: Column) -> Column:
@@ -69,11 +70,11 @@ def delete_repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
     """
     starts = cut_lineage(later_repeats(docs, run)).withColumnRenamed("starts", "_starts")
     own = [F.col(f"`{c}`") for c in docs.columns if c not in ("lines_total", "lines_removed", "runs_removed", "lines_kept")]
-    joined = null_safe_join(docs.select(*own), starts, ["doc_id"]).withColumn("_lines", text_lines(F.col("text")))
+    joined = computed(null_safe_join(docs.select(*own), starts, ["doc_id"]), "_lines", text_lines(F.col("text")))
     total = F.size("_lines")
     none = F.array().cast("array<int>")
     covered = F.flatten(F.transform("_starts", lambda s: F.sequence(s, F.least(s + run, total) - 1)))
-    marked = joined.withColumn("_gone", F.coalesce(F.array_distinct(covered), none))
+    marked = computed(joined, "_gone", F.coalesce(F.array_distinct(covered), none))
     followed = F.transform("_gone", lambda line: line + 1)
     left = F.when(total > 0, F.array_except(F.sequence(F.lit(0), F.greatest(total, F.lit(1)) - 1), "_gone")).otherwise(none)
     kept = F.transform(left, lambda line: F.element_at("_lines", line + 1))
