@@ -25,9 +25,15 @@ def cv(col: Column | str, na_rm: bool = False) -> Column:
 
 
 def first_row(columns: list[str], order_by: list[str]) -> Column:
-    """The named columns, as a struct, of the group's first row in the given total order."""
-    order = F.struct(*order_by) if len(order_by) > 1 else F.col(order_by[0])
-    return F.min_by(F.struct(*columns), order)
+    """The named columns, as a struct, of the group's first row in the given total order.
+
+    A name after a minus sign (numbers only) falls; NULL comes last either way.
+    """
+    order = []
+    for name in order_by:
+        column = F.col(name.removeprefix("-"))
+        order += [column.isNull(), -column if name.startswith("-") else column]
+    return F.min_by(F.struct(*columns), F.struct(*order))
 
 
 def centred_sum_of_squares(col: Column | str) -> Column:

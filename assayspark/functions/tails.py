@@ -48,6 +48,8 @@ def beta_regularised(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
             h = h * c * d
         if np.all(np.abs(c * d - 1) < 1e-14):
             break
+    else:
+        raise ArithmeticError("the continued fraction does not converge")
     value = front * h / a
     return np.where(swap, 1 - value, value)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from assayspark.functions.aggregates import centred_sum_of_squares
 from assayspark.functions.tails import chi2_tail, f_tail, normal_tail, tukey_quantile, tukey_tail
 from assayspark.operators.filters import drop_unknown, significant
-from assayspark.operators.scale import BROADCAST_ROWS, SLICE, cut_lineage, in_slices, null_safe_join, running
+from assayspark.operators.scale import SLICE, cut_lineage, in_slices, null_safe_join, running
 
 
 def _complete(df: DataFrame, analyte: list[str], group: str, value: str) -> DataFrame:
@@ -157,28 +157,20 @@ def kruskal_wallis(df: DataFrame, analyte: list[str], group: str, value: str) ->
     return _kruskal(_rank_summary(df, analyte, group, value), analyte).drop("ties")
 
 
-def p_adjust_bh(
-    df: DataFrame, p: str, family: list[str] | None = None, out: str = "p_adjusted", window_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def p_adjust_bh(df: DataFrame, p: str, family: list[str] | None = None, out: str = "p_adjusted") -> DataFrame:
     """Benjamini-Hochberg adjustment over the rows of a family (all rows if none is named).
 
-    Up to ``window_rows`` p values are adjusted in windows, more of them in slices.
+    Equal p values are tallied first and the tally is adjusted in slices, whatever its size. A NULL stays NULL.
     """
     family = family or []
     kept = cut_lineage(df)
-    if kept.limit(window_rows + 1).count() <= window_rows:
-        rows = Window.partitionBy(*family)
-        raw = F.col(p) * F.count(p).over(rows) / F.count(p).over(rows.orderBy(p))
-        lowest = kept.withColumn("_raw", raw).withColumn(
-            out, F.least(F.lit(1.0), F.min("_raw").over(rows.orderBy(F.desc(p))))
-        ).drop("_raw")
-        return lowest.withColumn(out, F.when(F.col(p).isNotNull(), F.col(out)))
     tallied = kept.filter(F.col(p).isNotNull()).groupBy(*family, p).agg(F.count(F.lit(1)).alias("_n"))
     placed = running(
         in_slices(tallied, family, [p]), family, [p], sums={"_upto": "_n"}, totals={"_all": "_n"}
     ).withColumn("_raw", F.least(F.lit(1.0), F.col(p) * F.col("_all") / F.col("_upto")))
     adjusted = running(placed, family, [p], mins={out: "_raw"}, from_top=True)
-    return null_safe_join(kept, adjusted.select(*family, p, out), [*family, p])
+    found = null_safe_join(kept.filter(F.col(p).isNotNull()), adjusted.select(*family, p, out), [*family, p])
+    return found.unionByName(kept.filter(F.col(p).isNull()).withColumn(out, F.lit(None).cast("double")))
 
 
 def _dunn(ranks: DataFrame, analyte: list[str]) -> DataFrame:

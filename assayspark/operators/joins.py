@@ -23,7 +23,7 @@ def lookup_first(
     df: DataFrame, dimension: DataFrame, on: str, columns: list[str], order_by: list[str]
 ) -> DataFrame:
     """Left join to the first dimension row per key, so the row count never grows."""
-    needed = list(dict.fromkeys([on, *columns, *order_by]))
+    needed = list(dict.fromkeys([on, *columns, *[c.removeprefix("-") for c in order_by]]))
     first = distinct_first(dimension.select(*needed), [on], order_by)
     return attach(df, first.select(on, *columns), [on])
 

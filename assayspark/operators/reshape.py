@@ -10,14 +10,11 @@ from pyspark.sql import functions as F
 from assayspark.functions.aggregates import first_row
 from assayspark.operators.scale import SLICE, attach, in_slices, running
 
-MAX_LEVELS = 10_000
-
-
-def pivot_levels(df: DataFrame, key: str) -> list[str]:
-    """Distinct key values in order; they become columns, so more than MAX_LEVELS is an error."""
-    found = df.select(key).filter(F.col(key).isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()
-    if len(found) > MAX_LEVELS:
-        raise ValueError(f"{key} has more than {MAX_LEVELS} levels")
+def pivot_levels(df: DataFrame, key: str, max_levels: int = 10_000) -> list[str]:
+    """Distinct key values in order; they become columns, so more than ``max_levels`` is an error."""
+    found = df.select(key).filter(F.col(key).isNotNull()).distinct().limit(max_levels + 1).collect()
+    if len(found) > max_levels:
+        raise ValueError(f"{key} has more than {max_levels} levels")
     return sorted(row[0] for row in found)
 
 
@@ -38,15 +35,17 @@ def pivot_multi(
     rename: bool = True,
     camel: bool = False,
     on_duplicate: str = "error",
+    max_levels: int = 10_000,
 ) -> DataFrame:
     """Long to wide in one aggregation, one column per level and value; absent cells are NULL.
 
     ``rest`` columns come from the id's first row in ``order_by``. A repeated (id, key) is an error,
-    or is settled by ``on_duplicate="mean"`` or ``"first"``.
+    or is settled by ``on_duplicate="mean"`` or ``"first"``. More than ``max_levels`` distinct keys are an
+    error, as each becomes columns; the long form has no such limit.
     """
     if not rename and len(values) != 1:
         raise ValueError("unsuffixed names need a single value column")
-    levels = pivot_levels(df, key) if levels is None else levels
+    levels = pivot_levels(df, key, max_levels) if levels is None else levels
     aggregates, cells = [], []
     for i, level in enumerate(levels):
         here = F.col(key) == F.lit(level)

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
-SALTS = 32
-HEAVY_KEYS = 1000
+#: Rows of one key that a task may get; a key with more is cut into as many pieces as that takes.
+ROWS_PER_PIECE = 1_000_000
 SLICE = "_slice"
 SALT = "_salt"
 
@@ -81,15 +81,17 @@ def join_summary(
         counts = kept.select(*on, F.col(rows_per_key).alias("_rows"))
     else:
         counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    heavy = cut_lineage(counts.orderBy(F.desc("_rows")).limit(HEAVY_KEYS).select(*on, F.lit(True).alias("_heavy")))
-    drawn = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
-    salted = null_safe_join(rows, F.broadcast(heavy), on).withColumn(
-        SALT, F.when(F.col("_heavy"), drawn).otherwise(0)
-    ).drop("_heavy")
-    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    # At most one heavy key per ROWS_PER_PIECE rows. Equal rows of a key spread too, as the salt comes from their place.
+    pieces = F.ceil(F.col("_rows") / ROWS_PER_PIECE).cast("int").alias("_pieces")
+    heavy = cut_lineage(counts.filter(F.col("_rows") > ROWS_PER_PIECE).select(*on, pieces))
+    number = F.coalesce("_pieces", F.lit(1))
+    placed = rows.withColumn("_place", F.monotonically_increasing_id())
+    salted = null_safe_join(placed, F.broadcast(heavy), on).withColumn(
+        SALT, F.pmod(F.col("_place"), number).cast("int")
+    ).drop("_pieces", "_place")
     copies = null_safe_join(wanted, F.broadcast(heavy), on).withColumn(
-        SALT, F.explode(F.when(F.col("_heavy"), every).otherwise(F.array(F.lit(0))))
-    ).drop("_heavy")
+        SALT, F.explode(F.sequence(F.lit(0), number - 1))
+    ).drop("_pieces")
     return null_safe_join(salted, copies, [*on, SALT], how).drop(SALT)
 
 

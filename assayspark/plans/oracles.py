@@ -263,8 +263,8 @@ view("followed_long", "followed", """
 oracle("complete_subjects", "followed_long", f"""
     SELECT subject_id, peptide, timepoint, {r("concentration_ug_ml")} FROM followed_long""")
 oracle("enrich_left", "", f"""
-    SELECT l_partkey, l_orderkey, {r("l_extendedprice")}, p_brand, {r("p_retailprice")}
-    FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 10) ON p_partkey = l_partkey""")
+    SELECT listed AS l_partkey, l_orderkey, {r("l_extendedprice")}, p_brand, {r("p_retailprice")}
+    FROM (SELECT *, CASE WHEN l_partkey % 7 <> 0 THEN l_partkey END AS listed FROM lineitem) LEFT JOIN part ON p_partkey = listed""")
 oracle("lookup_first", "", f"""
     SELECT c_custkey, {big("c_nationkey")}, s_name, {r("s_acctbal")}
     FROM customer LEFT JOIN (SELECT s_nationkey, arg_min(s_name, s_suppkey) AS s_name, arg_min(s_acctbal, s_suppkey) AS s_acctbal
@@ -282,7 +282,7 @@ oracle("distinct_first", "", f"""
 oracle("distinct_values", "", "SELECT DISTINCT CASE WHEN l_tax > 0 THEN l_partkey END AS l_partkey FROM lineitem")
 oracle("union_sets", "", f"""
     SELECT o_orderkey AS "key", {r("o_totalprice AS price")}, NULL::VARCHAR AS priority FROM orders WHERE o_orderstatus = 'F'
-    UNION ALL SELECT o_orderkey, NULL, o_orderpriority FROM orders WHERE o_orderstatus = 'P'
+    UNION ALL SELECT o_orderkey, NULL, o_orderpriority FROM orders WHERE o_orderstatus <> 'F'
     UNION ALL SELECT l_orderkey, {r("l_extendedprice AS price")}, NULL FROM lineitem""")
 oracle("set_difference", "", """
     SELECT c_custkey AS custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'""")

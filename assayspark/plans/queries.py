@@ -320,12 +320,11 @@ def complete_subjects(spark, sf):
 
 @query
 def enrich_left(spark, sf):
-    parts = V.table(spark, sf, "part").filter("p_size > 10").select(
-        F.col("p_partkey").alias("l_partkey"), "p_brand", "p_retailprice"
+    parts = V.table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_retailprice")
+    items = V.table(spark, sf, "lineitem").select(
+        F.when(F.col("l_partkey") % 7 != 0, F.col("l_partkey")).alias("l_partkey"), "l_orderkey", "l_extendedprice"
     )
-    return plain(join_dimension(
-        V.table(spark, sf, "lineitem").select("l_partkey", "l_orderkey", "l_extendedprice"), parts, "l_partkey"
-    ))
+    return plain(join_dimension(items, parts, "l_partkey"))
 
 
 @query
@@ -370,7 +369,7 @@ def union_sets(spark, sf):
     orders, items = V.table(spark, sf, "orders"), V.table(spark, sf, "lineitem")
     return plain(R.union_sets(
         orders.filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("price")),
-        orders.filter("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("priority")),
+        orders.filter("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("priority")),
         items.select(F.col("l_orderkey").alias("key"), F.col("l_extendedprice").alias("price")),
     ))
 
@@ -516,7 +515,7 @@ def curve_frame(spark, sf):
 # Longitudinal
 
 def longitudinal_view(spark, sf):
-    return W.longitudinal(V.followed_subjects(spark, sf), "subject_id", BRAND, "timepoint", ["concentration_ug_ml"])
+    return W.longitudinal(V.followed_subjects(spark, sf), "subject_id", BRAND, "timepoint", ["-concentration_ug_ml"])
 
 
 @query

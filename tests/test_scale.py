@@ -127,3 +127,10 @@ def test_scan_reads_needed_columns_only(spark):
 
     text = plan(queries()["group_counts"](spark, "/root/testdata/sf0.001"))
     assert "l_extendedprice" not in text and "l_tax" not in text
+
+
+def test_equal_rows_of_a_hot_key_are_split(spark, monkeypatch):
+    monkeypatch.setattr(scale, "ROWS_PER_PIECE", 100)
+    df = spark.range(3000).select(F.lit("hot").alias("key"), F.lit(1).alias("v"))
+    joined = scale.attach(df, df.groupBy("key").agg(F.count(F.lit(1)).alias("n")), ["key"], broadcast_rows=0)
+    assert joined.count() == 3000 and joined.filter("n = 3000").count() == 3000

@@ -187,10 +187,9 @@ def test_two_peptides_of_one_protein_stay_apart(spark):
     assert groups.anova_oneway(rows, ["protein", "peptide"], "g", "v").count() == 2
 
 
-@pytest.mark.parametrize("window_rows", [100, 0])
-def test_benjamini_hochberg(spark, window_rows):
+def test_benjamini_hochberg(spark):
     rows = spark.createDataFrame([(0.01,), (0.04,), (0.03,), (0.005,), (None,)], "p double")
-    found = {r.p: r.adj for r in groups.p_adjust_bh(rows, "p", out="adj", window_rows=window_rows).collect()}
+    found = {r.p: r.adj for r in groups.p_adjust_bh(rows, "p", out="adj").collect()}
     assert found[0.01] == found[0.005] == pytest.approx(0.02) and found[0.04] == found[0.03] == pytest.approx(0.04)
     assert found[None] is None
 
@@ -291,3 +290,21 @@ def test_recode_and_firstcap(spark):
     assert values(rows.select(X.binary_class(F.col("c"), "NOA").alias("x")), "x") == [0, 1, None]
     words = spark.createDataFrame([("aBC def",), ("",)], "c string")
     assert values(words.select(X.firstcap("c").alias("x")), "x") == ["ABC def", ""]
+
+
+def test_first_row_keeps_attributes_whose_order_is_null(spark):
+    from assayspark.operators.joins import lookup_first
+
+    info = spark.createDataFrame([("A", "p2", 1.0), ("A", "p1", 2.0), ("B", None, 200.0)], "peptide string, protein string, mw double")
+    rows = spark.createDataFrame([("A",), ("B",), ("C",)], "peptide string")
+    found = {r.peptide: (r.protein, r.mw) for r in lookup_first(rows, info, "peptide", ["protein", "mw"], ["protein"]).collect()}
+    assert found == {"A": ("p1", 2.0), "B": (None, 200.0), "C": (None, None)}
+
+
+def test_longitudinal_keeps_the_highest_concentration(spark):
+    rows = spark.createDataFrame(
+        [("s", "p", 1, "NOA", 5.0), ("s", "p", 1, "OA", 9.0), ("s", "p", 2, "NOA", 3.0), ("s", "p", 2, "OA", None)],
+        "subject_id string, peptide string, timepoint int, condition string, concentration_ug_ml double",
+    )
+    found = longitudinal.longitudinal(rows, "subject_id", ["peptide"], "timepoint", ["-concentration_ug_ml", "condition"])
+    assert {r.timepoint: r.concentration_ug_ml for r in found.collect()} == {1: 9.0, 2: 3.0}
