@@ -22,7 +22,7 @@ from assayspark.llm.common import join_small
 
 BLOCK_IDS = 1 << 16
 #: Words whose ids a worker remembers; when full it starts anew. Results don't depend on it.
-MEMORY = 400_000
+MEMORY = 1_200_000
 #: Unknown words encoded in one call.
 TOGETHER = 256
 WORD_END = "</w>"
@@ -84,14 +84,10 @@ class WordCoder:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        missing: set[str] = set()
-        for row in split:
-            missing.update(row)
-        missing.difference_update(self.known.keys())
+        every = set().union(*split)
+        missing = {w for w in every if w not in self.known}
         if missing:
-            if len(self.known) > MEMORY:
-                missing = {w for row in split for w in row}
-            self._learn(missing)
+            self._learn(every if len(self.known) > MEMORY else missing)
         return [b"".join(map(self.known.__getitem__, row)) for row in split]
 
 
