@@ -70,7 +70,7 @@ def delete_repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
     """
     starts = cut_lineage(later_repeats(docs, run)).withColumnRenamed("starts", "_starts")
     own = [F.col(f"`{c}`") for c in docs.columns if c not in ("lines_total", "lines_removed", "runs_removed", "lines_kept")]
-    joined = computed(null_safe_join(docs.select(*own), starts, ["doc_id"]), "_lines", text_lines(F.col("text")))
+    joined = computed(null_safe_join(docs.select(*own), starts.hint("merge"), ["doc_id"]), "_lines", text_lines(F.col("text")))
     total = F.size("_lines")
     none = F.array().cast("array<int>")
     covered = F.flatten(F.transform("_starts", lambda s: F.sequence(s, F.least(s + run, total) - 1)))
