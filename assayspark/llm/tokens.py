@@ -14,6 +14,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,20 +27,28 @@ BLOCK_IDS = 1 << 16
 MEMORY = 1_200_000
 #: Unknown words encoded in one call.
 TOGETHER = 256
+#: Documents split into words at a time within a task.
+DOCS_AT_ONCE = 2048
 WORD_END = "</w>"
+#: Latin letters that no normalisation takes apart, then a stop or comma that ends a word.
+SENTENCE_END = r"([A-Za-zÀ-ÖØ-öø-įı-ɏ])([.,])(\s|$)"
 BLOCK_SCHEMA = (
     "shard int, block int, first long, n_ids long, n_unnamed long, doc_ids array<long>, doc_lens array<long>, "
     "payload binary"
 )
+BLOCK_ARROW = pa.schema([
+    ("shard", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int64()), ("n_unnamed", pa.int64()),
+    ("doc_ids", pa.list_(pa.int64())), ("doc_lens", pa.list_(pa.int64())), ("payload", pa.binary()),
+])
 DOC_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 _workers: dict[str, WordCoder] = {}
 
 
 class WordCoder:
-    """Ids of a text as little-endian unsigned 32-bit integers, word by word.
+    """Ids of texts as little-endian unsigned 32-bit integers, word by word.
 
     White space is dropped by this tokenizer and none of its pieces reaches across, so the ids of a
-    text are those of its words in a row. Words are cut at blanks, tabs and line ends only; any other
+    text are those of its words in a row. Words are cut at ASCII white space only; any other
     white space stays inside a word and is left to the tokenizer.
     """
 
@@ -52,43 +62,52 @@ class WordCoder:
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith(WORD_END)]] = True
         self.known: dict[str, bytes] = {"": b""}
 
-    def _learn(self, missing: set[str]) -> None:
-        if len(self.known) > MEMORY:
-            self.known = {"": b""}
-        stems = {}
-        for word in missing:
-            stem = word.lower() if word.isascii() and "<" not in word else word
-            if len(stem) > 1 and stem[-1] in ".," and stem[-2].isalpha():
-                stems[word] = (stem[:-1], stem[-1])
-            else:
-                stems[word] = (stem,)
-        parts = list({p for s in stems.values() for p in s if p not in self.known})
-        plain = [p for p in parts if p.isalpha()]
-        for at in range(0, len(plain), TOGETHER):
-            self._learn_plain(plain[at:at + TOGETHER])
-        parts = [p for p in parts if p not in self.known]
-        for part, found in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
-            self.known[part] = np.array(found.ids, dtype="<u4").tobytes()
-        for word, stem in stems.items():
-            if len(stem) > 1 or stem[0] != word:
-                self.known[word] = b"".join(self.known[p] for p in stem)
-
-    def _learn_plain(self, parts: list[str]) -> None:
-        """Words of letters, encoded as one text and told apart by their last pieces; else they stay unknown."""
-        found = np.array(self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, dtype="<u4")
-        stops = np.flatnonzero(self.ends[found]) + 1
-        if len(stops) != len(parts) or stops[-1] != len(found):
-            return
-        for part, start, stop in zip(parts, [0, *stops[:-1].tolist()], stops.tolist(), strict=True):
-            self.known[part] = found[start:stop].tobytes()
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        every = set().union(*split)
-        missing = {w for w in every if w not in self.known}
-        if missing:
-            self._learn(every if len(self.known) > MEMORY else missing)
-        return [b"".join(map(self.known.__getitem__, row)) for row in split]
+    def _learn(self, missing: list[str]) -> None:
+        plain = [w for w in missing if w.isalpha()]
+        self._learn_plain(plain)
+        rest = [w for w in missing if w not in self.known]
+        for word, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
+
+    def _learn_plain(self, words: list[str]) -> None:
+        """Words of letters, encoded many as one text and told apart by their last pieces; else they stay unknown."""
+        groups = [words[at:at + TOGETHER] for at in range(0, len(words), TOGETHER)]
+        joined = self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        for group, coded in zip(groups, joined, strict=True):
+            found = np.array(coded.ids, dtype="<u4")
+            stops = np.flatnonzero(self.ends[found]) + 1
+            if len(stops) != len(group) or stops[-1] != len(found):
+                continue
+            held, stops = found.tobytes(), (4 * stops).tolist()
+            self.known.update(zip(group, map(held.__getitem__, map(slice, [0, *stops[:-1]], stops)), strict=True))
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and the number of ids of each text.
+
+        Every different word is looked up once. A full stop or comma behind a Latin letter at the end of a word is a word of
+        its own, and ASCII words without "<", which special tokens begin with, are put in lower case, as the tokenizer does both.
+        """
+        apart = pc.replace_substring_regex(texts, SENTENCE_END, r"\1 \2\3")
+        split = pc.ascii_split_whitespace(apart.cast(pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        written = coded.dictionary
+        folds = pc.and_(pc.string_is_ascii(written), pc.invert(pc.match_substring(written, "<")))
+        folded = pc.if_else(folds, pc.ascii_lower(written), written).dictionary_encode()
+        words = folded.dictionary.to_pylist()
+        missing = [w for w in words if w not in self.known]
+        if missing and len(self.known) + len(missing) > MEMORY:
+            self.known, missing = {"": b""}, [w for w in words if w]
+        self._learn(missing)
+        pieces = list(map(self.known.__getitem__, words))
+        values = np.frombuffer(b"".join(pieces), dtype="<u4")
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        starts = np.cumsum(sizes) - sizes
+        at = folded.indices.to_numpy()[coded.indices.to_numpy()]
+        lens = sizes[at]
+        before = np.r_[0, np.cumsum(lens)]
+        found = values[np.repeat(starts[at] - before[:-1], lens) + np.arange(before[-1])]
+        ends = np.r_[0, np.cumsum(pc.list_value_length(split).to_numpy())]
+        return found, np.diff(before[ends])
 
 
 def coder(path: str) -> WordCoder:
@@ -112,7 +131,7 @@ def write_token_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     order = [F.desc("unnamed"), F.asc("doc_id"), F.asc("tie")]
     parts = _parts(docs.sparkSession)
     dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    blocks = dealt.withColumn("shard", F.spark_partition_id()).mapInPandas(_writer(tokenizer, end_id), BLOCK_SCHEMA)
+    blocks = dealt.withColumn("shard", F.spark_partition_id()).mapInArrow(_writer(tokenizer, end_id), BLOCK_SCHEMA)
     blocks.write.mode("overwrite").parquet(path)
 
 
@@ -121,31 +140,34 @@ def _parts(spark: SparkSession) -> int:
 
 
 def _writer(tokenizer: str, end_id: int):
-    end = np.array([end_id], dtype="<u4").tobytes()
+    end = np.array([end_id], dtype="<u4")
 
-    def block(shard: int, number: int, first: int, unnamed: int, ids: list, texts: list[bytes]) -> pd.DataFrame:
-        values = np.frombuffer(b"".join(texts), dtype="<u4")
-        lens = [len(t) // 4 for t in texts]
-        return pd.DataFrame({
-            "shard": [shard], "block": [number], "first": [first], "n_ids": [len(values)], "n_unnamed": [unnamed],
-            "doc_ids": [ids], "doc_lens": [lens], "payload": [simple8b.encode(values)],
-        })
+    def block(shard: int, number: int, first: int, unnamed: int, ids: list, texts: list[np.ndarray]) -> pa.RecordBatch:
+        values = np.concatenate([part for text in texts for part in (text, end)])
+        columns = [[shard], [number], [first], [len(values)], [unnamed], [ids], [[len(t) + 1 for t in texts]],
+                   [simple8b.encode(values)]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(columns, BLOCK_ARROW, strict=True)], schema=BLOCK_ARROW
+        )
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(tokenizer)
         shard, number, first, held, unnamed, ids, texts = 0, 0, 0, 0, 0, [], []
         for batch in batches:
             if not len(batch):
                 continue
-            shard = int(batch["shard"].iloc[0])
-            for at in range(0, len(batch), 256):
-                several = batch.iloc[at:at + 256]
-                coded = own.ids(several["text"].tolist())
-                for doc_id, nameless, text in zip(several["doc_id"].tolist(), several["unnamed"], coded, strict=True):
+            shard = batch["shard"][0].as_py()
+            for at in range(0, len(batch), DOCS_AT_ONCE):
+                several = batch.slice(at, DOCS_AT_ONCE)
+                found, lens = own.ids(several["text"])
+                parts = np.split(found, np.cumsum(lens)[:-1])
+                for doc_id, nameless, text in zip(
+                    several["doc_id"].to_pylist(), several["unnamed"].to_pylist(), parts, strict=True
+                ):
                     ids.append(doc_id)
-                    texts.append(text + end)
-                    unnamed += bool(nameless)
-                    held += len(text) // 4 + 1
+                    texts.append(text)
+                    unnamed += nameless
+                    held += len(text) + 1
                     if held >= BLOCK_IDS:
                         yield block(shard, number, first, unnamed, ids, texts)
                         number, first, held, unnamed, ids, texts = number + 1, first + held, 0, 0, [], []
