@@ -30,15 +30,17 @@ _COUNTS = np.array([ZEROS, 1] + [SELECTORS[s][0] for s in range(2, 16)], dtype=n
 def _selectors_at(values: np.ndarray) -> np.ndarray:
     """The selector a word would take if it began at each value: the one that holds most values."""
     n = len(values)
-    place = np.arange(n, dtype=np.int64)
-    best = np.ones(n, dtype=np.int64)
+    kind = np.int32 if n < 1 << 30 else np.int64
+    place = np.arange(n, dtype=kind)
+    best = np.ones(n, dtype=np.int8)
     for selector, (count, bits) in sorted(SELECTORS.items(), reverse=True):
-        too_wide = np.where(values >> np.uint64(bits) != 0, place, n + count)
+        too_wide = np.where(values >= np.uint64(1 << bits), place, kind(n + count))
         reach = np.minimum.accumulate(too_wide[::-1])[::-1] - place
-        best[reach >= count] = selector
-        if not (reach >= count).any():
+        fits = reach >= count
+        if not fits.any():
             break
-    filled = np.where(values != 0, place, n)
+        best[fits] = selector
+    filled = np.where(values != 0, place, kind(n))
     reach = np.minimum.accumulate(filled[::-1])[::-1] - place
     best[reach >= ZEROS] = 0
     return best

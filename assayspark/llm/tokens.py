@@ -28,7 +28,7 @@ MEMORY = 1_200_000
 #: Unknown words encoded in one call.
 TOGETHER = 256
 #: Documents split into words at a time within a task.
-DOCS_AT_ONCE = 2048
+DOCS_AT_ONCE = 4096
 WORD_END = "</w>"
 #: Latin letters that no normalisation takes apart, then a stop or comma that ends a word.
 SENTENCE_END = r"([A-Za-zÀ-ÖØ-öø-įı-ɏ])([.,])(\s|$)"
@@ -93,7 +93,7 @@ class WordCoder:
         written = coded.dictionary
         folds = pc.and_(pc.string_is_ascii(written), pc.invert(pc.match_substring(written, "<")))
         folded = pc.if_else(folds, pc.ascii_lower(written), written).dictionary_encode()
-        words = folded.dictionary.to_pylist()
+        words = folded.dictionary.to_numpy(zero_copy_only=False).tolist()
         missing = [w for w in words if w not in self.known]
         if missing and len(self.known) + len(missing) > MEMORY:
             self.known, missing = {"": b""}, [w for w in words if w]
