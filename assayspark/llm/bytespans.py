@@ -2,6 +2,7 @@
 
 1. Every document gives its anchors (see ``anchors``), each with a hash of all bytes its windows cover. Ordered by anchor
    and cover, a row whose cover also stands in a smaller document is removed whole. This settles the inside of long repeats.
+   Covers are told apart by all 64 bits of their hash; their bytes are not compared.
 2. What is left are covers that share an anchor but differ: the edges of repeats. Their bytes are brought together by
    anchor in bounded blocks; each block gets a suffix array by Lyndon grouping, in which equal windows are neighbours.
 3. An anchor with more covers than a block holds is cut; the windows of its blocks are matched by their hashes, with a
@@ -44,13 +45,11 @@ def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _anchor_rows(held: list[tuple]) -> pd.DataFrame:
     anchor, cover, doc, place = (np.concatenate(c) for c in zip(*held, strict=True))
-    return pd.DataFrame({
-        "anchor": anchor.view(np.int64), "cover": cover.view(np.int64).astype(np.int32), "doc": doc, "place": place,
-    })
+    return pd.DataFrame({"anchor": anchor.view(np.int64), "cover": cover.view(np.int64), "doc": doc, "place": place})
 
 
 COVERED, OPEN, FIRST_RUN, EDGE = range(4)
-SETTLED = "kind int, anchor long, cover int, doc long, place long"
+SETTLED = "kind int, anchor long, cover long, doc long, place long"
 
 
 def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -250,7 +249,7 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
     texts = docs.filter("doc_id is not null and text is not null").select(
         F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").cast("binary").alias("text")
     )
-    rows = texts.mapInPandas(_anchors, "anchor long, cover int, doc long, place long")
+    rows = texts.mapInPandas(_anchors, "anchor long, cover long, doc long, place long")
     order = ["anchor", "cover", "doc", "place"]
     dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     settled = cut_lineage(dealt.mapInPandas(_settle, SETTLED))

@@ -289,6 +289,15 @@ def test_byte_dedup(documents):
             assert (r.n_bytes, r.n_removed, r.n_spans, r.sha) == expected[r.doc_id]
 
 
+def test_covers_that_share_their_low_bits_differ():
+    import pandas as pd
+
+    anchor, cover = np.full(2, 7, dtype=np.uint64), np.array([5, 5 + (1 << 32)], dtype=np.uint64)
+    rows = bytespans._anchor_rows([(anchor, cover, np.array([1, 2]), np.zeros(2, dtype=np.int64))])
+    settled = pd.concat(bytespans._settle(iter([rows])))
+    assert not (settled.kind == bytespans.COVERED).any()
+
+
 def test_cut_anchors_are_matched_by_their_windows(monkeypatch):
     """With blocks of four covers nearly every anchor is cut; spans and windows together still find all."""
     import pandas as pd
