@@ -22,7 +22,7 @@ from assayspark.llm.vectors import near_vectors
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines left after repeated runs of three lines are deleted, as a digest."""
+    """Lines left after repeated runs of three lines, or of 50 words, are deleted, as a digest."""
     left = delete_repeated_runs(table(spark, sf_dir, "documents"))
     return left.select(
         "doc_id", "lines_total", "lines_removed", "runs_removed",

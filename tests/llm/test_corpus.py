@@ -93,6 +93,14 @@ def test_line_dedup(documents):
     assert {"n", "node", "rank"} <= set(found[0].asDict())
 
 
+def test_line_dedup_of_few_long_lines(documents):
+    long, half, other = prose(31, 60), prose(32, 30), prose(33, 30)
+    texts = ["\n".join(["a", long, "b", half, other, "c"]), f"x\n{long}\ny", long, f"{half}\n{other}", f"p\n{half}\n{other}\nq",
+             f"r\n{half}\ns", "a\nb"]
+    found = {r.doc_id: r.lines_kept for r in delete_repeated_runs(documents(texts)).collect()}
+    assert found == {0: texts[0], 1: "x\ny", 2: "", 3: "", 4: "p\nq", 5: texts[5], 6: texts[6]}
+
+
 def test_near_vectors(spark):
     draw = np.random.default_rng(3)
     base = draw.standard_normal((30, 16))
