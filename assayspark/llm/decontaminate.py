@@ -1,10 +1,11 @@
 """Benchmark decontamination by templates.
 
 A word, without punctuation at either end, becomes a placeholder if it begins with a digit (a number), is a unit of measure,
-or begins with a capital (a name). Windows of template words are hash-joined with those of
-the benchmark. A document holds an item if enough of the item's windows stand in it, along alignments in which
-equal slots of the item are filled alike in the document and different ones differently. Numbers, names and units may
-thus have been exchanged, but not at random. DataFrame functions only.
+or begins with a capital (a name). Windows of template words, and of words in lower case, are hash-joined with those of
+the benchmark. A window whose words equal the item's but for case counts as it is. Windows with exchanged words count in runs, which
+end at windows without: in a run equal slots of the item must be filled alike in the document and different ones
+differently. Numbers, names and units may thus have been exchanged, but not at random. A document holds an item if
+enough of the item's windows count, or if it has EXCERPT words of the item in a row. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from assayspark.llm.common import BLANKS, computed, cut_lineage, join_small
 
 WINDOW = 5
 PERCENT = 80
+#: Words of an item in a row that are enough, whatever its length.
+EXCERPT = 30
 PUNCTUATION = ".,;:!?\"'()[]{}<>*_`~|/\\«»„“”‚‘’…–—¿¡-+$€£%"
 # Units of measure that are no ordinary words.
 UNITS = """mm cm km inch inches ft feet yd yards mi miles mg kg oz lb lbs pounds ml cl litre litres liter liters gal gallons
@@ -45,12 +48,24 @@ def template_words(text: Column) -> Column:
 
 
 def template_windows(rows: DataFrame, key: str, window: int = WINDOW) -> DataFrame:
-    """(key, place, hash) of every window of ``text``; fewer words than ``window`` make one window, none makes none."""
-    hashes = F.transform(template_words(F.col("text")), lambda p: F.xxhash64(p))
-    hashed = computed(rows.select(key, "text"), "one", hashes).select(key, "one", F.size("one").alias("n")).filter("n > 0")
-    starts = F.sequence(F.lit(1), F.greatest(F.col("n") - window, F.lit(0)) + 1)
-    keys = F.transform(starts, lambda at: F.xxhash64(F.slice("one", at, window)))
-    return hashed.select(key, F.posexplode(keys).alias("place", "hash"))
+    """(key, place, hash) of every window of ``text``, by its template and by its words in lower case, once if these agree.
+
+    Fewer words than ``window`` make one window, none makes none.
+    """
+    hashes = F.struct(
+        F.transform(template_words(F.col("text")), lambda p: F.xxhash64(p)).alias("one"),
+        F.transform(bare_words(F.lower("text")), lambda p: F.xxhash64(p)).alias("low"),
+    )
+    hashed = computed(rows.select(key, "text"), "both", hashes).select(
+        key, "both.one", "both.low", F.size("both.one").alias("n")
+    ).filter("n > 0")
+    starts = F.sequence(F.lit(0), F.greatest(F.col("n") - window, F.lit(0)))
+
+    def own(at: Column) -> Column:
+        return F.array_distinct(F.array(*(F.xxhash64(F.slice(c, at + 1, window)) for c in ("one", "low"))))
+
+    placed = hashed.select(key, F.posexplode(F.transform(starts, own)).alias("place", "own"))
+    return placed.select(key, "place", F.explode("own").alias("hash"))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
@@ -61,44 +76,74 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> tuple[DataF
     return items, cut_lineage(template_windows(items, "item", window).withColumnsRenamed({"place": "item_place"}))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, percent: int = PERCENT) -> DataFrame:
+def counted_windows(aligned: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows (text_key, item, ``places`` and ``pairs``) with ``counted``, the places that count, and ``longest``, the most
+    words in a row that differ by case at most. ``pairs`` has the words of item and text in lower case, one pair per word of the item.
+    """
+
+    def covered(at: Column) -> Column:
+        return F.slice("pairs", at + 1, window)
+
+    same = F.filter("places", lambda at: F.forall(covered(at), lambda p: p.a.eqNullSafe(p.b)))
+    split = computed(aligned, "same", same)
+    other = F.filter("places", lambda at: ~F.array_contains("same", at))
+    runs = F.transform(other, lambda at: F.struct(F.size(F.filter("same", lambda s: s < at)).alias("run"), at.alias("at")))
+    split = computed(split, "runs", runs)
+    ids = F.array_distinct(F.transform("runs", lambda r: r.run))
+    groups = F.transform(ids, lambda k: F.transform(F.filter("runs", lambda r: r.run == k), lambda r: r["at"]))
+    split = computed(split, "groups", F.transform(groups, lambda g: F.struct(
+        g.alias("at"), F.array_distinct(F.flatten(F.transform(g, covered))).alias("pairs")
+    )))
+
+    def consistent(g: Column) -> Column:
+        n = F.size(g.pairs)
+        left, right = F.transform(g.pairs, lambda p: p.a), F.transform(g.pairs, lambda p: p.b)
+        return (F.size(F.array_distinct(left)) == n) & (F.size(F.array_distinct(right)) == n)
+
+    kept = F.flatten(F.transform(F.filter("groups", consistent), lambda g: g["at"]))
+    ends = F.filter("same", lambda at: ~F.array_contains("same", at + 1))
+    begins = F.filter("same", lambda at: ~F.array_contains("same", at - 1))
+    stretch = F.array_max(F.zip_with(ends, begins, lambda e, b: F.least(e + window, F.size("pairs")) - b))
+    return split.select("text_key", "item", F.concat("same", kept).alias("counted"),
+                        F.coalesce(stretch, F.lit(0)).alias("longest"))
+
+
+def leaks(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, percent: int = PERCENT, excerpt: int = EXCERPT
+) -> DataFrame:
     """(text_key, item_id, n_windows, n_found): benchmark items held by a text, by the md5 of the text.
 
-    n_windows counts the item's windows, n_found those that consistent alignments find; ``100 * n_found >= percent *
-    n_windows``. Null and empty texts and items hold nothing. Items that repeat are one; an item without an item_id is
-    reported with a null one. Other columns are not read.
+    n_windows counts the item's windows, n_found those that count; ``100 * n_found >= percent * n_windows``, or ``excerpt`` words of
+    the item stand in the text in a row, by case at most different. Null and empty texts and items hold nothing. Items that
+    repeat are one; an item without an item_id is reported with a null one. Other columns are not read.
     """
     items, wanted = benchmark_windows(benchmark, window)
     texts = docs.filter(F.col("text").isNotNull()).select(F.md5("text").alias("text_key"), "text")
     hits = cut_lineage(
-        join_small(template_windows(texts, "text_key", window), wanted, ["hash"], "inner", 32).distinct()
-        .withColumn("shift", F.col("place") - F.col("item_place"))
+        join_small(template_windows(texts, "text_key", window), wanted, ["hash"], "inner", 32)
+        .select("text_key", "item", "place", "item_place").distinct().withColumn("shift", F.col("place") - F.col("item_place"))
     )
     numbers = items.select("item", "item_id", F.greatest(F.size("words") - window + 1, F.lit(1)).alias("n_windows"))
     enough = 100 * F.col("n_found") >= percent * F.col("n_windows")
     likely = hits.groupBy("text_key", "item").agg(F.count_distinct("item_place").alias("n_found"))
-    likely = cut_lineage(join_small(likely, numbers, ["item"], "inner").filter(enough).select("text_key", "item"))
-    aligned = hits.join(likely, ["text_key", "item"])
-    spots = aligned.select(
-        "text_key", "item", "shift", "item_place", F.explode(F.sequence(F.lit(0), F.lit(window - 1))).alias("step")
-    ).select("text_key", "item", "shift", (F.col("item_place") + F.col("step")).alias("spot")).distinct()
-    some = join_small(texts, cut_lineage(likely.select("text_key").distinct()), ["text_key"], "inner")
-    held = cut_lineage(some.dropDuplicates(["text_key"]).select("text_key", bare_words(F.col("text")).alias("words")))
-    filled = join_small(spots, items.select("item", F.col("words").alias("item_words")), ["item"], "inner", 4096).select(
-        "text_key", "shift", "item", "spot", F.get("item_words", F.col("spot")).alias("in_item"),
-    ).join(held, "text_key").select(
-        "text_key", "item", "shift", "in_item", F.get("words", F.col("spot") + F.col("shift")).alias("in_text"),
-    ).filter("in_item is not null and in_text is not null")
-    slot = F.lower("in_item") != F.lower("in_text")
-    kinds = filled.withColumn("pair", F.concat_ws("\t", F.lower("in_item"), F.lower("in_text")))
-    alike = kinds.groupBy("text_key", "item", "shift").agg(
-        F.count_distinct("pair").alias("pairs"), F.count_distinct(F.lower("in_item")).alias("left"),
-        F.count_distinct(F.lower("in_text")).alias("right"), F.max(slot).alias("changed"),
-    ).filter("not changed or (pairs = left and pairs = right)").select("text_key", "item", "shift")
-    found = aligned.join(alike, ["text_key", "item", "shift"], "left_semi").groupBy("text_key", "item").agg(
-        F.count_distinct("item_place").alias("n_found")
+    likely = cut_lineage(join_small(likely, numbers, ["item"], "inner").filter(
+        enough | (F.col("n_found") > excerpt - window)
+    ).select("text_key", "item"))
+    aligned = hits.join(likely, ["text_key", "item"]).groupBy("text_key", "item", "shift").agg(
+        F.array_sort(F.collect_set("item_place")).alias("places")
     )
-    return cut_lineage(join_small(found, numbers, ["item"], "inner").filter(enough).select(
+    some = join_small(texts, cut_lineage(likely.select("text_key").distinct()), ["text_key"], "inner")
+    held = cut_lineage(some.dropDuplicates(["text_key"]).select("text_key", bare_words(F.lower("text")).alias("words")))
+    lower = items.select("item", F.transform("words", lambda w: F.lower(w)).alias("item_words"))
+    filled = join_small(aligned, lower, ["item"], "inner", 4096).join(held, "text_key")
+    pairs = F.transform("item_words", lambda w, k: F.struct(
+        w.alias("a"), F.when(k + F.col("shift") >= 0, F.get("words", k + F.col("shift"))).alias("b")
+    ))
+    counted = cut_lineage(counted_windows(computed(filled, "pairs", pairs), window))
+    found = counted.select("text_key", "item", "longest", F.explode_outer("counted").alias("item_place")).groupBy(
+        "text_key", "item"
+    ).agg(F.count_distinct("item_place").alias("n_found"), F.max("longest").alias("longest"))
+    return cut_lineage(join_small(found, numbers, ["item"], "inner").filter(enough | (F.col("longest") >= excerpt)).select(
         "text_key", "item_id", F.col("n_windows").cast("long").alias("n_windows"), "n_found"
     ))
 

@@ -256,6 +256,17 @@ def test_decontamination(spark, documents):
     assert leaked_documents(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_copies_with_small_changes(spark, documents):
+    long = "The first box is red and the second one " + prose(41, 51)
+    bench = spark.createDataFrame([(1, long), (2, "Alice has 3 apples and " + prose(42, 40))], "item_id long, text string")
+    own = long.split()
+    muddled = long.replace("The first", "An first")
+    texts = [muddled, long.upper(), prose(43, 9) + " " + " ".join(own[:45]), " ".join(own[:25]), prose(44, 60),
+             " ".join(own[5:34]), " ".join(own[5:35])]
+    found = {(r.doc_id, r.item_id) for r in leaked_documents(documents(texts), bench).collect()}
+    assert found == {(0, 1), (1, 1), (2, 1), (6, 1)}
+
+
 def brute_bytes(rows):
     data = sorted((i, (t or "").encode()) for i, t in rows)
     first, out = {}, {}
