@@ -2,9 +2,9 @@
 
 Markup is stripped so that every block of text is one line and everything that is not running text
 (menus, headers outside the article, footers, sidebars, notices, adverts, forms, comments) leaves
-an empty line. Text lengths are summed over windows of lines that follow each line; where the sum surges from nothing a
-region starts, where it dives to nothing it ends. Pages that mark an article keep the regions inside it,
-others the region with the most text and those next to it that are of its kind.
+an empty line. Pages that mark an article keep the lines inside it. On others text lengths are summed over windows of WINDOW
+lines of text; the main stretch goes from the first window whose sum surges to a share of the largest, to the last before the sums dive
+below it. All its lines are kept, however short.
 """
 
 from __future__ import annotations
@@ -18,7 +18,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WINDOW = 1
+WINDOW = 5
+#: A window is dense from one part in so many of the largest sum.
+DENSE = 8
 # Element names of HTML.
 DROPPED = frozenset("""script style noscript template head title svg math canvas iframe object select option textarea
     button nav aside footer form menu dialog audio video""".split())
@@ -31,6 +33,14 @@ NOISE_WORDS = frozenset("""ad ads advert adverts advertisement advertising banne
     breadcrumbs menu nav navbar navigation footer masthead pagination widget disqus""".split())
 NOISE_ROLES = frozenset("navigation banner complementary contentinfo search form dialog alert".split())
 MAIN = frozenset(["article", "main"])
+_CELLS, _ROWS = ["td", "th"], ["tr", "tbody", "thead", "tfoot"]
+#: Elements without need of an end tag, and the start tags that end them.
+ENDED_BY = {
+    "p": frozenset("""address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2
+        h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul li dt dd td th tr tbody thead tfoot""".split()),
+    "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
+    **{k: frozenset(_CELLS + _ROWS) for k in _CELLS}, "tr": frozenset(_ROWS), **{k: frozenset(_ROWS[1:]) for k in _ROWS[1:]},
+}
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
@@ -58,6 +68,22 @@ def _hidden(attributes: str) -> bool:
     )
 
 
+def _ends(dropping: str, nested: list[str], closing: bool, name: str) -> bool:
+    """Whether a tag ends a dropped element without an end tag of its own; ``nested`` has the elements open in it, and is kept up."""
+    if name in VOID and name not in ENDED_BY[dropping] or name in INLINE:
+        return False
+    if not closing:
+        if name in ENDED_BY[dropping] and all(n in ENDED_BY for n in nested):
+            return True
+        nested.append(name)
+    elif name in nested:
+        while nested.pop() != name:
+            pass
+    else:
+        return name != "p" and name not in VOID
+    return False
+
+
 def text_lines(page: str) -> tuple[list[str], list[int]]:
     """Blocks of text with empty lines where something was dropped, and for each the number of article elements around it."""
     lines: list[str] = []
@@ -65,6 +91,7 @@ def text_lines(page: str) -> tuple[list[str], list[int]]:
     held: list[str] = []
     open_main = dropped = 0
     dropping = ""
+    nested: list[str] = []
     at, n = 0, len(page)
 
     def end_line(gap: bool = False) -> None:
@@ -87,7 +114,12 @@ def text_lines(page: str) -> tuple[list[str], list[int]]:
         if not found[2]:
             continue
         closing, name = bool(found[1]), found[2].lower()
-        if dropped:
+        if dropped and dropping in ENDED_BY and not (closing and name == dropping and name not in nested):
+            if not _ends(dropping, nested, closing, name):
+                continue
+            dropped = 0
+            end_line(gap=True)
+        elif dropped:
             if name == dropping:
                 dropped += -1 if closing else not found[3].rstrip().endswith("/") and name not in VOID
             if not dropped:
@@ -100,6 +132,7 @@ def text_lines(page: str) -> tuple[list[str], list[int]]:
                 at = ended.end() if ended else n
             elif name not in VOID and not found[3].rstrip().endswith("/"):
                 dropped, dropping = 1, name
+                nested.clear()
             continue
         if name in MAIN:
             end_line(gap=True)
@@ -115,21 +148,13 @@ def main_text(page: str | None) -> str:
     lines, inside = text_lines(page or "")
     if not lines:
         return ""
-    sizes = np.array([len(line) for line in lines], dtype=np.int64)
-    sums = np.convolve(sizes, np.ones(WINDOW, dtype=np.int64))[WINDOW - 1:]
-    full = np.concatenate([[0], (sums > 0).astype(np.int8), [0]])
-    surges, dives = np.flatnonzero(np.diff(full) == 1), np.flatnonzero(np.diff(full) == -1)
     if any(inside):
-        kept = [i for a, b in zip(surges, dives, strict=True) for i in range(a, b) if inside[i]]
-    else:
-        amount = [sizes[a:b].sum() for a, b in zip(surges, dives, strict=True)]
-        longest = [sizes[a:b].max() for a, b in zip(surges, dives, strict=True)]
-        top = int(np.argmax(amount))
-        kept = [
-            i for k, (a, b) in enumerate(zip(surges, dives, strict=True))
-            if k == top or longest[k] * 4 >= longest[top] for i in range(a, b)
-        ]
-    return " ".join(lines[i] for i in kept if lines[i])
+        return " ".join(line for line, within in zip(lines, inside, strict=True) if line and within)
+    lines = [line for line in lines if line]
+    width = min(WINDOW, len(lines))
+    sums = np.convolve([len(line) for line in lines], np.ones(width, dtype=np.int64), "valid")
+    dense = np.flatnonzero(sums * DENSE >= sums.max())
+    return " ".join(lines[dense[0]:dense[-1] + width])
 
 
 def extract_main_text(pages: DataFrame, page: str = "html") -> DataFrame:

@@ -369,6 +369,21 @@ def test_main_text(spark):
     assert all(r.n_chars == len(r.text) for r in found)
 
 
+def test_main_text_without_an_article():
+    long, ad = "word " * 60 + "end.", "<div class=ad>Buy</div>"
+    body = f"<h1>Title</h1>{ad}<p>{long}</p>{ad}<p>Short.</p>{ad}<p>{long}</p>{ad}<p>So.</p><p>.</p>"
+    wanted = f"Title {long} Short. {long} So. ."
+    assert main_text(PAGE.replace("{}", f"<div>{body}</div>", 1).replace("{}", "word " * 4)) == wanted
+
+
+def test_dropped_elements_without_end_tag():
+    for body in ("<p>One<p class=ad>Buy <b>now</b><p>Two", "<div><p>One</p><div><p class=ad>Buy</div><p>Two</p></div>",
+                 "One<ul><li class=share>Share<ul><li>x</ul><li>Two</ul>", "<ul><li class=share>Share</li><li>One</ul>Two",
+                 "<table><tr><td>One<td class=ad>Buy<tr><td>Two</table>", "<table><tr><td>One<tr class=ad><td>Buy</table>Two",
+                 "<p>One<dl><dt class=ad>Buy<dd class=ad>x<p>y</dl>Two", "One<p class=ad>Buy</p>Two"):
+        assert main_text(f"<body>{body}</body>") == main_text(f"<article>{body}</article>") == "One Two"
+
+
 def test_main_text_of_the_given_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     for r in pages.collect():
