@@ -10,8 +10,8 @@ A short list gives its pairs, of which those go that sketches prove dissimilar.
 
 Answers. Pairs and long lists that share a set form a candidate group. Inside it every set's overlaps with the others are derived
 from those of the set before it by the shingles in which the two differ, where these are fewer than its
-own; of each shingle's list, which is ordered by set size, only the positions of possible sizes are read. Groups beyond a
-number of shingles are cut into portions, compared two at a time.
+own; of each shingle's list, which is ordered by set size, only the positions of possible sizes are read. The set before
+is the next smaller one, not one chosen for its likeness. Groups beyond a number of shingles are cut into portions, compared two at a time.
 """
 
 from __future__ import annotations
@@ -210,6 +210,13 @@ def _may_link(percent: int):
     return may_link
 
 
+def _positions(entries: np.ndarray, tokens: np.ndarray, low: int, n: int) -> np.ndarray:
+    """Positions of the tokens' lists from the first set not below ``low``; ``entries`` has token * n + set in order."""
+    a, b = np.searchsorted(entries, tokens * n + low), np.searchsorted(entries, tokens * n + n)
+    lengths = b - a
+    return np.arange(lengths.sum()) + np.repeat(a - (np.cumsum(lengths) - lengths), lengths)
+
+
 def overlaps_join(sets: list[np.ndarray], side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of the similar pairs: among all sets if their side is 2, across sides 0 and 1 otherwise."""
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
@@ -219,17 +226,12 @@ def overlaps_join(sets: list[np.ndarray], side: np.ndarray, percent: int) -> tup
     ends = np.cumsum(sorted_sizes)
     own = [np.sort(flat[e - s:e]) for s, e in zip(sorted_sizes.tolist(), ends.tolist(), strict=True)]
     owner = np.repeat(np.arange(n), sorted_sizes)
-    by_token = np.argsort(flat, kind="stable")
-    holders = owner[by_token]
-    list_start = np.searchsorted(flat[by_token], np.arange(flat.max() + 2 if len(flat) else 1))
+    entries = np.sort(flat * n + owner)
+    holders = entries % n
     lowest = np.searchsorted(sorted_sizes, -(-sorted_sizes * percent // 100))
 
     def count(tokens: np.ndarray, low: int) -> np.ndarray:
-        a, b = list_start[tokens], list_start[tokens + 1]
-        lengths = b - a
-        at = np.arange(lengths.sum()) + np.repeat(a - (np.cumsum(lengths) - lengths), lengths)
-        found = holders[at]
-        return np.bincount(found[found >= low] - low, minlength=n - low)
+        return np.bincount(holders[_positions(entries, tokens, low, n)] - low, minlength=n - low)
 
     left, right, before = [], [], None
     for place in range(n):

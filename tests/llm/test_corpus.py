@@ -177,6 +177,12 @@ def test_overlaps_across_two_portions():
     assert found == expected
 
 
+def test_lists_are_read_from_the_least_set():
+    entries = np.array([0, 1, 4, 5, 7, 9])  # token 0 in sets 0, 1 and 4, token 1 in 0, 2 and 4
+    assert jaccard._positions(entries, np.array([0, 1]), 2, 5).tolist() == [2, 4, 5]
+    assert jaccard._positions(entries, np.array([1]), 0, 5).tolist() == [3, 4, 5]
+
+
 def test_portions_meet_once(documents, monkeypatch):
     monkeypatch.setattr(jaccard, "PORTION", 50)
     texts = [prose(1, 40) + f" end{k}" for k in range(20)]
