@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from assayspark.llm import langid
 from assayspark.llm.bytespans import strip_repeats
+from assayspark.llm.centroids import cluster_digests, cluster_vectors
+from assayspark.llm.codes import code_digests, compress_vectors
 from assayspark.llm.common import scratch_folder, table
 from assayspark.llm.decontaminate import leaked_documents
 from assayspark.llm.jaccard import jaccard_groups
+from assayspark.llm.licenses import license_scan
 from assayspark.llm.lines import delete_repeated_runs
 from assayspark.llm.maintext import extract_main_text
 from assayspark.llm.mixing import mix
@@ -76,9 +79,22 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_digests(*compress_vectors(table(spark, sf_dir, "embeddings")))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents")).drop("places")
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_digests(*cluster_vectors(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_line_dedup, op2_near_vectors, op3_jaccard_join, op4_token_blocks, op5_token_counts, op6_decontamination,
-        op7_suffix_dedup, op8_main_text, op9_language_id, op10_source_mix,
+        op7_suffix_dedup, op8_main_text, op9_language_id, op10_source_mix, op11_vector_codes, op12_license_scan,
+        op13_centroid_clusters,
     )
 }
