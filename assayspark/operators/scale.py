@@ -44,6 +44,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(df: DataFrame) -> None:
+    """Delete the written table behind ``df``, once every table worked out from it is written too."""
+    spark = df.sparkSession
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if scratch_folder(spark).rsplit("/", 1)[-1] not in path.split("/"):
+            raise ValueError(f"{path} is no table of this application")
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Equi-join in which a NULL key meets a NULL key; the key columns come from the left."""
     renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
