@@ -47,8 +47,8 @@ def cases():
             before, after = (draw.choices([*vocabulary, "tree", "é", "Straße"], k=draw.randrange(6)) for _ in range(2))
             text = draw.choice([" ", "\n// ", " * "]).join(before + own + after)
             texts.append(draw.choice([text, text.upper(), text * 3]))
-    texts += [None, "", " \n", "cc", "apache license version 2 apache license version 2apache license version 2.0", "CC-BY-NC" * 5000,
-              "under the mit license " * 400 + "ſ", "CC BY\x00NC and CC BY-NC", "the " * 50000 + "MIT License"]
+    texts += [None, "", " \n", "cc", "apache license version 2 apache license version 2apache license version 2.0", "CC-BY-NC " * 900,
+              "under the mit license " * 400 + "ſ", "CC BY\x00NC and CC BY-NC", "the " * 5000 + "MIT License"]
     return texts
 
 
