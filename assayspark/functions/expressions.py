@@ -139,3 +139,38 @@ def fill_defaults(df: DataFrame) -> DataFrame:
 def select_first(df: DataFrame, names: list[str]) -> DataFrame:
     """Named columns first, the others after them in their old order."""
     return df.select(*names, *[c for c in df.columns if c not in names])
+
+
+# Wichura's rational approximations of the normal quantile, highest power first.
+_CENTRE = (
+    (2.5090809287301226727e3, 3.3430575583588128105e4, 6.7265770927008700853e4, 4.5921953931549871457e4,
+     1.3731693765509461125e4, 1.9715909503065514427e3, 1.3314166789178437745e2, 3.3871328727963666080),
+    (5.2264952788528545610e3, 2.8729085735721942674e4, 3.9307895800092710610e4, 2.1213794301586595867e4,
+     5.3941960214247511077e3, 6.8718700749205790830e2, 4.2313330701600911252e1, 1.0),
+)
+_FLANK = (
+    (7.74545014278341407640e-4, 2.27238449892691845833e-2, 2.41780725177450611770e-1, 1.27045825245236838258,
+     3.64784832476320460504, 5.76949722146069140550, 4.63033784615654529590, 1.42343711074968357734),
+    (1.05075007164441684324e-9, 5.47593808499534494600e-4, 1.51986665636164571966e-2, 1.48103976427480074590e-1,
+     6.89767334985100004550e-1, 1.67638483018380384940, 2.05319162663775882187, 1.0),
+)
+_END = (
+    (2.01033439929228813265e-7, 2.71155556874348757815e-5, 1.24266094738807843860e-3, 2.65321895265761230930e-2,
+     2.96560571828504891230e-1, 1.78482653991729133580, 5.46378491116411436990, 6.65790464350110377720),
+    (2.04426310338993978564e-15, 1.42151175831644588870e-7, 1.84631831751005468180e-5, 7.86869131145613259100e-4,
+     1.48753612908506148525e-2, 1.36929880922735805310e-1, 5.99832206555887937690e-1, 1.0),
+)
+
+
+def _ratio(coefficients: tuple, x: Column) -> Column:
+    top, bottom = (reduce(lambda total, c: total * x + c, part[1:], F.lit(part[0])) for part in coefficients)
+    return top / bottom
+
+
+def normal_quantile(p: Column) -> Column:
+    """Standard normal quantile, to about the last digit; infinite at 0 and 1, NULL outside."""
+    off = p - 0.5
+    root = F.sqrt(-F.ln(F.least(p, 1 - p)))
+    flank = F.when(root <= 5, _ratio(_FLANK, root - 1.6)).otherwise(_ratio(_END, root - 5))
+    inside = F.when(F.abs(off) <= 0.425, off * _ratio(_CENTRE, 0.180625 - off * off)).otherwise(F.signum(off) * flank)
+    return F.when(p == 0, F.lit(float("-inf"))).when(p == 1, F.lit(float("inf"))).when((p > 0) & (p < 1), inside)

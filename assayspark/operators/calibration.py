@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayspark.functions.aggregates import cv, first_row, mean
-from assayspark.functions.expressions import log10_positive, mass_concentration, ratio_or_area, transition_label
+from assayspark.functions.expressions import joined_label, log10_positive, mass_concentration, ratio_or_area, transition_label
 from assayspark.operators.joins import lookup_first
 from assayspark.operators.replicates import ISOTOPES, TRANSITION
 from assayspark.operators.reshape import pivot_multi
@@ -20,7 +20,10 @@ def ratio_fallback(df: DataFrame, ratio: str = "lth") -> DataFrame:
 
 
 def tidify_calibration(df: DataFrame, on_duplicate: str = "error") -> DataFrame:
-    """One row per replicate and transition, zero ratios replaced by the area ratio."""
+    """One row per replicate and transition, zero ratios replaced by the area ratio.
+
+    Six measures become a heavy and a light column each; other columns come from the transition's first row.
+    """
     ids = ["replicate_name", *TRANSITION]
     measures = [m for m in CURVE_MEASURES if m in df.columns]
     rest = [c for c in df.columns if c not in {"isotope", *measures, *ids}]
@@ -30,6 +33,16 @@ def tidify_calibration(df: DataFrame, on_duplicate: str = "error") -> DataFrame:
     return ratio_fallback(wide)
 
 
+def with_calibration_ids(tidy: DataFrame) -> DataFrame:
+    """Add the three pasted ids of a calibration row; they serve display, the columns behind them identify it."""
+    transition = transition_label()
+    return tidy.withColumns({
+        "transition_id": F.concat_ws("_", joined_label("replicate_name"), transition),
+        "experiment_id": joined_label("subject_id", "condition", sep=" "),
+        "experiment_transition_id": F.concat_ws(" ", joined_label("curvepoint"), transition),
+    })
+
+
 def curve_replicates(tidy: DataFrame, info: DataFrame) -> DataFrame:
     """Light-to-heavy ratio and concentrations per curve point, peptide and trial; NULLs are left out."""
     averaged = tidy.groupBy("curvepoint", "peptide", "trial").agg(

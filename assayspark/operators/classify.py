@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayspark.functions.expressions import logistic, logit_cutoff
@@ -65,7 +65,11 @@ def logistic_fit(
     x or the label does not vary; ``separated`` where a cut-off splits the classes without error, so
     that the slope has no finite optimum.
     """
-    inputs = cut_lineage(_inputs(df, analyte, x, y))
+    return _fit(cut_lineage(_inputs(df, analyte, x, y)), analyte, threshold, max_iter, tol)
+
+
+def _fit(inputs: DataFrame, analyte: list[str], threshold: float, max_iter: int = 25, tol: float = 1e-8) -> DataFrame:
+    """``logistic_fit`` from a written tally: analyte, x, y and the rows ``w`` that have them."""
     params = _start(inputs, analyte)
     spread = attach(inputs, params.select(*analyte, "_centre", "_scale"), analyte).select(
         *analyte, F.try_divide(F.col("x") - F.col("_centre"), F.col("_scale")).alias("x"), "y", "w"
@@ -127,14 +131,17 @@ def score(df: DataFrame, fits: DataFrame, analyte: list[str], x: str, threshold:
 
 
 def confusion_metrics(
-    scored: DataFrame, analyte: list[str], label: str, predicted: str = "predicted", digits: int = 2
+    scored: DataFrame, analyte: list[str], label: str, predicted: str = "predicted", digits: int = 2, weight: str | None = None
 ) -> DataFrame:
-    """Counts, accuracy, sensitivity and specificity; a rate without cases is NULL."""
+    """Counts, accuracy, sensitivity and specificity; a rate without cases is NULL. ``weight`` is the rows a row stands for."""
+    def rows(which: Column) -> Column:
+        return F.sum(F.when(which, F.col(weight)).otherwise(0)).cast("bigint") if weight else F.count_if(which)
+
     hit = F.col(predicted) == F.col(label)
     positive = F.col(label) == 1
     counts = scored.filter(F.col(predicted).isNotNull() & F.col(label).isNotNull()).groupBy(*analyte).agg(
-        F.count_if(hit & positive).alias("tp"), F.count_if(hit & ~positive).alias("tn"),
-        F.count_if(~hit & ~positive).alias("fp"), F.count_if(~hit & positive).alias("fn"),
+        rows(hit & positive).alias("tp"), rows(hit & ~positive).alias("tn"),
+        rows(~hit & ~positive).alias("fp"), rows(~hit & positive).alias("fn"),
     )
 
     def rate(part, whole):
@@ -148,11 +155,12 @@ def confusion_metrics(
     })
 
 
-def _labelled(df: DataFrame, analyte: list[str], score_col: str, label: str) -> DataFrame:
+def _labelled(df: DataFrame, analyte: list[str], score_col: str, label: str, weight: str | None = None) -> DataFrame:
     known = df.filter(F.col(score_col).isNotNull() & F.col(label).isNotNull())
+    rows = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
     return known.select(
-        *analyte, F.col(score_col).alias("cutoff"),
-        (F.col(label) == 1).cast("bigint").alias("pos"), (F.col(label) != 1).cast("bigint").alias("neg"),
+        *analyte, F.col(score_col).alias("cutoff"), rows.alias("_rows"),
+        ((F.col(label) == 1).cast("bigint") * rows).alias("pos"), ((F.col(label) != 1).cast("bigint") * rows).alias("neg"),
     )
 
 
@@ -180,10 +188,12 @@ def roc_curve(df: DataFrame, analyte: list[str], score_col: str, label: str) ->
     return rates(walked).unionByName(rates(origin))
 
 
-def auc(df: DataFrame, analyte: list[str], score_col: str, label: str, digits: int | None = 2) -> DataFrame:
-    """Area under the ROC curve from tie-averaged ranks; NULL with a single class."""
+def auc(
+    df: DataFrame, analyte: list[str], score_col: str, label: str, digits: int | None = 2, weight: str | None = None
+) -> DataFrame:
+    """Area under the ROC curve from tie-averaged ranks; NULL with a single class. ``weight`` is the rows a row stands for."""
     ranked = average_ranks(
-        _labelled(df, analyte, score_col, label), analyte, "cutoff", counts=["pos", "neg"]
+        _labelled(df, analyte, score_col, label, weight), analyte, "cutoff", counts=["pos", "neg"], weight="_rows"
     )
     sums = ranked.groupBy(*analyte).agg(
         F.sum(F.col("rank") * F.col("pos")).alias("_r"),
@@ -201,17 +211,22 @@ def classifier_table(
     """Cut-off, accuracy, sensitivity, specificity and area per analyte.
 
     ``fit_on="all"`` fits and scores all rows. ``"train"`` fits the drawn fraction and scores the
-    rest; it needs ``row_key``.
+    rest; it needs ``row_key``. The rows are read once, into one tally of x and label per analyte, from which fit, confusion and area
+    are worked out. The area ranks x itself, turned where the slope falls, as a probability near 0 or 1 loses its order.
     """
     if fit_on == "train":
         parts = cut_lineage(train_test_split(df, analyte, row_key, fraction, seed))
-        train, test = parts.filter("is_train"), parts.filter("not is_train")
+        train, test = (cut_lineage(_inputs(parts.filter(own), analyte, x, y)) for own in ("is_train", "not is_train"))
     else:
-        train = test = df
-    fits = cut_lineage(logistic_fit(train, analyte, x, y, threshold))
-    scored = score(test, fits, analyte, x, threshold)
-    table = null_safe_join(fits, confusion_metrics(scored, analyte, y), analyte)
-    return null_safe_join(table, auc(scored, analyte, "probability", y), analyte).select(
+        train = test = cut_lineage(_inputs(df, analyte, x, y))
+    fits = cut_lineage(_fit(train, analyte, threshold))
+    turned = attach(test, fits.select(*analyte, "intercept", "slope"), analyte)
+    scored = cut_lineage(turned.select(
+        *analyte, "y", "w", (F.signum("slope") * F.col("x")).alias("_turned"),
+        logistic(F.col("intercept"), F.col("slope"), F.col("x")).alias("probability"),
+    ).withColumn("predicted", F.when(F.col("probability").isNotNull(), (F.col("probability") > threshold).cast("int"))))
+    table = null_safe_join(fits, confusion_metrics(scored, analyte, "y", weight="w"), analyte)
+    return null_safe_join(table, auc(scored, analyte, "_turned", "y", weight="w"), analyte).select(
         *analyte, "n", "cutoff", "accuracy", "sensitivity", "specificity", "auc", "converged", "separated"
     )
 

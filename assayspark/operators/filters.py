@@ -19,9 +19,12 @@ def limit_categories(df: DataFrame, column: str, categories: list[str]) -> DataF
     return df.withColumn("category_order", place.cast("int")).filter(F.col("category_order") > 0)
 
 
-def complete_subjects(df: DataFrame, subject: str, analyte: list[str]) -> DataFrame:
-    """Rows of subjects that have more rows than there are analytes, hence more than one timepoint."""
-    analytes = df.select(F.count_distinct(F.struct(*analyte))).scalar()
+def complete_subjects(df: DataFrame, subject: str, analyte: list[str], study: DataFrame | None = None) -> DataFrame:
+    """Rows of subjects that have more rows than the study has analytes, hence more than one timepoint.
+
+    ``study`` has the study's analytes, once or more often; without it they are those of the rows.
+    """
+    analytes = (df if study is None else study).select(F.count_distinct(F.struct(*analyte))).scalar()
     kept = df.groupBy(subject).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > analytes)
     return attach(df, kept.select(subject), [subject], how="left_semi")
 

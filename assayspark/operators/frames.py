@@ -7,8 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayspark.functions.expressions import hyperbolic_threshold, log10_positive, logistic
-from assayspark.functions.tails import normal_quantile
+from assayspark.functions.expressions import hyperbolic_threshold, log10_positive, logistic, normal_quantile
 from assayspark.operators.calibration import line_fit
 from assayspark.operators.filters import drop_unknown, limit_categories
 from assayspark.operators.scale import attach, cut_lineage, in_slices, null_safe_join, running
@@ -84,11 +83,18 @@ def grouped_quartiles(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def strip_summary(
-    df: DataFrame, analyte: list[str], category: str, value: str = VALUE, categories: list[str] | None = None
+    df: DataFrame, analyte: list[str], category: str, value: str = VALUE, categories: list[str] | None = None,
+    lod: str | None = None,
 ) -> DataFrame:
-    """Box per analyte and category on the log10 scale: count, mean, quartiles, whiskers, outliers."""
+    """Box per analyte and category on the log10 scale: count, mean, quartiles, whiskers, outliers.
+
+    ``lod`` names the column with the analyte's detection limit, the plot's horizontal line; its largest value is added as ``lod``.
+    """
     keys = [*analyte, category]
-    logs = _positive_logs(df, analyte, category, value, categories)
+    if lod:
+        limits = cut_lineage(df.groupBy(*analyte).agg(F.max(lod).alias("lod")))
+        return null_safe_join(strip_summary(df, analyte, category, value, categories), limits, analyte)
+    logs = cut_lineage(_positive_logs(df, analyte, category, value, categories))
     boxes = cut_lineage(grouped_quartiles(logs, keys, "_log"))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("_log").between(F.col("q1") - reach, F.col("q3") + reach)
@@ -107,7 +113,7 @@ def strip_outliers(
 ) -> DataFrame:
     """The points beyond the whiskers, on the log10 scale."""
     keys = [*analyte, category]
-    logs = _positive_logs(df, analyte, category, value, categories)
+    logs = cut_lineage(_positive_logs(df, analyte, category, value, categories))
     boxes = grouped_quartiles(logs, keys, "_log").select(*keys, "q1", "q3")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     joined = attach(logs, boxes, keys)
@@ -167,7 +173,7 @@ def qq_frame(df: DataFrame, value: str, group: list[str] | None = None) -> DataF
     copied = chunks.withColumn("place", F.explode(F.sequence(start, end)))
     shift = F.when(F.col("_all") <= 10, F.lit(0.375)).otherwise(F.lit(0.5))
     positioned = copied.withColumn("p", (F.col("place") - shift) / (F.col("_all") + 1 - 2 * shift))
-    return positioned.withColumn("theoretical", normal_quantile("p")).select(*keys, "place", "value", "p", "theoretical")
+    return positioned.withColumn("theoretical", normal_quantile(F.col("p"))).select(*keys, "place", "value", "p", "theoretical")
 
 
 def curve_frame(points: DataFrame) -> DataFrame:
@@ -205,6 +211,42 @@ def volcano_curve(
     return grid.withColumn("threshold", hyperbolic_threshold(F.col("log2_fc"), fc, alpha))
 
 
+def volcano_plot(
+    table: DataFrame, analyte: list[str], label: str, p: str = "p_bh", flag: str = "flag_bh", low: float = 1.0, high: float = 10.0,
+    steps: int = 100, fc: float = 1.0, alpha: float = 0.05,
+) -> DataFrame:
+    """The whole volcano plot as one frame: ``kind`` is ``point`` or ``curve``.
+
+    Points carry their analyte, flag and ``text``, the label of every point; the curve is the threshold on an even grid, without these.
+    """
+    points = volcano_frame(table, analyte, p, flag)
+    named = null_safe_join(points, table.select(*analyte, F.col(label).alias("text")), analyte).withColumn("kind", F.lit("point"))
+    curve = volcano_curve(table, low, high, steps, fc, alpha).select(
+        F.lit("curve").alias("kind"), "log2_fc", F.col("threshold").alias("neg_log10_p")
+    )
+    return named.unionByName(curve, allowMissingColumns=True)
+
+
+def logistic_plot(
+    df: DataFrame, fits: DataFrame, analyte: list[str], x: str, y: str, steps: int = 100
+) -> DataFrame:
+    """Observed points (``kind`` point) and the fitted line (``kind`` line) on an even grid from the smallest to the largest x.
+
+    An analyte without a fit has no line.
+    """
+    points = logistic_frame(df, fits, analyte, x, y).withColumn("kind", F.lit("point"))
+    ends = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*analyte).agg(
+        F.min(x).cast("double").alias("_low"), F.max(x).cast("double").alias("_high")
+    )
+    known = null_safe_join(ends, fits.filter(F.col("slope").isNotNull()), analyte, "inner")
+    grid = known.withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(steps))))
+    at = F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_step") / steps
+    line = grid.select(
+        *analyte, at.alias(x), logistic(F.col("intercept"), F.col("slope"), at).alias("fitted"), "cutoff", F.lit("line").alias("kind"),
+    )
+    return points.unionByName(line, allowMissingColumns=True)
+
+
 def logistic_frame(
     df: DataFrame, fits: DataFrame, analyte: list[str], x: str, y: str
 ) -> DataFrame:

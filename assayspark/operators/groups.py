@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from assayspark.functions.aggregates import centred_sum_of_squares
 from assayspark.functions.tails import chi2_tail, f_tail, normal_tail, tukey_quantile, tukey_tail
 from assayspark.operators.filters import drop_unknown, significant
-from assayspark.operators.scale import SLICE, cut_lineage, in_slices, null_safe_join, running
+from assayspark.operators.scale import SLICE, attach, cut_lineage, in_slices, null_safe_join, placed_rows, running
 
 
 def _complete(df: DataFrame, analyte: list[str], group: str, value: str) -> DataFrame:
@@ -117,12 +117,16 @@ def duncan_mrt(
     return _duncan(summary, _anova(summary, analyte), analyte, digits)
 
 
-def _rank_summary(df: DataFrame, analyte: list[str], group: str, value: str) -> DataFrame:
+def _tally(df: DataFrame, analyte: list[str], group: str, value: str) -> DataFrame:
+    """Rows ``n`` per analyte, value and group."""
+    return _complete(df, analyte, group, value).groupBy(*analyte, "value", "group").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _rank_summary(tallied: DataFrame, analyte: list[str]) -> DataFrame:
     """Count, rank sum and tie term per analyte and group, materialised.
 
     Equal values are tallied before ranks are made, and ranks come from slices of the value range.
     """
-    tallied = _complete(df, analyte, group, value).groupBy(*analyte, "value", "group").agg(F.count(F.lit(1)).alias("n"))
     counted = running(in_slices(tallied, analyte, ["value"]), analyte, ["value", "group"], sums={"upto": "n"})
     tied = Window.partitionBy(*analyte, SLICE, "value")
     ranked = counted.withColumns({"_tied": F.sum("n").over(tied), "_top": F.max("upto").over(tied)})
@@ -134,6 +138,18 @@ def _rank_summary(df: DataFrame, analyte: list[str], group: str, value: str) ->
     ))
 
 
+def _moments(tallied: DataFrame, analyte: list[str]) -> DataFrame:
+    """``group_summary`` from a written tally: means first, then squares about them."""
+    keys = [*analyte, "group"]
+    means = tallied.groupBy(*keys).agg(
+        F.sum("n").alias("_rows"), (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean")
+    )
+    off = F.col("value") - F.col("mean")
+    return cut_lineage(attach(tallied, means, keys, rows_per_key="_rows").groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.first("mean").alias("mean"), F.sum(F.col("n") * off * off).alias("ss"),
+    ))
+
+
 def _kruskal(ranks: DataFrame, analyte: list[str]) -> DataFrame:
     levels = Window.partitionBy(*analyte)
     total = F.sum("n").over(levels).cast("double")
@@ -154,23 +170,20 @@ def _kruskal(ranks: DataFrame, analyte: list[str]) -> DataFrame:
 
 def kruskal_wallis(df: DataFrame, analyte: list[str], group: str, value: str) -> DataFrame:
     """Tie-corrected H test per analyte; NULL where all values are equal."""
-    return _kruskal(_rank_summary(df, analyte, group, value), analyte).drop("ties")
+    return _kruskal(_rank_summary(_tally(df, analyte, group, value), analyte), analyte).drop("ties")
 
 
 def p_adjust_bh(df: DataFrame, p: str, family: list[str] | None = None, out: str = "p_adjusted") -> DataFrame:
     """Benjamini-Hochberg adjustment over the rows of a family (all rows if none is named).
 
-    Equal p values are tallied first and the tally is adjusted in slices, whatever its size. A NULL stays NULL.
+    The rows are adjusted where their slice of the p values is, whatever the size of a family or a tie. A NULL stays NULL.
     """
     family = family or []
-    kept = cut_lineage(df)
-    tallied = kept.filter(F.col(p).isNotNull()).groupBy(*family, p).agg(F.count(F.lit(1)).alias("_n"))
-    placed = running(
-        in_slices(tallied, family, [p]), family, [p], sums={"_upto": "_n"}, totals={"_all": "_n"}
-    ).withColumn("_raw", F.least(F.lit(1.0), F.col(p) * F.col("_all") / F.col("_upto")))
-    adjusted = running(placed, family, [p], mins={out: "_raw"}, from_top=True)
-    found = null_safe_join(kept.filter(F.col(p).isNotNull()), adjusted.select(*family, p, out), [*family, p])
-    return found.unionByName(kept.filter(F.col(p).isNull()).withColumn(out, F.lit(None).cast("double")))
+    placed = placed_rows(df.filter(F.col(p).isNotNull()), family, p)
+    raw = F.least(F.lit(1.0), F.col(p) * F.col("_all") / (F.col("_before") + F.col("_ties")))
+    sliced = cut_lineage(placed.select(*df.columns, SLICE, raw.alias("_raw")))
+    adjusted = running(sliced, family, [p], mins={out: "_raw"}, from_top=True).drop(SLICE, "_raw")
+    return adjusted.unionByName(df.filter(F.col(p).isNull()).withColumn(out, F.lit(None).cast("double")))
 
 
 def _dunn(ranks: DataFrame, analyte: list[str]) -> DataFrame:
@@ -187,14 +200,17 @@ def _dunn(ranks: DataFrame, analyte: list[str]) -> DataFrame:
 
 def dunn_test(df: DataFrame, analyte: list[str], group: str, value: str) -> DataFrame:
     """Pairwise rank comparison with tie correction, one-sided p, adjusted within the analyte."""
-    return _dunn(_rank_summary(df, analyte, group, value), analyte)
+    return _dunn(_rank_summary(_tally(df, analyte, group, value), analyte), analyte)
 
 
 def anova_posthoc(
     df: DataFrame, analyte: list[str], group: str, value: str, alpha: float = 0.05
 ) -> dict[str, DataFrame]:
     """Analytes with ANOVA p below alpha, and their Tukey and Duncan pairs with p up to alpha."""
-    summary = group_summary(df, analyte, group, value)
+    return _posthoc(group_summary(df, analyte, group, value), analyte, alpha)
+
+
+def _posthoc(summary: DataFrame, analyte: list[str], alpha: float) -> dict[str, DataFrame]:
     passed = cut_lineage(significant(_anova(summary, analyte), "p", alpha))
     concerned = null_safe_join(summary, passed.select(*analyte), analyte, "left_semi")
     return {
@@ -208,7 +224,10 @@ def kruskal_dunn(
     df: DataFrame, analyte: list[str], group: str, value: str, alpha: float = 0.05
 ) -> dict[str, DataFrame]:
     """Analytes with Kruskal-Wallis p below alpha, and their Dunn pairs with adjusted p up to alpha."""
-    ranks = _rank_summary(df, analyte, group, value)
+    return _rank_posthoc(_rank_summary(_tally(df, analyte, group, value), analyte), analyte, alpha)
+
+
+def _rank_posthoc(ranks: DataFrame, analyte: list[str], alpha: float) -> dict[str, DataFrame]:
     passed = cut_lineage(significant(_kruskal(ranks, analyte), "p", alpha))
     concerned = null_safe_join(ranks, passed.select(*analyte), analyte, "left_semi")
     return {
@@ -217,19 +236,31 @@ def kruskal_dunn(
     }
 
 
+def _tally_by_factor(df: DataFrame, analyte: list[str], factors: list[str], value: str) -> DataFrame:
+    """``_tally`` of every factor from one pass: rows ``n`` per factor, analyte, value and level; unknown levels go."""
+    present = df.filter(F.col(value).isNotNull()).select(
+        *analyte, F.col(value).cast("double").alias("value"), *[F.col(f).cast("string").alias(f) for f in factors]
+    )
+    common = [F.col(c) for c in [*analyte, "value"]]
+    counted = present.groupingSets(
+        [[*common, F.col(f)] for f in factors], *common, *[F.col(f) for f in factors]
+    ).agg(F.count(F.lit(1)).alias("n"), *[F.grouping(f).alias(f"_no_{k}") for k, f in enumerate(factors)])
+    own = [F.when(F.col(f"_no_{k}") == 0, F.struct(F.lit(f).alias("factor"), F.col(f).alias("group"))) for k, f in enumerate(factors)]
+    named = counted.select(*analyte, "value", "n", F.coalesce(*own).alias("_own"))
+    return drop_unknown(named.select(F.col("_own.factor").alias("factor"), *analyte, "value", F.col("_own.group").alias("group"), "n"), "group")
+
+
 def group_tests_by_factor(
     df: DataFrame, analyte: list[str], factors: list[str], value: str, alpha: float = 0.05
 ) -> DataFrame:
     """Both test families for every factor in one long result.
 
     Omnibus rows (``anova``, ``kruskal``) carry no groups; pair rows (``tukey``, ``duncan``,
-    ``dunn``) belong to analytes whose omnibus test passed.
+    ``dunn``) belong to analytes whose omnibus test passed. The rows are read once, into one tally for all factors.
     """
-    long = drop_unknown(
-        df.select(*analyte, value, *factors).unpivot([*analyte, value], factors, "factor", "level"), "level"
-    )
     keys = ["factor", *analyte]
-    tests = anova_posthoc(long, keys, "level", value, alpha) | kruskal_dunn(long, keys, "level", value, alpha)
+    tallied = cut_lineage(_tally_by_factor(df, analyte, factors, value))
+    tests = _posthoc(_moments(tallied, keys), keys, alpha) | _rank_posthoc(_rank_summary(tallied, keys), keys, alpha)
     statistic: dict[str, Column] = {"anova": F.col("f"), "kruskal": F.col("h"), "dunn": F.col("z")}
     none = F.lit(None).cast("string")
     rows = [

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from assayspark.functions.aggregates import mean, sd
 from assayspark.functions.expressions import fold_change, hyperbolic_threshold, log2_positive
-from assayspark.functions.tails import paired_t_power, paired_t_sample_size, signed_rank_tail, t_tail
+from assayspark.functions.tails import (
+    paired_t_power, paired_t_sample_size, paired_t_smallest, signed_rank_tail, t_tail,
+)
 from assayspark.operators.groups import p_adjust_bh
+from assayspark.operators.joins import lookup_first
 from assayspark.operators.reshape import pivot_multi
 from assayspark.operators.scale import average_ranks, null_safe_join
 
@@ -104,20 +107,31 @@ def volcano_flags(table: DataFrame, fc: float = 1.0, alpha: float = 0.05, symmet
     })
 
 
+def paired_described(table: DataFrame, info: DataFrame, key: str = "peptide", columns: list[str] | None = None) -> DataFrame:
+    """A paired table with the protein and stage of its analytes in front, from the first row of each in ``info``."""
+    columns = columns or ["protein", "stage_specificity"]
+    described = lookup_first(table, info, key, columns, columns)
+    return described.select(*columns, *table.columns)
+
+
 def paired_biomarkers(
     wide: DataFrame, analyte: list[str], fc: float = 1.0, alpha: float = 0.05, power: float = 0.8
 ) -> DataFrame:
-    """Every paired statistic per analyte as one table."""
+    """Every paired statistic per analyte as one table.
+
+    ``n_at_power`` is the size at which a paired t test has ``power``, ``pairs_needed`` the smallest whole number of pairs that reaches it.
+    """
     t_test = paired_t(wide, analyte).select(*analyte, "t", F.col("p").alias("p_t"), "cohen_d")
     u_test = wilcoxon_signed_rank(wide, analyte).select(*analyte, F.col("v"), F.col("p").alias("p_u"))
     joined = null_safe_join(null_safe_join(paired_summary(wide, analyte), t_test, analyte), u_test, analyte)
     adjusted = p_adjust_bh(p_adjust_bh(joined, "p_t", out="p_bh"), "p_u", out="p_u_bh")
     powered = adjusted.withColumns({
         "power": paired_t_power(F.col("n").cast("double"), F.col("cohen_d"), F.lit(float(alpha))),
+        "pairs_needed": paired_t_smallest(F.col("cohen_d"), F.lit(float(power)), F.lit(0.05)).cast("bigint"),
         "n_at_power": F.round(paired_t_sample_size(F.col("cohen_d"), F.lit(float(power)), F.lit(0.05)), 1),
     })
     return volcano_flags(powered, fc, alpha).select(
         *analyte, "n", "mean_fc", "log2_fc", "mean_pre", "mean_post", "sd_pre", "sd_post", "sd_pooled",
-        "se_pre", "se_post", "se_ref_pre", "se_ref_post", "t", "p_t", "p_bh", "cohen_d", "power", "n_at_power",
+        "se_pre", "se_post", "se_ref_pre", "se_ref_post", "t", "p_t", "p_bh", "cohen_d", "power", "n_at_power", "pairs_needed",
         "flag_t", "flag_bh", "v", "p_u", "p_u_bh", "flag_u_bh",
     )

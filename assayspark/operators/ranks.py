@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayspark.operators.scale import SLICE, average_ranks, cut_lineage, in_slices, null_safe_join, running
+from assayspark.operators.scale import cut_lineage, placed_rows
 
 
 def rank_avg(df: DataFrame, analyte: list[str], value: str, out: str = "rank") -> DataFrame:
     """Rank of the value within its analyte, highest first, ties averaged; NULL values rank NULL.
 
-    Ranks are made per distinct value and joined back on it.
+    The rows get their rank where their slice of the values is, so neither a frequent value nor NULL meets in one task.
     """
     turned = df.withColumn("_turned", -F.col(value))
-    ranks = cut_lineage(average_ranks(turned, analyte, "_turned").select(*analyte, "_turned", F.col("rank").alias(out)))
-    return null_safe_join(turned, ranks, [*analyte, "_turned"]).drop("_turned")
+    placed = placed_rows(turned.filter(F.col("_turned").isNotNull()), analyte, "_turned")
+    ranked = placed.select(*df.columns, (F.col("_before") + (F.col("_ties") + 1) / 2).alias(out))
+    unranked = turned.filter(F.col("_turned").isNull()).select(*df.columns, F.lit(None).cast("double").alias(out))
+    return ranked.unionByName(unranked)
 
 
 def rank_sum(ranked: DataFrame, sample: list[str], analyte: str, rank: str = "rank", ordered: bool = True) -> DataFrame:
@@ -31,7 +33,8 @@ def rank_sum(ranked: DataFrame, sample: list[str], analyte: str, rank: str = "ra
     summed = cut_lineage(sums.select(
         *sample, F.when(F.col("_seen") == F.col("_analytes"), F.col("_sum")).alias("rank_sum")
     ))
-    values = summed.filter(F.col("rank_sum").isNotNull()).select("rank_sum").distinct().withColumn("_one", F.lit(1))
-    places = running(in_slices(values, [], ["rank_sum"]), [], ["rank_sum"], sums={"place": "_one"})
-    out = null_safe_join(summed, places.drop("_one", SLICE), ["rank_sum"])
+    columns = [*sample, "rank_sum"]
+    placed = placed_rows(summed.filter(F.col("rank_sum").isNotNull()), [], "rank_sum").select(*columns, F.col("_dense").alias("place"))
+    missing = summed.filter(F.col("rank_sum").isNull()).select(*columns, F.lit(None).cast("bigint").alias("place"))
+    out = placed.unionByName(missing)
     return out.orderBy(F.asc_nulls_last("rank_sum")) if ordered else out

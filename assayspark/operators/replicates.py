@@ -12,7 +12,6 @@ from assayspark.functions.expressions import (
 )
 from assayspark.operators.joins import lookup_first
 from assayspark.operators.reshape import pivot_multi
-from assayspark.operators.scale import cut_lineage
 
 # The columns that identify each level; pasted labels are ambiguous and serve display only.
 SAMPLE = ["subject_id", "condition", "timepoint"]
@@ -98,13 +97,13 @@ def replicate_cv(tidy: DataFrame, as_percent: bool = True) -> DataFrame:
 def relative_to_max(df: DataFrame, column: str, out: str, na_rm: bool = False) -> DataFrame:
     """Column over its maximum across the table; NULL reads 1.
 
-    Unless ``na_rm``, a single NULL makes the maximum unknown and blanks the other rows.
+    Unless ``na_rm``, a single NULL makes the maximum unknown and blanks the other rows. The maximum is a scalar of the plan;
+    nothing is written.
     """
-    kept = cut_lineage(df)
     largest = F.max(column) if na_rm else F.when(F.count(column) == F.count(F.lit(1)), F.max(column))
-    peak = kept.select(largest).scalar()
+    peak = df.select(largest).scalar()
     ratio = F.try_divide(F.col(column), peak)
-    return kept.withColumn(out, F.when(F.col(column).isNull(), F.lit(1.0)).otherwise(ratio))
+    return df.withColumn(out, F.when(F.col(column).isNull(), F.lit(1.0)).otherwise(ratio))
 
 
 def peptide_concentrations(

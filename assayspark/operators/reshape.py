@@ -101,11 +101,13 @@ def set_difference(full: DataFrame, part: DataFrame) -> DataFrame:
 def train_test_split(
     df: DataFrame, analyte: list[str], row_key: list[str], fraction: float = 0.3, seed: int = 1354
 ) -> DataFrame:
-    """Add ``is_train``: exactly round(fraction * n) rows per analyte, the same ones on every run.
+    """Add ``is_train``: the round(fraction * n) rows of each analyte that come first in order of a md5.
 
-    ``row_key`` identifies a row within its analyte.
+    It is taken of the seed and the row's key, joined by ``|``, so any engine draws the same rows; a NULL in the key counts as
+    empty. ``row_key`` identifies a row within its analyte.
     """
-    drawn = df.withColumn("_draw", F.xxhash64(F.lit(seed), *row_key))
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in row_key]
+    drawn = df.withColumn("_draw", F.md5(F.concat_ws("|", F.lit(str(seed)), *texts)))
     placed = running(
         in_slices(drawn.withColumn("_one", F.lit(1)), analyte, ["_draw", *row_key]),
         analyte, ["_draw", *row_key], sums={"_place": "_one"},

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
@@ -162,14 +162,72 @@ def running(
     }).drop(*[f"_off_{o}" for o in (*sums, *mins)])
 
 
-def average_ranks(df: DataFrame, keys: list[str], value: str, counts: list[str] | None = None) -> DataFrame:
+def placed_rows(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The rows in slices, with ``_before`` (rows of the key with a smaller value), ``_ties`` (rows with the same), ``_dense``
+    (distinct values up to this one) and ``_all`` (rows of the key).
+
+    Rows ride along: they are dealt out by key, value and their own place, so one value spreads over as many slices as it takes,
+    and nothing is joined on a value. A slice is described by its size and its first and last value; only these can go on
+    in a neighbour. The rows meet the descriptions by key and slice. The value must not be NULL.
+    """
+    sliced = in_slices(df.withColumn("_place", F.monotonically_increasing_id()), keys, [value, "_place"]).drop("_place")
+    tallied = sliced.groupBy(*keys, SLICE, F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    edge = F.struct("_value", "_n")
+    slices = tallied.groupBy(*keys, SLICE).agg(
+        F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_distinct"), F.min(edge).alias("_first"), F.max(edge).alias("_last"),
+    )
+    # At most one row per key and slice from here on.
+    in_order = Window.partitionBy(*keys).orderBy(SLICE)
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    goes_on = F.coalesce(F.lag("_last._value").over(in_order) == F.col("_first._value"), F.lit(False))
+    slices = slices.withColumns({
+        "_offset": F.coalesce(F.sum("_rows").over(earlier), F.lit(0)), "_goes_on": goes_on.cast("bigint"),
+        "_all": F.sum("_rows").over(Window.partitionBy(*keys)),
+    }).withColumn(
+        "_distinct_offset", F.coalesce(F.sum(F.col("_distinct") - F.col("_goes_on")).over(earlier), F.lit(0)) - F.col("_goes_on")
+    )
+    ends = F.array_distinct(F.array(
+        F.struct(F.col("_first._value").alias("value"), F.col("_offset").alias("start"), F.col("_first._n").alias("n")),
+        F.struct(F.col("_last._value").alias("value"), (F.col("_offset") + F.col("_rows") - F.col("_last._n")).alias("start"),
+                 F.col("_last._n").alias("n")),
+    ))
+    edges = slices.select(*keys, F.explode(ends).alias("_end")).groupBy(*keys, F.col("_end.value").alias("_value")).agg(
+        F.min("_end.start").alias("_start"), F.sum("_end.n").alias("_total")
+    )
+    described = slices.select(
+        *keys, SLICE, "_all", "_offset", "_distinct_offset", F.col("_first._value").alias("_low"), F.col("_last._value").alias("_high")
+    )
+    for end in ("_low", "_high"):
+        own = edges.select(*keys, F.col("_value").alias(end), F.struct("_start", "_total").alias(f"{end}_ties"))
+        described = null_safe_join(described, own, [*keys, end])
+    part = Window.partitionBy(*keys, SLICE)
+    local = sliced.withColumns({
+        "_smaller": F.rank().over(part.orderBy(value)) - 1, "_seen": F.dense_rank().over(part.orderBy(value)),
+        "_same": F.count(F.lit(1)).over(Window.partitionBy(*keys, SLICE, value)),
+    })
+    joined = null_safe_join(local, described, [*keys, SLICE], "inner")
+
+    def at_edge(field: str, inside: Column) -> Column:
+        return F.when(F.col(value) == F.col("_low"), F.col(f"_low_ties.{field}")).when(
+            F.col(value) == F.col("_high"), F.col(f"_high_ties.{field}")
+        ).otherwise(inside)
+
+    return joined.withColumns({
+        "_before": at_edge("_start", F.col("_offset") + F.col("_smaller")), "_ties": at_edge("_total", F.col("_same")),
+        "_dense": F.col("_distinct_offset") + F.col("_seen"),
+    }).drop("_smaller", "_seen", "_same", "_offset", "_distinct_offset", "_low", "_high", "_low_ties", "_high_ties")
+
+
+def average_ranks(
+    df: DataFrame, keys: list[str], value: str, counts: list[str] | None = None, weight: str | None = None
+) -> DataFrame:
     """One row per key and distinct value: count ``n``, rows up to it ``upto`` and tie-averaged ``rank``.
 
-    ``counts`` names columns of ``df`` to sum per distinct value as well.
+    ``counts`` names columns of ``df`` to sum per distinct value as well. ``weight`` names the number of rows that a row stands for.
     """
     present = df.filter(F.col(value).isNotNull())
     tallied = present.groupBy(*keys, value).agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in counts or []]
+        (F.sum(weight) if weight else F.count(F.lit(1))).alias("n"), *[F.sum(c).alias(c) for c in counts or []]
     )
     ranked = running(in_slices(tallied, keys, [value]), keys, [value], sums={"upto": "n"})
     return ranked.drop(SLICE).withColumn("rank", F.col("upto") - F.col("n") + (F.col("n") + 1) / 2)

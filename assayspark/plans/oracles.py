@@ -8,6 +8,8 @@ from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {}
+#: Views that are worked out once.
+WRITTEN = {"bell", "bell_nodes", "sta_anova", "sta_sgrid", *(f"{name}{k}" for k in range(4) for name in ("range", "nodes"))}
 
 
 def view(name: str, needs: str, body: str) -> None:
@@ -27,7 +29,7 @@ def using(needs: str, select: str) -> str:
         visit(name)
     if not ordered:
         return select
-    blocks = ",\n".join(f"{name} AS ({VIEWS[name][1]})" for name in ordered)
+    blocks = ",\n".join(f"{name} AS {'MATERIALIZED ' * (name in WRITTEN)}({VIEWS[name][1]})" for name in ordered)
     return f"WITH RECURSIVE {blocks}\n{select}"
 
 
@@ -104,7 +106,6 @@ view("tidy", "long", f"""
                        "histology", "tese", "texlevel"))},
            min(row_id) AS row_id
     FROM long GROUP BY subject_id, condition, timepoint, curvepoint, run, peptide, fragment_ion""")
-view("isotopes", "tidy", "SELECT * FROM tidy WHERE heavy_area IS NOT NULL AND light_area IS NOT NULL")
 
 AVERAGED = [
     "heavy_retention_time", "light_retention_time", "heavy_area", "light_area", "heavy_background",
@@ -140,9 +141,7 @@ def concentrations_of(means: str) -> str:
 
 
 view("means", "tidy", means_of("tidy"))
-view("both_means", "isotopes", means_of("isotopes"))
 view("conc", "means info", concentrations_of("means"))
-view("both_conc", "both_means info", concentrations_of("both_means"))
 
 EXPERIMENT_LABEL = (
     "coalesce(subject_id, 'NA') || '_' || condition || '_' || timepoint || '_' || curvepoint::BIGINT || '_tables'"
@@ -250,8 +249,8 @@ oracle("category_limits", "", f"""
     FROM customer WHERE c_mktsegment IN ('MACHINERY', 'BUILDING')""")
 oracle("condition_subset", "", """
     SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW')""")
-oracle("above_lod", "both_conc", f"""
-    SELECT {EXPERIMENT}, peptide, {r("concentration_ug_ml")} FROM both_conc WHERE concentration_ug_ml > lod""")
+oracle("above_lod", "conc", f"""
+    SELECT {EXPERIMENT}, peptide, {r("concentration_ug_ml")} FROM conc WHERE concentration_ug_ml > lod""")
 view("followed", "items", """
     SELECT o_custkey AS subject_id, p_brand AS peptide, year(o_orderdate)::BIGINT AS timepoint,
            avg(l_extendedprice) AS concentration_ug_ml
@@ -287,8 +286,10 @@ oracle("union_sets", "", f"""
 oracle("set_difference", "", """
     SELECT c_custkey AS custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'""")
 oracle("train_test_split", "", f"""
-    SELECT o_orderpriority, count(*) AS n, {big("round(0.3 * count(*)) AS train")}, count(DISTINCT o_orderkey) AS orders
-    FROM orders GROUP BY o_orderpriority""")
+    SELECT o_orderpriority, o_orderkey, {r("o_totalprice")},
+           row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5('1354|' || o_orderkey))
+           <= round(0.3::DOUBLE * count(*) OVER (PARTITION BY o_orderpriority)) AS is_train
+    FROM orders""")
 
 # Replicates
 
@@ -298,11 +299,25 @@ oracle("replicate_cv", "tidy", f"""
     SELECT subject_id, condition, timepoint, {r("any_value(curvepoint) AS curvepoint")}, peptide AS peptide_mods, fragment_ion,
            {", ".join(f"round(CASE WHEN count({c}) = count(*) THEN stddev_samp({c}) / nullif(avg({c}), 0) END, 6) + 0.0 AS {c}" for c in AVERAGED)}
     FROM tidy GROUP BY subject_id, condition, timepoint, curvepoint, peptide, fragment_ion""")
-oracle("replicate_cv_percent", "isotopes", f"""
+
+
+def cv(column: str) -> str:
+    return f"stddev_samp({column}) / nullif(avg({column}), 0)"
+
+
+def strict_cv(column: str) -> str:
+    return f"CASE WHEN count({column}) = count(*) THEN {cv(column)} END"
+
+
+def as_percent(share: str) -> str:
+    return f"CASE WHEN {share} IS NOT NULL THEN printf('%.2f', round(100 * ({share}), 2)) || '%' END"
+
+
+oracle("replicate_cv_percent", "tidy", f"""
     SELECT subject_id, condition, peptide AS peptide_mods, fragment_ion,
-           {", ".join(f"CASE WHEN stddev_samp({c}) / nullif(avg({c}), 0) IS NOT NULL THEN printf('%.2f', round(100 * stddev_samp({c}) / nullif(avg({c}), 0), 2)) || '%' END AS {c}"
-                      for c in ("heavy_area", "light_area", "lth"))}
-    FROM isotopes GROUP BY subject_id, condition, timepoint, curvepoint, peptide, fragment_ion""")
+           {", ".join(f"{as_percent(c)} AS {c}" for c in AVERAGED)}
+    FROM (SELECT subject_id, condition, peptide, fragment_ion, {", ".join(f"{strict_cv(c)} AS {c}" for c in AVERAGED)}
+          FROM tidy GROUP BY subject_id, condition, timepoint, curvepoint, peptide, fragment_ion)""")
 oracle("peptide_concentrations", "conc", f"""
     SELECT 'tables' AS "set", run, peptide, protein, stage_specificity, {EXPERIMENT}, histology, tese, texlevel,
            {r("rdotp", "concentration_fm_ul", "concentration_ug_ml", "lth", "heavy_background", "light_background",
@@ -312,18 +327,23 @@ oracle("peptide_concentrations", "conc", f"""
     FROM conc""")
 
 
-def cv(column: str) -> str:
-    return f"stddev_samp({column}) / nullif(avg({column}), 0)"
+RETENTION = ["heavy_retention_time", "light_retention_time"]
 
 
-oracle("rt_report", "isotopes", f"""
-    SELECT peptide || '_2+' AS precursor_name, any_value(protein) AS protein, peptide,
-           {r("avg(heavy_retention_time) AS mean_heavy_retention_time")},
-           printf('%.2f', round(100 * {cv("heavy_retention_time")}, 2)) || '%' AS cv_heavy_retention_time,
-           {r("avg(light_retention_time) AS mean_light_retention_time")},
-           printf('%.2f', round(100 * {cv("light_retention_time")}, 2)) || '%' AS cv_light_retention_time,
-           {r("abs(avg(heavy_retention_time) - avg(light_retention_time)) AS mean_lh_rt_diff")}
-    FROM isotopes GROUP BY peptide""")
+def retention_report(missing: str) -> str:
+    def kept(expression: str, *columns: str) -> str:
+        whole = " AND ".join(f"count({c}) = count(*)" for c in columns)
+        return expression if missing == "left out" else f"CASE WHEN {whole} THEN {expression} END"
+
+    averages = ", ".join(
+        f"{r(kept(f'avg({c})', c) + f' AS mean_{c}')}, {as_percent(kept(cv(c), c))} AS cv_{c}" for c in RETENTION
+    )
+    apart = kept(f"abs(avg({RETENTION[0]}) - avg({RETENTION[1]}))", *RETENTION)
+    return f"""SELECT peptide || '_2+' AS precursor_name, any_value(protein) AS protein, peptide, {averages},
+        {r(apart + " AS mean_lh_rt_diff")}, '{missing}' AS missing FROM tidy GROUP BY peptide"""
+
+
+oracle("rt_report", "tidy", retention_report("strict") + " UNION ALL " + retention_report("left out"))
 oracle("rt_report_narm", "tidy", f"""
     SELECT peptide || '_2+' AS precursor_name, any_value(protein) AS protein, peptide,
            {r("avg(heavy_retention_time) AS mean_heavy_retention_time", cv("heavy_retention_time") + " AS cv_heavy_retention_time",
@@ -334,8 +354,8 @@ oracle("relative_to_max", "", f"""
     SELECT l_orderkey, l_partkey, {r("shift", "l_quantity", "CASE WHEN shift IS NULL THEN 1::DOUBLE END AS shift_rel",
            "coalesce(shift / max(shift) OVER (), 1) AS shift_rel_na_rm", "l_quantity / max(l_quantity) OVER () AS quantity_rel")}
     FROM (SELECT l_orderkey, l_partkey, nullif(l_tax, 0.02) AS shift, l_quantity FROM lineitem)""")
-oracle("sort_by_concentration", "both_conc", f"""
-    SELECT peptide, subject_id, condition, {r("concentration_ug_ml")} FROM both_conc""")
+oracle("sort_by_concentration", "conc", f"""
+    SELECT peptide, subject_id, condition, {r("concentration_ug_ml")} FROM conc""")
 
 # Calibration
 
@@ -346,9 +366,9 @@ view("creps", "items amounts info", """
     FROM (SELECT l_linenumber::DOUBLE AS curvepoint, p_brand AS peptide, o_orderpriority AS trial,
                  avg(fmol_ug * 40) AS fmol_ul, avg(1 - l_discount) AS rdotp, avg(l_discount) AS lth
           FROM items JOIN amounts ON amounts.peptide = p_brand
-          WHERE o_orderstatus = 'P' AND l_returnflag = 'A' GROUP BY ALL) g LEFT JOIN info USING (peptide)""")
+          GROUP BY ALL) g LEFT JOIN info USING (peptide)""")
 view("cpoints", "creps", """
-    SELECT *, cv_htl < 0.2 AS sdthr FROM (
+    SELECT *, cv_htl < 0.06 AS sdthr FROM (
         SELECT curvepoint, peptide, avg(htl) AS mean_htl, stddev_samp(htl) AS sd_htl,
                stddev_samp(htl) / nullif(avg(htl), 0) AS cv_htl, avg(theor_h_ug_ml) AS theor_h_ug_ml,
                any_value(protein) AS protein, any_value(stage_specificity) AS stage_specificity
@@ -390,9 +410,18 @@ oracle("optimal_spike", "tidy", f"""
            "avg(lth) AS mean_lth", cv("lth") + " AS cv_lth", "round(avg(fmol_ug) * avg(lth) * 3, 2) AS opt_fmol_ug")}
     FROM tidy WHERE curvepoint = 1 GROUP BY peptide""")
 
+SIX = [f"{i}_{m}" for i in ("heavy", "light") for m in MEASURES if m != "max_height"]
+oracle("tidy_calibration", "tidy", f"""
+    SELECT replicate_name || '_' || peptide || '_2+-->' || fragment_ion || '_1+' AS transition_id,
+           subject_id || ' ' || condition AS experiment_id,
+           curvepoint::BIGINT || ' ' || peptide || '_2+-->' || fragment_ion || '_1+' AS experiment_transition_id,
+           protein, {r("fmol_ug", "fmol_ul", "rdotp",
+                       "CASE WHEN fragment_ion = 'R' OR lth = 0 THEN light_area / nullif(heavy_area, 0) ELSE lth END AS lth",
+                       *[c for c in SIX if "rank" not in c])}, {big("heavy_transition_rank", "light_transition_rank")}
+    FROM tidy""")
 PLAIN = [f"{i}_{m}" for m in ("retention_time", "area", "background", "transition_rank") for i in ("heavy", "light")] + ["rdotp"]
 RATIOS = {"lh": ("lth", "alh"), "hl": ("hl", "ahl")}
-oracle("curve_transition_summary", "isotopes", f"""
+oracle("curve_transition_summary", "tidy", f"""
     SELECT {r("curvepoint")}, protein, peptide, transition_name, {r("fmol_ul", "fmol_ug", *[f"{s}_{c}" for c in PLAIN for s in ("mean", "cv")],
         "CASE WHEN mean_lth = 0 THEN mean_alh ELSE mean_lth END AS mean_light_to_heavy",
         "CASE WHEN mean_lth = 0 THEN cv_alh ELSE cv_lth END AS cv_light_to_heavy",
@@ -400,12 +429,12 @@ oracle("curve_transition_summary", "isotopes", f"""
         "CASE WHEN mean_lth = 0 THEN cv_ahl ELSE cv_hl END AS cv_heavy_to_light", nudge=1e-9)}
     FROM (SELECT curvepoint, any_value(protein) AS protein, peptide, peptide || '_2+-->' || fragment_ion || '_1+' AS transition_name,
                  any_value(fmol_ul) AS fmol_ul, any_value(fmol_ug) AS fmol_ug,
-                 {", ".join(f"avg({c}) AS mean_{c}, {cv(c)} AS cv_{c}" for c in PLAIN)},
+                 {", ".join(f"CASE WHEN count({c}) = count(*) THEN avg({c}) END AS mean_{c}, {strict_cv(c)} AS cv_{c}" for c in PLAIN)},
                  {", ".join(f"CASE WHEN count({c}) = count(*) THEN avg({c}) END AS mean_{c}, CASE WHEN count({c}) = count(*) THEN {cv(c)} END AS cv_{c}"
                             for c in ("lth", "hl", "alh", "ahl"))}
           FROM (SELECT * REPLACE (CASE WHEN fragment_ion = 'R' THEN 0 ELSE lth END AS lth),
                        CASE WHEN fragment_ion <> 'R' THEN 1 / nullif(lth, 0) END AS hl,
-                       light_area / nullif(heavy_area, 0) AS alh, heavy_area / nullif(light_area, 0) AS ahl FROM isotopes)
+                       light_area / nullif(heavy_area, 0) AS alh, heavy_area / nullif(light_area, 0) AS ahl FROM tidy)
           GROUP BY curvepoint, peptide, fragment_ion)""")
 oracle("curve_frame", "clogs", f"""
     SELECT c.peptide, {r("curvepoint", "theor_h_ug_ml", "mean_htl", "mean_htl - sd_htl AS lower", "mean_htl + sd_htl AS upper")}, c.cthr,
@@ -575,19 +604,51 @@ rank_tests("qseg_obs", "qsegp_", 0.5)
 oracle("group_counts", "gvalues", "SELECT peptide, segment, count(*) AS n FROM gvalues GROUP BY peptide, segment")
 oracle("anova_oneway", "seg_anova", f"""
     SELECT analyte AS peptide, {big("k", "nn AS n", "df1", "df2")}, {r("f", "p")}, {r("mse AS ms_error", digits=3)} FROM seg_anova""")
-oracle("tukey_hsd", "sta_tukey", f"""
-    SELECT analyte AS peptide, g1 AS group1, g2 AS group2, {r("diff", "q")}, {r("p", digits=4)} FROM sta_tukey""")
+# The 95 % point of the studentized range by Newton steps. The normal distribution comes from a table in steps of 1/200, summed up by
+# Simpson's rule, and three terms of its Taylor series; the scale is averaged as above.
+view("bells", "", """
+    SELECT j, z, d, (CASE WHEN j < 0 THEN 0.5 - half ELSE 0.5 + half END) AS cdf FROM (
+        SELECT k * side AS j, k * side / 200.0::DOUBLE AS z, exp(-pow(k / 200.0::DOUBLE, 2) / 2) / sqrt(2 * pi()) AS d,
+               sum(slice) OVER (PARTITION BY side ORDER BY k) AS half
+        FROM (SELECT k, CASE WHEN k = 0 THEN 0 ELSE (exp(-pow((k - 1) / 200.0::DOUBLE, 2) / 2) + 4 * exp(-pow((k - 0.5::DOUBLE) / 200, 2) / 2)
+                     + exp(-pow(k / 200.0::DOUBLE, 2) / 2)) / 1200 / sqrt(2 * pi()) END AS slice FROM range(1801) t(k)), (VALUES (1), (-1)) u(side))""")
+view("bell", "bells", "SELECT j, any_value(z) AS z, any_value(d) AS d, any_value(cdf) AS cdf FROM bells GROUP BY j")
+view("range0", "sta_anova", "SELECT DISTINCT df2, k, 3.3::DOUBLE AS q FROM sta_anova")
+view("bell_nodes", "bell", """
+    SELECT z, cdf, (CASE WHEN abs(j) = 1600 THEN 1 WHEN (j // 20) % 2 = 0 THEN 2 ELSE 4 END) / 30.0::DOUBLE * d AS w
+    FROM bell WHERE j % 20 = 0 AND abs(j) <= 1600""")
+for step in range(1, 4):
+    off = "(shifted - p.z)"
+    below = f"(CASE WHEN abs(shifted) > 8.99 THEN (shifted > 0)::INT ELSE p.cdf + d * ({off} - p.z * pow({off}, 2) / 2 + (p.z * p.z - 1) * pow({off}, 3) / 6) END)"
+    view(f"nodes{step}", f"range{step - 1} sta_sgrid bell_nodes", f"""
+        SELECT q.df2, k, q, s, z.z - q * s AS shifted, z.cdf AS top, s.w * z.w AS w,
+               greatest(least(round((z.z - q * s) * 200), 1800), -1800)::BIGINT AS j
+        FROM range{step - 1} q JOIN sta_sgrid s USING (df2), bell_nodes z""")
+    view(f"range{step}", f"nodes{step} bell", f"""
+        SELECT df2, k, q - (1 - inside - 0.05) / -slope AS q FROM (
+            SELECT df2, k, q, sum(w * pow(gap, k - 1)) * k AS inside,
+                   sum(w * pow(gap, k - 2) * exp(-shifted * shifted / 2) / sqrt(2 * pi()) * s) * k * (k - 1) AS slope
+            FROM (SELECT df2, k, q, s, w, shifted, greatest(top - {below}, 0) AS gap FROM nodes{step} JOIN bell p USING (j))
+            GROUP BY df2, k, q)""")
+oracle("tukey_hsd", "sta_tukey range3", f"""
+    SELECT analyte AS peptide, g1 AS group1, g2 AS group2, {r("diff", "t.q AS q")}, {r("t.p AS p", digits=4)},
+           {r("diff - w.q * abs(diff) / t.q AS lower", "diff + w.q * abs(diff) / t.q AS upper", digits=3)}
+    FROM sta_tukey t JOIN sta_anova USING (analyte) JOIN range3 w USING (df2)""")
 oracle("duncan_mrt", "seg_duncan", f"""
     SELECT analyte AS peptide, g1 AS group1, g2 AS group2, {r("diff", "q", "p")}, {big("span")} FROM seg_duncan""")
 oracle("anova_posthoc", "stap_tukey stap_duncan", f"""
-    SELECT analyte AS peptide, 'tukey' AS test, g1 AS group1, g2 AS group2, {r("p", digits=4)} FROM stap_tukey WHERE p <= 0.5
-    UNION ALL SELECT analyte, 'duncan', g1, g2, {r("p", digits=4)} FROM stap_duncan WHERE p <= 0.5""")
+    SELECT analyte AS peptide, 'anova' AS test, NULL::VARCHAR AS group1, NULL::VARCHAR AS group2, {r("f AS statistic")}, {r("p", digits=4)}
+    FROM stap_anova WHERE p < 0.5
+    UNION ALL SELECT analyte, 'tukey', g1, g2, {r("q AS statistic")}, {r("p", digits=4)} FROM stap_tukey WHERE p <= 0.5
+    UNION ALL SELECT analyte, 'duncan', g1, g2, {r("q AS statistic")}, {r("p", digits=4)} FROM stap_duncan WHERE p <= 0.5""")
 oracle("kruskal_wallis", "qseg_kruskal", f"""
     SELECT analyte AS peptide, k, {big("nn AS n")}, df, {r("h", "p")} FROM qseg_kruskal""")
 oracle("dunn_test", "qsta_dunn", f"""
     SELECT analyte AS peptide, g1 AS group1, g2 AS group2, {r("z", "p", "p_adjusted")} FROM qsta_dunn""")
 oracle("kruskal_dunn", "qsegp_dunn", f"""
-    SELECT analyte AS peptide, g1 AS group1, g2 AS group2, {r("p_adjusted")} FROM qsegp_dunn WHERE p_adjusted <= 0.5""")
+    SELECT analyte AS peptide, 'kruskal' AS test, NULL::VARCHAR AS group1, NULL::VARCHAR AS group2, {r("h AS statistic", "p")}
+    FROM qsegp_kruskal WHERE p < 0.5
+    UNION ALL SELECT analyte, 'dunn', g1, g2, {r("z AS statistic", "p_adjusted AS p")} FROM qsegp_dunn WHERE p_adjusted <= 0.5""")
 
 view("factor_obs", "gvalues", """
     SELECT factor || '|' || peptide AS analyte, level AS grp, value AS v FROM (
@@ -614,9 +675,9 @@ oracle("p_adjust_bh", "part_bh2", f"SELECT p_partkey, p_brand, {r('p', 'p_brand_
 for name, subject in (("wide", "c_nationkey"), ("cwide", "o_custkey")):
     view(name, "citems", f"""
         SELECT *, pre / nullif(post, 0) AS fc FROM (
-            SELECT {subject}::BIGINT AS subject_id, p_brand AS peptide, avg(l_extendedprice) FILTER (l_returnflag = 'A') AS pre,
-                   avg(l_extendedprice) FILTER (l_returnflag = 'R') AS post
-            FROM citems WHERE l_returnflag IN ('A', 'R') GROUP BY ALL)""")
+            SELECT {subject}::BIGINT AS subject_id, p_brand AS peptide, avg(l_extendedprice) FILTER (l_linestatus = 'F') AS pre,
+                   avg(l_extendedprice) FILTER (l_linestatus = 'O') AS post
+            FROM citems GROUP BY ALL)""")
 view("psum", "wide", f"""
     SELECT *, sqrt((sd_pre ** 2 + sd_post ** 2) / 2) AS sd_pooled, sd_pre / sqrt(n) AS se_pre, sd_post / sqrt(n) AS se_post,
            sd_pre / n AS se_ref_pre, sd_post / n AS se_ref_post, log2(mean_fc) AS log2_fc
@@ -656,7 +717,8 @@ view("utest", "srank patterns", f"""
                THEN (SELECT sum(ways) FROM patterns WHERE k = n AND s >= v) ELSE (SELECT sum(ways) FROM patterns WHERE k = n AND s <= v) END)
            ELSE 2 * {normal_sf("greatest(abs(v - n * (n + 1) / 4.0::DOUBLE) - 0.5, 0) / sqrt(n * (n + 1) * (2 * n + 1) / 24.0::DOUBLE - ties / 48)")} END AS p
     FROM srank""")
-oracle("paired_wide", "cwide", f"SELECT subject_id, peptide, {r('pre', 'post', 'fc')} FROM cwide")
+oracle("paired_wide", "cwide info", f"""
+    SELECT protein, stage_specificity, subject_id, peptide, {r("pre", "post", "fc")} FROM cwide LEFT JOIN info USING (peptide)""")
 oracle("paired_summary", "psum", f"SELECT peptide, n, {r(*SUMMARY)} FROM psum")
 oracle("paired_t", "ptest", f"SELECT peptide, pairs, df, {r('t', 'p', 'cohen_d')} FROM ptest")
 oracle("wilcoxon_signed_rank", "utest", f"SELECT peptide, n, zeros, {r('v', 'p')}, exact FROM utest")
@@ -688,15 +750,55 @@ def flag(p: str) -> str:
     return f"(abs(log2_fc) > 0.01 AND -log10({p}) > 0.5 / abs(log2_fc - 0.01) - log10(0.5))"
 
 
-oracle("paired_biomarker_table", "bio2 power", f"""
-    SELECT peptide, n, {r(*SUMMARY, "t", "p_t", "p_bh", "cohen_d", "v", "p_u", "p_u_bh")}, {r("power", digits=4)},
+oracle("paired_biomarker_table", "bio2 power info", f"""
+    SELECT protein, stage_specificity, peptide, n, {r(*SUMMARY, "t", "p_t", "p_bh", "cohen_d", "v", "p_u", "p_u_bh")}, {r("power", digits=4)},
            {flag("p_t")} AS flag_t, {flag("p_bh")} AS flag_bh, {flag("p_u_bh")} AS flag_u_bh
-    FROM bio2 JOIN power USING (peptide)""")
+    FROM bio2 JOIN power USING (peptide) LEFT JOIN info USING (peptide)""")
+# Sizes near that of the normal approximation, each with its own t quantile and power; power grows with the size.
+view("sizes", "ptest", """
+    SELECT peptide, cohen_d, n0 + j AS n, n0 + j - 1 AS df FROM (
+        SELECT peptide, cohen_d, ceil(pow((1.959963984540054 + 0.8416212335729143) / cohen_d, 2))::BIGINT AS n0 FROM ptest), range(-3, 8) t(j)
+    WHERE n0 + j >= 2""")
+# Beyond 20,000 degrees of freedom the quantile is the normal one with the first term of its expansion.
+view("size_crit", "sizes", f"""
+    SELECT df, 0 AS step, 0.0::DOUBLE AS lo, 50.0::DOUBLE AS hi FROM (SELECT DISTINCT df FROM sizes WHERE df <= 20000)
+    UNION ALL
+    SELECT df, step + 1, CASE WHEN {t_sf("(lo + hi) / 2", "df")} > 0.025 THEN (lo + hi) / 2 ELSE lo END,
+           CASE WHEN {t_sf("(lo + hi) / 2", "df")} > 0.025 THEN hi ELSE (lo + hi) / 2 END
+    FROM size_crit WHERE step < 40""")
+view("size_quantile", "sizes size_crit", """
+    SELECT df, (lo + hi) / 2 AS crit FROM size_crit WHERE step = 40
+    UNION ALL SELECT DISTINCT df, 1.959963984540054 * (1 + (1 + 1.959963984540054 * 1.959963984540054) / (4.0::DOUBLE * df)) FROM sizes WHERE df > 20000""")
+
+
+def phi(x: str) -> str:
+    return f"(CASE WHEN {x} >= 0 THEN 1 - {normal_sf(x)} ELSE {normal_sf(f'(-{x})')} END)"
+
+
+view("size_power", "size_quantile", f"""
+    SELECT peptide, cohen_d, n, sum(w * exp(ln(2) + df / 2 * ln(df / 2) - lgamma(df / 2) + (df - 1) * ln(s) - df * s * s / 2)
+               * ({phi("high")} + {phi("low")})) AS power
+    FROM (SELECT *, shift - crit * s AS high, -shift - crit * s AS low FROM (SELECT peptide, cohen_d, n, t.df::DOUBLE AS df, abs(cohen_d) * sqrt(n) AS shift, crit,
+                 1 + (j - 100) / 100.0::DOUBLE * least(8 / sqrt(2 * t.df::DOUBLE), 0.999999) AS s,
+                 (CASE WHEN j IN (0, 200) THEN 1 WHEN j % 2 = 1 THEN 4 ELSE 2 END) / 300.0::DOUBLE * least(8 / sqrt(2 * t.df::DOUBLE), 0.999999) AS w
+          FROM sizes t JOIN size_quantile c ON c.df = t.df, range(201) g(j)))
+    GROUP BY peptide, cohen_d, n""")
+oracle("paired_sample_size", "size_power", f"""
+    SELECT peptide, {r("cohen_d")}, n AS pairs_needed, {r("power AS power_reached", "below AS power_below", digits=5)} FROM (
+        SELECT *, lag(power) OVER (PARTITION BY peptide ORDER BY n) AS below FROM size_power)
+    WHERE power >= 0.8 AND (below < 0.8 OR n = 2)""")
 oracle("volcano_flags", "bio2", f"""
     SELECT peptide, {flag("p_t")} AS flag_t, {flag("p_bh")} AS flag_bh, {flag("p_u_bh")} AS flag_u_bh FROM bio2""")
 oracle("volcano_frame", "bio2", f"""
     SELECT peptide, {r("log2_fc", "-log10(p_bh) AS neg_log10_p")}, {flag("p_bh")} AS flag FROM bio2""")
 
+THRESHOLD = "CASE WHEN log2_fc = 0.01 THEN 'inf'::DOUBLE ELSE 0.5 / abs(log2_fc - 0.01) END - log10(0.5) AS neg_log10_p"
+oracle("volcano_plot", "bio2 info", f"""
+    SELECT peptide, {r("log2_fc", "-log10(p_bh) AS neg_log10_p")}, {flag("p_bh")} AS flag, protein AS text, 'point' AS kind
+    FROM bio2 LEFT JOIN info USING (peptide)
+    UNION ALL SELECT NULL, {r("log2_fc", THRESHOLD)}, NULL, NULL, 'curve'
+    FROM (SELECT -1 + i * (2::DOUBLE / 40) AS log2_fc FROM range(41) t(i))""")
+
 # Correlation
 
 view("ccells", "items", """
@@ -756,7 +858,7 @@ view("docs", "", """
 view("families", "docs", """
     SELECT * REPLACE (CASE WHEN analyte IN ('fr', 'es') THEN 'romance' ELSE analyte END AS analyte) FROM docs WHERE analyte <> 'de'""")
 view("marks", "items", """
-    SELECT p_brand AS analyte, l_extendedprice / 1000 AS x, (l_returnflag = 'R')::INT AS y FROM items WHERE l_returnflag IN ('A', 'R')""")
+    SELECT p_brand AS analyte, l_extendedprice / 1000 AS x, (l_linestatus = 'O')::INT AS y FROM items""")
 logistic_views("docs", "dl")
 logistic_views("families", "fl")
 logistic_views("marks", "ml")
@@ -786,16 +888,22 @@ oracle("marker_score", "bio2 power mltable", f"""
 oracle("logistic_frame", "dlscored", f"""
     SELECT s.analyte AS lang, {r("x", "probability AS fitted")}, {r("cutoff", digits=4)}, {big("y")} FROM dlscored s JOIN dlfit USING (analyte)""")
 
+oracle("logistic_plot", "dlscored", f"""
+    SELECT s.analyte AS lang, {r("x", "probability AS fitted")}, {r("cutoff", digits=4)}, {big("y")}, 'point' AS kind FROM dlscored s JOIN dlfit USING (analyte)
+    UNION ALL SELECT analyte, {r("x", "1 / (1 + exp(-(b0 + b1 * x))) AS fitted")}, {r("cutoff", digits=4)}, NULL, 'line'
+    FROM (SELECT analyte, b0, b1, cutoff, low + (high - low) * i / 100 AS x
+          FROM dlfit JOIN (SELECT analyte, min(x) AS low, max(x) AS high FROM docs GROUP BY analyte) USING (analyte), range(101) t(i))""")
+
 # Plot frames
 
-oracle("lod_frame", "both_conc", f"""
+oracle("lod_frame", "conc", f"""
     SELECT peptide, protein, stage_specificity, run, {r("concentration_ug_ml", "rdotp", "lh_rt_diff", "lod")},
            concentration_ug_ml > lod AS above_lod
-    FROM both_conc WHERE concentration_ug_ml > 0 AND rdotp BETWEEN 0.2 AND 1.3""")
-oracle("lod_override", "both_conc", f"""
+    FROM conc WHERE concentration_ug_ml > 0 AND rdotp BETWEEN 0.2 AND 1.3""")
+oracle("lod_override", "conc", f"""
     SELECT peptide, run, {r("concentration_ug_ml", "rdotp", "lh_rt_diff", "lod", "new_lod")},
            coalesce({decimal_round('concentration_ug_ml', 4)} = {decimal_round('lod', 4)} OR concentration_ug_ml = new_lod OR lh_rt_diff < 0.123, FALSE) AS labelled
-    FROM both_conc LEFT JOIN (SELECT peptide, min(concentration_ug_ml) AS new_lod FROM both_conc WHERE run = 2 GROUP BY peptide) USING (peptide)""")
+    FROM conc LEFT JOIN (SELECT peptide, min(concentration_ug_ml) AS new_lod FROM conc WHERE run = 2 GROUP BY peptide) USING (peptide)""")
 view("logs", "gvalues", "SELECT peptide, priority, log10(value) AS lv FROM gvalues WHERE priority <> 'unknown' AND value > 0")
 view("boxes", "logs", """
     SELECT peptide, priority, count(*) AS n, avg(lv) AS mean, quantile_cont(lv, 0.25) AS q1, quantile_cont(lv, 0.5) AS median,
@@ -810,6 +918,17 @@ oracle("strip_summary", "boxes", f"""
 oracle("strip_outliers", "boxes", f"""
     SELECT peptide, priority, {r("lv AS log10_value")} FROM logs JOIN boxes USING (peptide, priority)
     WHERE NOT lv BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)""")
+view("seglogs", "gvalues", "SELECT peptide, segment, log10(value) AS lv FROM gvalues WHERE segment <> 'unknown' AND value > 0")
+view("segboxes", "seglogs", """
+    SELECT peptide, segment, count(*) AS n, avg(lv) AS mean, quantile_cont(lv, 0.25) AS q1, quantile_cont(lv, 0.5) AS median,
+           quantile_cont(lv, 0.75) AS q3 FROM seglogs GROUP BY peptide, segment""")
+oracle("strip_summary_lod", "segboxes amounts", f"""
+    SELECT peptide, segment, b.n, {r("mean", "q1", "median", "q3", "whisker_low", "whisker_high", "pow(10, mean) AS geometric_mean", "lod")}, outliers
+    FROM segboxes b JOIN (
+        SELECT peptide, segment, min(lv) FILTER (inside) AS whisker_low, max(lv) FILTER (inside) AS whisker_high,
+               count(*) FILTER (NOT inside) AS outliers
+        FROM (SELECT l.*, lv BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside FROM seglogs l JOIN segboxes USING (peptide, segment))
+        GROUP BY peptide, segment) USING (peptide, segment) JOIN amounts USING (peptide)""")
 oracle("density_histogram", "", f"""
     SELECT bin, {r("bin * 5.0::DOUBLE AS bin_centre")}, n, {r("n / (total * 5.0::DOUBLE) AS density", "mean", "sd",
         "exp(-pow((bin * 5 - mean) / sd, 2) / 2) / (sd * sqrt(2 * pi())) AS normal_density")}

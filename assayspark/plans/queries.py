@@ -38,6 +38,8 @@ from assayspark.plans import tables as V
 ALPHA = 0.5
 SMALL_FOLD = 0.01
 TOLERANCE = 1e-12
+#: Splits the curve points of the given tables into precise and imprecise ones.
+MAX_CV = 0.06
 BRAND = ["peptide"]
 LANGUAGE = ["lang"]
 EXPERIMENT_OUT = ["subject_id", "condition", "timepoint", "curvepoint"]
@@ -70,13 +72,8 @@ def tidy_view(spark, sf):
     return widen(V.assay_long(spark, sf))
 
 
-def paired_isotopes(spark, sf):
-    """Measurements that have both isotopes."""
-    return tidy_view(spark, sf).filter(F.col("heavy_area").isNotNull() & F.col("light_area").isNotNull())
-
-
 def concentration_view(spark, sf):
-    return concentrate(average(paired_isotopes(spark, sf)), V.peptide_info(spark, sf), ordered=False)
+    return concentrate(average(tidy_view(spark, sf)), V.peptide_info(spark, sf), ordered=False)
 
 
 @query
@@ -384,11 +381,7 @@ def set_difference(spark, sf):
 @query
 def train_test_split(spark, sf):
     orders = V.table(spark, sf, "orders").select("o_orderpriority", "o_orderkey", "o_totalprice")
-    split = R.train_test_split(orders, ["o_orderpriority"], ["o_orderkey"])
-    return split.groupBy("o_orderpriority").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("is_train").alias("train"),
-        F.count_distinct("o_orderkey").alias("orders"),
-    )
+    return plain(R.train_test_split(orders, ["o_orderpriority"], ["o_orderkey"]))
 
 
 # Replicate and retention-time reports
@@ -409,8 +402,8 @@ def replicate_cv(spark, sf):
 
 @query
 def replicate_cv_percent(spark, sf):
-    spread = vary(paired_isotopes(spark, sf))
-    return spread.select("subject_id", "condition", "peptide_mods", "fragment_ion", "heavy_area", "light_area", "lth")
+    spread = vary(tidy_view(spark, sf))
+    return spread.select("subject_id", "condition", "peptide_mods", "fragment_ion", *AVERAGED)
 
 
 @query
@@ -426,7 +419,12 @@ def peptide_concentrations(spark, sf):
 
 @query
 def rt_report(spark, sf):
-    return plain(report_times(paired_isotopes(spark, sf)))
+    """Strict report beside the one that leaves NULLs out."""
+    tidy = tidy_view(spark, sf)
+    both = report_times(tidy, ordered=False).withColumn("missing", F.lit("strict")).unionByName(
+        report_times(tidy, na_rm=True, ordered=False).withColumn("missing", F.lit("left out"))
+    )
+    return plain(both)
 
 
 @query
@@ -457,7 +455,7 @@ def replicate_view(spark, sf):
 
 
 def point_view(spark, sf):
-    return C.curve_points(replicate_view(spark, sf), V.peptide_info(spark, sf))
+    return C.curve_points(replicate_view(spark, sf), V.peptide_info(spark, sf), max_cv=MAX_CV)
 
 
 def range_view(spark, sf):
@@ -494,6 +492,17 @@ def calibration_fit_log(spark, sf):
     return plain(C.calibration_fit(range_view(spark, sf), log=True))
 
 
+@query
+def tidy_calibration(spark, sf):
+    """Six measures pivoted, ratios of 0 replaced by the area ratio, pasted ids."""
+    report = V.assay_long(spark, sf).withColumn("lth", F.when(F.col("fragment_ion") == "R", 0.0).otherwise(F.col("lth")))
+    wide = C.with_calibration_ids(C.tidify_calibration(report))
+    measures = [f"{i}_{m}" for i in ISOTOPES for m in C.CURVE_MEASURES]
+    return plain(wide.select(
+        "transition_id", "experiment_id", "experiment_transition_id", "protein", "fmol_ug", "fmol_ul", "rdotp", "lth", *measures
+    ))
+
+
 @query
 def optimal_spike(spark, sf):
     return plain(C.optimal_spike(tidy_view(spark, sf)))
@@ -502,9 +511,7 @@ def optimal_spike(spark, sf):
 @query
 def curve_transition_summary(spark, sf):
     tidy = tidy_view(spark, sf).withColumn("lth", F.when(F.col("fragment_ion") == "R", 0.0).otherwise(F.col("lth")))
-    return plain(C.curve_transition_summary(tidy.filter(
-        F.col("heavy_area").isNotNull() & F.col("light_area").isNotNull()
-    )), nudge=1e-9)
+    return plain(C.curve_transition_summary(tidy), nudge=1e-9)
 
 
 @query
@@ -515,7 +522,9 @@ def curve_frame(spark, sf):
 # Longitudinal
 
 def longitudinal_view(spark, sf):
-    return W.longitudinal(V.followed_subjects(spark, sf), "subject_id", BRAND, "timepoint", ["-concentration_ug_ml"])
+    return W.longitudinal(
+        V.followed_subjects(spark, sf), "subject_id", BRAND, "timepoint", ["-concentration_ug_ml"], study=V.peptide_info(spark, sf)
+    )
 
 
 @query
@@ -523,14 +532,20 @@ def ratio_to_group_min(spark, sf):
     return plain(W.ratio_to_group_min(V.followed_subjects(spark, sf), ["subject_id", "peptide"]))
 
 
+def deviation_view(spark, sf):
+    return W.subject_deviations(
+        V.followed_subjects(spark, sf), "subject_id", BRAND, "timepoint", ["-concentration_ug_ml"], study=V.peptide_info(spark, sf)
+    )
+
+
 @query
 def sd_ratio(spark, sf):
-    return plain(W.sd_ratio(longitudinal_view(spark, sf), "subject_id", BRAND))
+    return plain(deviation_view(spark, sf))
 
 
 @query
 def mean_sd_ratio(spark, sf):
-    return plain(W.mean_sd_ratio(W.sd_ratio(longitudinal_view(spark, sf), "subject_id", BRAND), BRAND))
+    return plain(W.mean_sd_ratio(deviation_view(spark, sf), BRAND))
 
 
 @query
@@ -566,7 +581,7 @@ def anova_oneway(spark, sf):
 
 @query
 def tukey_hsd(spark, sf):
-    return plain(T.tukey_hsd(V.group_values(spark, sf), BRAND, "status", "value", level=None), p=4)
+    return plain(T.tukey_hsd(V.group_values(spark, sf), BRAND, "status", "value"), p=4, lower=3, upper=3)
 
 
 @query
@@ -577,10 +592,12 @@ def duncan_mrt(spark, sf):
 @query
 def anova_posthoc(spark, sf):
     found = T.anova_posthoc(V.group_values(spark, sf), BRAND, "status", "value", ALPHA)
-    pairs = [
-        found[test].select("peptide", F.lit(test).alias("test"), "group1", "group2", "p") for test in ("tukey", "duncan")
+    parts = [
+        found["anova"].select("peptide", F.lit("anova").alias("test"), F.col("f").alias("statistic"), "p"),
+        *[found[test].select("peptide", F.lit(test).alias("test"), "group1", "group2", F.col("q").alias("statistic"), "p")
+          for test in ("tukey", "duncan")],
     ]
-    return plain(pairs[0].unionByName(pairs[1]), p=4)
+    return plain(R.union_sets(*parts), p=4)
 
 
 @query
@@ -596,7 +613,12 @@ def dunn_test(spark, sf):
 @query
 def kruskal_dunn(spark, sf):
     found = T.kruskal_dunn(V.group_values(spark, sf), BRAND, "segment", "l_quantity", ALPHA)
-    return plain(found["dunn"].select("peptide", "group1", "group2", "p_adjusted"))
+    parts = [
+        found["kruskal"].select("peptide", F.lit("kruskal").alias("test"), F.col("h").alias("statistic"), "p"),
+        found["dunn"].select("peptide", F.lit("dunn").alias("test"), "group1", "group2", F.col("z").alias("statistic"),
+                             F.col("p_adjusted").alias("p")),
+    ]
+    return plain(R.union_sets(*parts))
 
 
 @query
@@ -626,7 +648,7 @@ def biomarker_view(spark, sf):
 
 @query
 def paired_wide(spark, sf):
-    return plain(wide_view(spark, sf, "o_custkey"))
+    return plain(B.paired_described(wide_view(spark, sf, "o_custkey"), V.peptide_info(spark, sf)))
 
 
 @query
@@ -651,12 +673,23 @@ def wilcoxon_normal(spark, sf):
 
 @query
 def paired_biomarker_table(spark, sf):
-    return plain(biomarker_view(spark, sf).drop("n_at_power"), power=4)
+    table = B.paired_described(biomarker_view(spark, sf), V.peptide_info(spark, sf))
+    return plain(table.drop("n_at_power", "pairs_needed"), power=4)
 
 
 @query
 def paired_sample_size(spark, sf):
-    return plain(biomarker_view(spark, sf).select("peptide", "cohen_d", "n_at_power"))
+    """Smallest number of pairs with a power of 0.8, and the power with these and with one less."""
+    from assayspark.functions.tails import paired_t_power
+
+    def power(n):
+        return paired_t_power(n.cast("double"), F.col("cohen_d"), F.lit(0.05))
+
+    needed = F.col("pairs_needed")
+    return plain(biomarker_view(spark, sf).select(
+        "peptide", "cohen_d", "pairs_needed", power(needed).alias("power_reached"),
+        power(F.when(needed > 2, needed - 1)).alias("power_below"),
+    ), power_reached=5, power_below=5)
 
 
 @query
@@ -782,6 +815,26 @@ def strip_outliers(spark, sf):
     return plain(P.strip_outliers(V.group_values(spark, sf), BRAND, "priority", "value"))
 
 
+@query
+def strip_summary_lod(spark, sf):
+    """Boxes with the detection limit of their analyte."""
+    rows = join_dimension(V.group_values(spark, sf), V.peptide_amounts(spark, sf), "peptide", ["lod"])
+    return plain(P.strip_summary(rows, BRAND, "segment", "value", lod="lod"))
+
+
+@query
+def volcano_plot(spark, sf):
+    table = B.paired_described(biomarker_view(spark, sf), V.peptide_info(spark, sf))
+    return plain(P.volcano_plot(table, BRAND, "protein", low=-1.0, high=1.0, steps=40, fc=SMALL_FOLD, alpha=ALPHA))
+
+
+@query
+def logistic_plot(spark, sf):
+    rows = V.labelled_documents(spark, sf)
+    fits = L.logistic_fit(rows, LANGUAGE, "x", "y", tol=TOLERANCE)
+    return plain(P.logistic_plot(rows, fits, LANGUAGE, "x", "y"), cutoff=4)
+
+
 @query
 def density_histogram(spark, sf):
     return plain(P.density_histogram(V.table(spark, sf, "events"), "value", 5.0))

@@ -12,7 +12,7 @@ from assayspark.operators.calibration import (
 )
 from assayspark.operators.classify import classifier_table, marker_score, merge_performance
 from assayspark.operators.groups import group_tests_by_factor
-from assayspark.operators.longitudinal import VALUE, longitudinal, mean_sd_ratio, sd_ratio
+from assayspark.operators.longitudinal import VALUE, longitudinal, mean_sd_ratio, subject_deviations
 from assayspark.operators.paired import paired_biomarkers, paired_wide
 from assayspark.operators.replicates import (
     EXPERIMENT_PEPTIDE, peptide_concentrations, replicate_cv, replicate_means, rt_report, tidify,
@@ -31,8 +31,9 @@ def sample_set_study(
     tidy = cut_lineage(union_sets(*[tidify(s) for s in sets]))
     means = replicate_means(tidy)
     concentrations = cut_lineage(peptide_concentrations(means, info, ordered=False))
-    longit = longitudinal(concentrations, "subject_id", ["peptide"], "timepoint", [f"-{VALUE}", *EXPERIMENT_PEPTIDE])
-    ratios = sd_ratio(longit, "subject_id", ["peptide"])
+    order = [f"-{VALUE}", *EXPERIMENT_PEPTIDE]
+    longit = longitudinal(concentrations, "subject_id", ["peptide"], "timepoint", order, study=tidy)
+    ratios = subject_deviations(concentrations, "subject_id", ["peptide"], "timepoint", order, study=tidy)
     return {
         "tidy": tidy,
         "replicate_means": means,

@@ -93,8 +93,8 @@ def assay_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def curve_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calibration rows: pending orders' returned items, line number as curve point, priority as trial."""
-    rows = line_items(spark, sf_dir).filter((F.col("o_orderstatus") == "P") & (F.col("l_returnflag") == "A"))
+    """Calibration rows: every line item, line number as curve point, priority as trial."""
+    rows = line_items(spark, sf_dir)
     amounts = peptide_amounts(spark, sf_dir).select("peptide", "fmol_ug")
     measured = rows.select(
         F.col("p_brand").alias("peptide"), F.col("l_linenumber").cast("double").alias("curvepoint"),
@@ -116,10 +116,10 @@ def group_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def before_after(spark: SparkSession, sf_dir: str, subject: str = "c_nationkey") -> DataFrame:
-    """Line items returned before (A) and after (R), per subject and brand."""
-    return customer_items(spark, sf_dir).filter(F.col("l_returnflag").isin("A", "R")).select(
+    """Line items before (status F) and after, per subject and brand."""
+    return customer_items(spark, sf_dir).select(
         F.col(subject).alias("subject_id"), F.col("p_brand").alias("peptide"),
-        F.when(F.col("l_returnflag") == "A", "PRE").otherwise("POST").alias("condition"), "l_extendedprice",
+        F.when(F.col("l_linestatus") == "F", "PRE").otherwise("POST").alias("condition"), "l_extendedprice",
     )
 
 
@@ -141,8 +141,8 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def marker_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items returned before or after, price in thousands, label 1 for after."""
-    return line_items(spark, sf_dir).filter(F.col("l_returnflag").isin("A", "R")).select(
+    """Line items, price in thousands, label 1 for those after (see ``before_after``)."""
+    return line_items(spark, sf_dir).select(
         F.col("p_brand").alias("peptide"), (F.col("l_extendedprice") / 1000).alias("x"),
-        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("y"),
+        F.when(F.col("l_linestatus") == "F", 0).otherwise(1).alias("y"),
     )

@@ -100,7 +100,8 @@ def read_report(
 ) -> DataFrame:
     """Long report, one row per measurement, transition and isotope; ``#N/A`` is the missing marker.
 
-    ``row_id`` orders rows as in the file (file, split, position in the split).
+    ``row_id`` orders rows as in the file (file, split, position in the split). Columns outside the dialect's headers
+    stay, as text and under their own name, unless a canonical column has that name.
     """
     raw = spark.read.option("header", True).option("nullValue", "#N/A").csv(path)
     placed = raw.select(
@@ -112,7 +113,10 @@ def read_report(
         ).alias("row_id"),
     )
     mapping = DIALECTS[dialect]
-    named = normalise_columns(placed, mapping).select(*mapping.values(), "row_id")
+    own = [*mapping.values(), "row_id"]
+    extra = [c for c in raw.columns if _dotted(c) not in mapping and c not in own]
+    named = normalise_columns(placed.select(*[F.col(f"`{c}`") for c in placed.columns if c in extra or _dotted(c) in mapping or c == "row_id"]), mapping)
+    named = named.select(*own, *[F.col(f"`{c}`") for c in extra])
     typed = _typed(named, TYPES)
     if not blank_as_null:
         return typed

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from assayspark.operators import frames, groups, scale
+from assayspark.operators import correlation, frames, groups, longitudinal, ranks, scale
 from assayspark.operators.correlation import cross_correlation
 
 
@@ -44,6 +44,98 @@ def test_ranks_of_a_hot_key_over_slices(spark, many_slices):
             assert found[(key, value)] == rank
 
 
+@pytest.mark.parametrize("hot", [1.0, None])
+def test_row_ranks_of_a_hot_value_spread_over_slices(spark, many_slices, hot):
+    """One value (or NULL) has a third of the rows: its rows are in many slices, and no join is on a value."""
+    rng = random.Random(3)
+    data = [("k" if i % 5 else "other", hot if i % 3 == 0 else float(rng.randint(-9, 9)), i) for i in range(3000)]
+    df = spark.createDataFrame(data, "key string, v double, i int").repartition(7)
+    placed = scale.placed_rows(df.filter("v is not null"), ["key"], "v")
+    if hot:
+        assert placed.filter("v = 1 and key = 'k'").select(scale.SLICE).distinct().count() > 1
+    found = ranks.rank_avg(df, ["key"], "v").collect()
+    assert len(found) == len(data)
+    for key in ("k", "other"):
+        mine = [v for k, v, _ in data if k == key and v is not None]
+        expected = brute_ranks([-v for v in mine])
+        for r in found:
+            if r.key == key:
+                assert r["rank"] == (None if r.v is None else expected[-r.v])
+    dense = {v: n for n, v in enumerate(sorted({v for _, v, _ in data if v is not None}), 1)}
+    for r in scale.placed_rows(df.filter("v is not null"), [], "v").collect():
+        assert r["_dense"] == dense[r.v] and r["_all"] == sum(v is not None for _, v, _ in data)
+    assert not re.search(r"Join \[[^\n]*\bv#", plan(ranks.rank_avg(df, ["key"], "v")))
+
+
+def test_adjusted_p_of_a_hot_value(spark, many_slices):
+    rng = random.Random(4)
+    data = [("f" if i % 4 else "g", 1.0 if i % 3 == 0 else None if i % 7 == 0 else round(rng.random(), 2)) for i in range(900)]
+    df = spark.createDataFrame(data, "family string, p double").repartition(5)
+    found = groups.p_adjust_bh(df, "p", ["family"]).collect()
+    assert len(found) == 900
+    for family in ("f", "g"):
+        own = sorted(p for f, p in data if f == family and p is not None)
+        raw = {p: min(1.0, p * len(own) / sum(q <= p for q in own)) for p in own}
+        for r in found:
+            if r.family == family and r.p is not None:
+                assert r.p_adjusted == pytest.approx(min(v for q, v in raw.items() if q >= r.p))
+            assert (r.p is None) == (r.p_adjusted is None)
+
+
+def test_one_tally_for_all_factors(spark):
+    rng = random.Random(5)
+    rows = [(f"a{i % 3}", rng.choice(["x", "y", "unknown", None]), rng.choice("pqr"), round(rng.gauss(5, 1), 1)) for i in range(600)]
+    df = spark.createDataFrame(rows, "a string, f string, g string, v double")
+    tallied = groups._tally_by_factor(df, ["a"], ["f", "g"], "v")
+    found = {(r.factor, r.a, r.group): r.n for r in tallied.groupBy("factor", "a", "group").agg(F.sum("n").alias("n")).collect()}
+    for k, name in ((1, "f"), (2, "g")):
+        for level in {r[k] for r in rows} - {"unknown", None}:
+            for a in ("a0", "a1", "a2"):
+                assert found.pop((name, a, level)) == sum(r[0] == a and r[k] == level for r in rows)
+    assert not found
+    kept = scale.cut_lineage(tallied)
+    by_tally = groups._anova(groups._moments(kept, ["factor", "a"]), ["factor", "a"]).filter("factor = 'g'").orderBy("a").collect()
+    plain = groups.anova_oneway(df, ["a"], "g", "v").orderBy("a").collect()
+    assert [(r.n, r.df2) for r in by_tally] == [(r.n, r.df2) for r in plain]
+    assert [r.f for r in by_tally] == pytest.approx([r.f for r in plain])
+
+
+def test_deviations_from_summaries(spark):
+    rng = random.Random(6)
+    rows = [(s, f"a{k}", t, None if s == 5 and k == 1 and t == 2 else 1e6 + rng.random()) for s in range(9) for k in range(3)
+            for t in range(1 + s % 3) for _ in range(2)]
+    df = spark.createDataFrame(rows, "s int, a string, t int, concentration_ug_ml double")
+    args = (df, "s", ["a"], "t", ["-concentration_ug_ml"])
+    slow = longitudinal.sd_ratio(longitudinal.longitudinal(*args), "s", ["a"]).orderBy("s", "a").collect()
+    fast = longitudinal.subject_deviations(*args).orderBy("s", "a").collect()
+    assert [(r.s, r.a) for r in fast] == [(r.s, r.a) for r in slow]
+    for x, y in zip(fast, slow, strict=True):
+        for c in ("group_sd", "total_sd", "sdr"):
+            assert (x[c] is None) == (y[c] is None) and (x[c] is None or x[c] == pytest.approx(y[c], rel=1e-6))
+    none = longitudinal.subject_deviations(*args, study=spark.range(99).select(F.col("id").cast("string").alias("a")))
+    assert none.count() == 0
+
+
+def test_correlation_holds_one_tile_at_a_time(monkeypatch):
+    import pandas as pd
+
+    held, most = set(), []
+    build = correlation._Tile.__init__
+
+    def counted(self, tile):
+        held.clear()
+        held.add(tile)
+        most.append(len(held))
+        build(self, tile)
+
+    monkeypatch.setattr(correlation._Tile, "__init__", counted)
+    rows = [(a, b, [a, b], [f"i{a}", f"j{b}"], [1.0, 2.0]) for a in range(6) for b in range(a, 6) for _ in range(3)]
+    frames_in = [pd.DataFrame(rows[k:k + 5], columns=["tile_a", "tile_b", "blocks", "items", "amounts"]) for k in range(0, len(rows), 5)]
+    out = pd.concat(correlation._partial_products(iter(frames_in)))
+    assert len(most) == 21 and max(most) == 1
+    assert (out.groupby(["a", "b"]).size() == 1).sum() > 20 and set(out["xy"]) == {3.0, 6.0, 12.0}
+
+
 def test_running_minimum_from_the_top(spark, many_slices):
     data, df = skewed(spark)
     numbered = df.groupBy("key", "v").agg(F.min("g").alias("g")).withColumn("x", F.pmod(F.xxhash64("v"), F.lit(97)))
