@@ -3,7 +3,8 @@
 Each dimension has the list of the centroids in order of their component. A vector walks the lists outward from its own component,
 the nearer neighbour first, and measures the exact distance of each centroid it meets. The frontier of a list is the
 distance, in that dimension, to the nearest centroid not yet read from it. A centroid that was met in no list is at least as far as the sum of the squared
-frontiers, so the walk stops when this sum strictly exceeds the best exact distance; equal ones go on, as a lower number may win.
+frontiers, so the walk stops when this sum strictly exceeds the best exact distance; equal ones go on, as a lower number may win. It also
+stops when no centroid is left to meet.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ ROUNDS = 5
 FACTOR = 256
 SEED = 2
 #: Lists read in one step, and vectors that walk together.
-LISTS_AT_ONCE = 8
+LISTS_AT_ONCE = 32
 VECTORS_AT_ONCE = 2048
 _FAR = np.iinfo(np.int64).max
 #: Frontier of a list that is read to its end; all centroids have been met then.
@@ -79,7 +80,8 @@ class SortedLists:
             at_low, at_high = at_low - (down & read), at_high + (~down & read)
             low[np.ix_(active, lists)], high[np.ix_(active, lists)] = at_low, at_high
             frontier[np.ix_(active, lists)] = np.minimum(*self._frontier(own, at_low, at_high, lists)) ** 2
-            active = active[frontier[active].sum(axis=1) <= best[active]]
+            unmet = (met[active] == _FAR).any(axis=1)
+            active = active[unmet & (frontier[active].sum(axis=1) <= best[active])]
         return met.argmin(axis=1), best
 
 
