@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from assayspark.llm.common import components, cut_lineage
 from assayspark.llm.groups import linked_lowest
-from assayspark.llm.shingles import mix, shingle_sets
+from assayspark.llm.shingles import mix, shingle_sets, sliced_sets
 
 #: Share of the documents, over all and within a batch, from which a shingle counts as one of many documents. It
 #: steers the work, not the result; at most (shingles per document) / FREQUENT shingles can pass it.
@@ -91,14 +91,21 @@ def _describe(size: int):
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = list(shingle_sets(batch["text"].tolist(), size))
-            ids = [_identity(s) for s in sets]
-            yield pd.DataFrame({
-                "kind": 0, "doc_id": batch["doc_id"], "n": [len(s) for s in sets],
-                "k1": np.array([i for i, _ in ids], dtype=np.int64), "k2": np.array([i for _, i in ids], dtype=np.int64),
-                "sketch": [_sketch(s) for s in sets],
-            })
-            found, counts = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
+            held, first = [], 0
+            for sets in sliced_sets(batch["text"].tolist(), size):
+                ids = [_identity(s) for s in sets]
+                yield pd.DataFrame({
+                    "kind": 0, "doc_id": batch["doc_id"].iloc[first:first + len(sets)].to_numpy(), "n": [len(s) for s in sets],
+                    "k1": np.array([i for i, _ in ids], dtype=np.int64), "k2": np.array([i for _, i in ids], dtype=np.int64),
+                    "sketch": [_sketch(s) for s in sets],
+                })
+                first += len(sets)
+                held.append(np.concatenate(sets))
+            flat = np.concatenate([*held, np.zeros(0, np.uint64)])
+            held.clear()
+            flat.sort()
+            edges = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1], [True]])) if len(flat) else np.zeros(1, np.int64)
+            found, counts = flat[edges[:-1]], np.diff(edges)
             often = counts >= max(3, FREQUENT_IN_BATCH * len(batch))
             yield pd.DataFrame({
                 "kind": 1, "doc_id": pd.array([pd.NA] * int(often.sum()), dtype="Int64"), "n": counts[often],
@@ -112,17 +119,18 @@ def _index(size: int, percent: int, frequent: np.ndarray):
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         levels = _levels(percent)
         for batch in batches:
-            keys, owners = [], []
-            for own in shingle_sets(batch["text"].tolist(), size):
-                if len(own):
-                    at = np.searchsorted(frequent, own)
-                    at[at == len(frequent)] = 0
-                    rare = frequent[at] != own if len(frequent) else np.ones(len(own), dtype=bool)
-                    found = _block_keys(own, rare, percent, levels)
-                    keys.append(found)
-                    owners.append(np.full(len(found), _identity(own)[0], dtype=np.int64))
-            if keys:
-                yield pd.DataFrame({"key": np.concatenate(keys), "owner": np.concatenate(owners)})
+            for sets in sliced_sets(batch["text"].tolist(), size):
+                keys, owners = [], []
+                for own in sets:
+                    if len(own):
+                        at = np.searchsorted(frequent, own)
+                        at[at == len(frequent)] = 0
+                        rare = frequent[at] != own if len(frequent) else np.ones(len(own), dtype=bool)
+                        found = _block_keys(own, rare, percent, levels)
+                        keys.append(found)
+                        owners.append(np.full(len(found), _identity(own)[0], dtype=np.int64))
+                if keys:
+                    yield pd.DataFrame({"key": np.concatenate(keys), "owner": np.concatenate(owners)})
 
     return index
 
@@ -257,6 +265,8 @@ def overlaps_join(sets: list[np.ndarray], side: np.ndarray, percent: int) -> tup
 
 def _join(percent: int):
     def join(group: pd.DataFrame) -> pd.DataFrame:
+        # A row that repeats its doc_id and text brings the set once more; its copies are counted already.
+        group = group.drop_duplicates("node")
         sets = [np.asarray(s, dtype=np.int64) for s in group["shingles"]]
         a, b = overlaps_join(sets, group["side"].to_numpy(), percent)
         nodes, copies = group["node"].to_numpy(), group["copies"].to_numpy()

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Bytes of text handled at once; a single text may be longer.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 256 << 10
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
@@ -29,7 +29,7 @@ def _power(base: int, n: int) -> np.ndarray:
     """Powers 0 to n of an odd number, modulo 2 to the 64th."""
     known = _powers.get(base)
     if known is None or len(known) <= n:
-        steps = np.full(max(n, SLICE_BYTES) + 2, base, dtype=np.uint64)
+        steps = np.full(max(n, 2 * SLICE_BYTES) + 2, base, dtype=np.uint64)
         steps[0] = 1
         known = np.multiply.accumulate(steps)
         if len(known) <= 4 * SLICE_BYTES:
@@ -64,7 +64,14 @@ def _slices(texts: list[str | None]) -> Iterator[list[bytes]]:
 
 def shingle_sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text; empty without a word."""
+    for part in sliced_sets(texts, size):
+        yield from part
+
+
+def sliced_sets(texts: list[str | None], size: int) -> Iterator[list[np.ndarray]]:
+    """``shingle_sets`` of neighbouring texts, as many as make a slice."""
     for part in _slices(texts):
+        sets = []
         lengths = np.array([len(t) + 1 for t in part])
         first = np.cumsum(lengths) - lengths
         starts, hashes = _word_hashes(np.frombuffer(b" ".join(part), dtype=np.uint8))
@@ -74,11 +81,12 @@ def shingle_sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
             runs = mix(runs + hashes[place:place + len(runs)], place + 1)
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             if b - a >= size:
-                yield np.unique(runs[a:b - size + 1])
+                sets.append(np.unique(runs[a:b - size + 1]))
             elif b > a:
                 one = np.zeros(1, dtype=np.uint64)
                 for place in range(a, b):
                     one = mix(one + hashes[place], place - a + 1)
-                yield mix(one, b - a)
+                sets.append(mix(one, b - a))
             else:
-                yield np.zeros(0, dtype=np.uint64)
+                sets.append(np.zeros(0, dtype=np.uint64))
+        yield sets
