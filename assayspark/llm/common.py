@@ -51,6 +51,14 @@ def join_small(rows: DataFrame, small: DataFrame, on: list[str], how: str = "lef
     return null_safe_join(rows, F.broadcast(small) if fits else small, on, how)
 
 
+def fresh_name(columns: list[str], wanted: str) -> str:
+    """``wanted``, with underscores in front until no column has that name in any case."""
+    taken = {c.lower() for c in columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows as a written table in the shared folder; the shuffle files behind it go when it is complete."""
     conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayspark.llm.common import cut_lineage
+from assayspark.llm.common import cut_lineage, fresh_name
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -63,6 +63,14 @@ def _gram_rows(keys: list[int]) -> list[int]:
     return [_rows[k] for k in keys]
 
 
+def _forget() -> None:
+    """Give back what the worker remembers; the process goes on to other tasks."""
+    global _vectors
+    _rows.clear()
+    _letters.clear()
+    _vectors = np.zeros((0, DIMENSIONS), dtype=np.float32)
+
+
 def normalised(text: str | None) -> str:
     """Lower-case letters with one blank between words and at either end; empty without a letter."""
     bare = _OTHER.sub(" ", text or "").strip().lower()
@@ -110,6 +118,7 @@ def _bundle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if vector is not None and (length := np.linalg.norm(vector)) > 0:
                 own = sums.setdefault(lang, np.zeros(DIMENSIONS, dtype=np.int64))
                 own += np.rint(vector * (100 / length)).astype(np.int64)
+    _forget()
     for lang, own in sums.items():
         yield pd.DataFrame({"lang": lang, "place": np.arange(DIMENSIONS, dtype=np.int32), "amount": own})
 
@@ -126,13 +135,17 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "te
     matrix = np.stack(unit, axis=1) if unit else np.zeros((DIMENSIONS, 0))
 
     @F.pandas_udf("lang_pred string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        found = [_nearest(t, names, matrix) for t in texts]
-        return pd.DataFrame(found, columns=["lang_pred", "score"])
-
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        try:
+            for texts in batches:
+                yield pd.DataFrame([_nearest(t, names, matrix) for t in texts], columns=["lang_pred", "score"])
+        finally:
+            _forget()
+
+    found = fresh_name(docs.columns, "_found")
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
-    return docs.select(*kept, predict(F.col(text)).alias("_found")).select(
-        *kept, F.col("_found.lang_pred").alias("lang_pred"), F.col("_found.score").alias("score")
+    return docs.select(*kept, predict(F.col(f"`{text}`")).alias(found)).select(
+        *kept, F.col(f"{found}.lang_pred").alias("lang_pred"), F.col(f"{found}.score").alias("score")
     )
 
 
