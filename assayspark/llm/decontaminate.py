@@ -2,7 +2,8 @@
 
 A word, without punctuation at either end, becomes a placeholder if it begins with a digit (a number), is a unit of measure,
 or begins with a capital (a name). Windows of template words, and of words in lower case, are hash-joined with those of
-the benchmark. A window whose words equal the item's but for case counts as it is. Windows with exchanged words count in runs, which
+the benchmark. A window of placeholders alone counts for nothing, as it fits any list of names, but its words still are
+compared: a window whose words equal the item's but for case counts as it is. Windows with exchanged words count in runs, which
 end at windows without: in a run equal slots of the item must be filled alike in the document and different ones
 differently. Numbers, names and units may thus have been exchanged, but not at random. A document holds an item if
 enough of the item's windows count, or if it has EXCERPT words of the item in a row. DataFrame functions only.
@@ -24,10 +25,8 @@ PUNCTUATION = ".,;:!?\"'()[]{}<>*_`~|/\\«»„“”‚‘’…–—¿¡-+$
 UNITS = """mm cm km inch inches ft feet yd yards mi miles mg kg oz lb lbs pounds ml cl litre litres liter liters gal gallons
     sec seconds minutes hr hrs hour hours day days week weeks month months year years mph kmh hz khz mhz ghz kw mw kj kcal
     kb mb gb tb usd eur gbp dollar dollars cent cents euro euros percent degrees""".split()
-#: Letters that count as capitals, one mark for all of them.
-CAPITALS = "".join(chr(c) for c in range(0x41, 0x530) if chr(c).isupper())
-MARK = "\x01"
-NUMBER, UNIT, NAME = "<number>", "<unit>", "<name>"
+#: What a placeholder's hash is; a literal word's hash is odd, so AND and OR of a window's hashes tell what it holds.
+NUMBER, UNIT, NAME = 2, 4, 6
 
 
 def bare_words(text: Column) -> Column:
@@ -36,48 +35,65 @@ def bare_words(text: Column) -> Column:
     return F.coalesce(F.filter(found, lambda w: w != ""), F.array().cast("array<string>"))
 
 
-def template_words(text: Column) -> Column:
-    """The template word for each bare word of a text."""
+def word_hashes(words: Column) -> Column:
+    """(low, one) of each bare word: the hash of the word in lower case, and that of its place in the template."""
 
-    def one(word: Column) -> Column:
-        first = F.ascii(word)
-        special = F.when(first == ord(MARK), NAME).when(first >= ord("0"), NUMBER).otherwise(word)
-        return F.when(first <= ord("9"), special).when(word.isin(*UNITS), UNIT).otherwise(word)
+    def hashes(word: Column) -> Column:
+        folded = F.lower(word)
+        low = F.xxhash64(folded).bitwiseOR(F.lit(1))
+        first = F.substring(word, 1, 1)
+        kind = F.when((first >= "0") & (first <= "9"), NUMBER).when(folded.isin(*UNITS), UNIT).when(
+            first != F.lower(first), NAME
+        )
+        return F.struct(low.alias("low"), F.coalesce(kind.cast("bigint"), low).alias("one"))
 
-    return F.transform(bare_words(F.translate(text, CAPITALS, MARK * len(CAPITALS))), one)
+    return F.transform(words, hashes)
 
 
 def template_windows(rows: DataFrame, key: str, window: int = WINDOW) -> DataFrame:
-    """(key, place, hash) of every window of ``text``, by its template and by its words in lower case, once if these agree.
+    """(key, place, hash) of every window of ``text``: by its words in lower case, and by its template if that has both a
+    placeholder and a literal word. A template of placeholders alone fits any list of names or numbers and gives no hash.
 
     Fewer words than ``window`` make one window, none makes none.
     """
-    hashes = F.struct(
-        F.transform(template_words(F.col("text")), lambda p: F.xxhash64(p)).alias("one"),
-        F.transform(bare_words(F.lower("text")), lambda p: F.xxhash64(p)).alias("low"),
-    )
-    hashed = computed(rows.select(key, "text"), "both", hashes).select(
-        key, "both.one", "both.low", F.size("both.one").alias("n")
+    hashed = computed(rows.select(key, "text"), "own", word_hashes(bare_words(F.col("text")))).select(
+        key, F.col("own.low").alias("low"), F.col("own.one").alias("one"), F.size("own").alias("n")
     ).filter("n > 0")
     starts = F.sequence(F.lit(0), F.greatest(F.col("n") - window, F.lit(0)))
 
     def own(at: Column) -> Column:
-        return F.array_distinct(F.array(*(F.xxhash64(F.slice(c, at + 1, window)) for c in ("one", "low"))))
+        low = [F.get("low", at + k) for k in range(window)]
+        one = [F.get("one", at + k) for k in range(window)]
+        every, some = F.coalesce(one[0], F.lit(1)), F.coalesce(one[0], F.lit(0))
+        for value in one[1:]:
+            every = every.bitwiseAND(F.coalesce(value, F.lit(1)))
+            some = some.bitwiseOR(F.coalesce(value, F.lit(0)))
+        mixed = (every.bitwiseAND(F.lit(1)) == 0) & (some.bitwiseAND(F.lit(1)) == 1)
+        by_words, by_template = F.xxhash64(*low), F.xxhash64(*one, F.lit(1))
+        return F.when(mixed, F.array(by_words, by_template)).otherwise(F.array(by_words))
 
     placed = hashed.select(key, F.posexplode(F.transform(starts, own)).alias("place", "own"))
     return placed.select(key, "place", F.explode("own").alias("hash"))
 
 
+def telling_places(words: Column, window: int = WINDOW) -> Column:
+    """Places of the windows with a literal word, or of all windows if there is none: those that can count."""
+    literal = F.transform(word_hashes(words), lambda h: h.one.bitwiseAND(F.lit(1)) == 1)
+    every = F.sequence(F.lit(0), F.greatest(F.size(words) - window, F.lit(0)))
+    some = F.filter(every, lambda at: F.exists(F.slice(literal, at + 1, window), lambda x: x))
+    return F.when(F.size(some) > 0, some).otherwise(every)
+
+
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """The items with their words and number of windows, and their windows; both written tables."""
+    """The items with their words and the places that can count, and their windows; both written tables."""
     items = cut_lineage(benchmark.filter(F.col("text").isNotNull()).select(
         F.xxhash64("item_id", "text").alias("item"), "item_id", "text", bare_words(F.col("text")).alias("words")
-    ).filter(F.size("words") > 0).dropDuplicates(["item"]))
+    ).filter(F.size("words") > 0).dropDuplicates(["item"]).withColumn("telling", telling_places(F.col("words"), window)))
     return items, cut_lineage(template_windows(items, "item", window).withColumnsRenamed({"place": "item_place"}))
 
 
 def counted_windows(aligned: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows (text_key, item, ``places`` and ``pairs``) with ``counted``, the places that count, and ``longest``, the most
+    """The rows (text_key, item, ``places``, ``telling`` and ``pairs``) with ``counted``, the places that count, and ``longest``, the most
     words in a row that differ by case at most. ``pairs`` has the words of item and text in lower case, one pair per word of the item.
     """
 
@@ -104,7 +120,7 @@ def counted_windows(aligned: DataFrame, window: int = WINDOW) -> DataFrame:
     ends = F.filter("same", lambda at: ~F.array_contains("same", at + 1))
     begins = F.filter("same", lambda at: ~F.array_contains("same", at - 1))
     stretch = F.array_max(F.zip_with(ends, begins, lambda e, b: F.least(e + window, F.size("pairs")) - b))
-    return split.select("text_key", "item", F.concat("same", kept).alias("counted"),
+    return split.select("text_key", "item", F.array_intersect(F.concat("same", kept), "telling").alias("counted"),
                         F.coalesce(stretch, F.lit(0)).alias("longest"))
 
 
@@ -113,7 +129,8 @@ def leaks(
 ) -> DataFrame:
     """(text_key, item_id, n_windows, n_found): benchmark items held by a text, by the md5 of the text.
 
-    n_windows counts the item's windows, n_found those that count; ``100 * n_found >= percent * n_windows``, or ``excerpt`` words of
+    n_windows counts the item's windows with a literal word (all, if no window has one), n_found those of them that count;
+    ``100 * n_found >= percent * n_windows``, or ``excerpt`` words of
     the item stand in the text in a row, by case at most different. Null and empty texts and items hold nothing. Items that
     repeat are one; an item without an item_id is reported with a null one. Other columns are not read.
     """
@@ -123,7 +140,7 @@ def leaks(
         join_small(template_windows(texts, "text_key", window), wanted, ["hash"], "inner", 32)
         .select("text_key", "item", "place", "item_place").distinct().withColumn("shift", F.col("place") - F.col("item_place"))
     )
-    numbers = items.select("item", "item_id", F.greatest(F.size("words") - window + 1, F.lit(1)).alias("n_windows"))
+    numbers = items.select("item", "item_id", F.size("telling").alias("n_windows"))
     enough = 100 * F.col("n_found") >= percent * F.col("n_windows")
     likely = hits.groupBy("text_key", "item").agg(F.count_distinct("item_place").alias("n_found"))
     likely = cut_lineage(join_small(likely, numbers, ["item"], "inner").filter(
@@ -134,7 +151,7 @@ def leaks(
     )
     some = join_small(texts, cut_lineage(likely.select("text_key").distinct()), ["text_key"], "inner")
     held = cut_lineage(some.dropDuplicates(["text_key"]).select("text_key", bare_words(F.lower("text")).alias("words")))
-    lower = items.select("item", F.transform("words", lambda w: F.lower(w)).alias("item_words"))
+    lower = items.select("item", "telling", F.transform("words", lambda w: F.lower(w)).alias("item_words"))
     filled = join_small(aligned, lower, ["item"], "inner", 4096).join(held, "text_key")
     pairs = F.transform("item_words", lambda w, k: F.struct(
         w.alias("a"), F.when(k + F.col("shift") >= 0, F.get("words", k + F.col("shift"))).alias("b")
