@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assayspark.llm.common import fresh_name
+
 WINDOW = 5
 #: A window is dense from one part in so many of the largest sum.
 DENSE = 8
@@ -170,7 +172,8 @@ def extract_main_text(pages: DataFrame, page: str = "html") -> DataFrame:
             texts = [main_text(p) for p in found]
             yield pd.DataFrame({"text": texts, "n_chars": np.array([len(t) for t in texts], dtype=np.int64)})
 
+    own = fresh_name(pages.columns, "_found")
     kept = [F.col(f"`{c}`") for c in pages.columns if c not in ("text", "n_chars")]
-    return pages.select(*kept, extract(F.col(page)).alias("_found")).select(
-        *kept, F.col("_found.text").alias("text"), F.col("_found.n_chars").alias("n_chars")
+    return pages.select(*kept, extract(F.col(page)).alias(own)).select(
+        *kept, F.col(f"{own}.text").alias("text"), F.col(f"{own}.n_chars").alias("n_chars")
     )

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assayspark.llm.common import fresh_name
+
 MARK = "▁"
 UNKNOWN_COST = 10.0
 #: Words whose counts a worker remembers; when full it starts anew. Results don't depend on it.
@@ -106,7 +108,8 @@ def token_counts(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
             found = np.array([own.count(t) for t in texts], dtype=np.int64).reshape(-1, 2)
             yield pd.DataFrame({"n_words": found[:, 0], "n_tokens": found[:, 1]})
 
+    own = fresh_name(docs.columns, "_found")
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_words", "n_tokens")]
-    return docs.select(*kept, count(F.col(text)).alias("_found")).select(
-        *kept, F.col("_found.n_words").alias("n_words"), F.col("_found.n_tokens").alias("n_tokens")
+    return docs.select(*kept, count(F.col(f"`{text}`")).alias(own)).select(
+        *kept, F.col(f"{own}.n_words").alias("n_words"), F.col(f"{own}.n_tokens").alias("n_tokens")
     )

@@ -73,7 +73,14 @@ def _compare(least: float, tables: int):
     Rows come sorted by block. A row of the result is a vector and what one block adds to it.
     """
 
-    def links(block: pd.DataFrame) -> pd.DataFrame | None:
+    def links(rows: pd.DataFrame) -> pd.DataFrame | None:
+        """Rows of whole blocks; a block's vectors have one length, several blocks may not."""
+        lengths = rows["unit"].map(len).to_numpy()
+        parts = [of_length(rows[lengths == n].reset_index(drop=True)) for n in np.unique(lengths)]
+        parts = [p for p in parts if p is not None]
+        return pd.concat(parts, ignore_index=True) if parts else None
+
+    def of_length(block: pd.DataFrame) -> pd.DataFrame | None:
         left, right = _pairs(block["key"].to_numpy(), block["side"].to_numpy())
         unit, ids = np.stack(block["unit"].to_numpy()), np.stack(block["buckets"].to_numpy())
         nodes, copies = block["node"].to_numpy(), block["copies"].to_numpy()
@@ -159,9 +166,9 @@ def near_vectors(
         f"label {label_type}, unit array<double>, buckets array<long>, node long, copies long",
     ))
     places = indexed.select(
-        "node", "label", F.posexplode("buckets").alias("table", "bucket")
+        "node", "label", F.size("unit").alias("width"), F.posexplode("buckets").alias("table", "bucket")
     )
-    key = F.xxhash64("label", "table", "bucket")
+    key = F.xxhash64("label", "width", "table", "bucket")
     crowded = places.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = places.select("node", "table", key.alias("key")).join(crowded, "key")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")

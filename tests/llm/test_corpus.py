@@ -120,8 +120,16 @@ def test_near_vectors(spark):
         if r.vec_id is not None:
             assert r.component_id == groups.get(r.vec_id, r.vec_id)
             assert r.kept == (r.component_id == r.vec_id)
-            if r.vec_id not in groups:
-                assert r.n_links == 0
+            own = r.vec_id if r.vec_id != 506 else 1
+            copies = 2 * (r.vec_id in (1, 506))
+            expected = Counter(i for link in links for i in link)[own] + copies // 2
+            assert r.n_links == (expected + sum(own in link and 1 in link for link in links) * (own != 1) if r.vec_id in groups else 0), r
+
+
+def test_near_vectors_of_several_lengths(spark):
+    rows = [(1, [1.0, 2.0]), (2, [1.0, 2.01]), (3, [float(k) for k in range(1, 17)]), (4, [k + 0.01 for k in range(1, 17)]), (5, [1.0])]
+    found = near_vectors(spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found} == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (1, 3), 5: (0, 5)}
 
 
 def brute_jaccard(rows, size, percent):
@@ -160,8 +168,15 @@ def test_jaccard_join(documents, size, percent):
             assert (r.n_shingles, r.n_links, r.component_id) == (1, 0, None)
         else:
             assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), groups[r.doc_id])
-            if r.doc_id and groups[r.doc_id] != groups[0]:
-                assert r.n_links == count[r.doc_id]
+            # Document 0 stands there twice: its own copy and its neighbours have one link more.
+            near = {0}.union(i for link in links if 0 in link for i in link)
+            assert r.n_links == count[r.doc_id] + (r.doc_id in near)
+
+
+def test_repeated_rows_count_once_each(documents):
+    a, b = prose(3, 40), prose(3, 39) + " end"
+    found = jaccard_groups(documents([a, a, b, b, a], [1, 1, 2, 3, None]), 3, 90).collect()
+    assert sorted((r.doc_id or 0, r.n_links, r.component_id) for r in found) == [(0, 0, None), (1, 3, 1), (1, 3, 1), (2, 3, 1), (3, 3, 1)]
 
 
 def test_overlaps_across_two_portions():
@@ -273,6 +288,92 @@ def test_decontamination_of_copies_with_small_changes(spark, documents):
     assert found == {(0, 1), (1, 1), (2, 1), (6, 1)}
 
 
+def brute_leaks(texts, items, window=5, percent=80, excerpt=30):
+    """Every alignment of every text with every item, window by window."""
+    from assayspark.llm.decontaminate import PUNCTUATION, UNITS
+
+    def split(text):
+        return [w for w in (x.strip(PUNCTUATION) for x in WORD.findall(text or "")) if w]
+
+    def template(word):
+        if "0" <= word[0] <= "9":
+            return 1
+        return 2 if word.lower() in UNITS else 3 if word[0] != word[0].lower() else word.lower()
+
+    found = set()
+    for d, text in enumerate(texts):
+        own = split(text)
+        for item_id, item in items:
+            words = split(item)
+            n = max(1, len(words) - window + 1)
+            if not words:
+                continue
+            spoken = {k for k in range(n) if any(isinstance(template(w), str) for w in words[k:k + window])}
+            literal = spoken or set(range(n))
+            counted, longest = set(), 0
+            for shift in range(-len(words), len(own) + 1):
+                pairs = [(w.lower(), own[k + shift].lower() if 0 <= k + shift < len(own) else None) for k, w in enumerate(words)]
+
+                def windows(test):
+                    return [k for k in range(n) if 0 <= k + shift and k + shift + len(words[k:k + window]) <= len(own)
+                            and (len(words) >= window or len(own) == len(words)) and test(k)]
+
+                same = windows(lambda k: all(a == b for a, b in pairs[k:k + window]))
+                alike = windows(lambda k: k in spoken and [template(w) for w in words[k:k + window]]
+                                == [template(w) for w in own[k + shift:k + shift + window]][:len(words)])
+                other, kept = sorted(set(alike) - set(same)), []
+                runs = {}
+                for k in other:
+                    runs.setdefault(sum(x < k for x in same), []).append(k)
+                for run in runs.values():
+                    slots = {p for k in run for p in pairs[k:k + window]}
+                    if len({a for a, _ in slots}) == len(slots) == len({b for _, b in slots}):
+                        kept += run
+                counted |= (set(same) | set(kept)) & literal
+                best = 0
+                for a, b in pairs:
+                    best = best + 1 if a == b else 0
+                    longest = max(longest, best if best >= min(window, len(words)) and same else 0)
+            if 100 * len(counted) >= percent * len(literal) or longest >= excerpt:
+                found.add((d, item_id, len(literal), len(counted)))
+    return found
+
+
+def test_decontamination_against_every_alignment(spark, documents):
+    draw = random.Random(12)
+    names, plain = ["Anna", "Ben", "Cleo", "Dan", "Eve"], ["box", "red", "gives", "to", "the", "km", "7", "31", "of"]
+
+    def text(n, share):
+        return [draw.choice(names) if draw.random() < share else draw.choice(plain) for _ in range(n)]
+
+    items = [(k, " ".join(text(draw.choice([3, 8, 14, 45]), draw.choice([0, 0.3, 1])))) for k in range(12)]
+    texts = []
+    for _, item in items:
+        for _ in range(4):
+            own, swap = item.split(), dict(zip(names, draw.sample(names, 5), strict=True))
+            if draw.random() < 0.6:
+                own = [swap.get(w, w) for w in own]
+            if draw.random() < 0.5:
+                own[draw.randrange(len(own))] = draw.choice(names + plain)
+            if draw.random() < 0.3:
+                own = own[:draw.randint(1, len(own))]
+            texts.append(" ".join(text(draw.choice([0, 6]), 0.4) + own + text(draw.choice([0, 6]), 0.4)))
+    texts += [texts[0].upper(), "", None]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id, r.n_windows, r.n_found) for r in leaked_documents(documents(texts), bench).collect()}
+    assert found == brute_leaks(texts, items)
+
+
+def test_lists_of_other_names_hold_nothing(spark, documents):
+    def listed(start, n):
+        return " ".join("N" + "abcdefghij"[k % 10] + "abcdefghij"[k // 10 % 10] + "abcdefghij"[k // 100 % 10] + "x" * (k // 1000)
+                        for k in range(start, start + n))
+
+    bench = spark.createDataFrame([(k, listed(40 * k, 40)) for k in range(20)], "item_id long, text string")
+    texts = [listed(2000 + 400 * k, 400) for k in range(200)] + [listed(1990, 20) + " " + listed(80, 40)]
+    assert {(r.doc_id, r.item_id) for r in leaked_documents(documents(texts), bench).collect()} == {(200, 2)}
+
+
 def brute_bytes(rows):
     data = sorted((i, (t or "").encode()) for i, t in rows)
     first, out = {}, {}
