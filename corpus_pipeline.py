@@ -22,16 +22,22 @@ LEAST_SCORE = 0.06
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; those without a letter or unlike every language go."""
     prototypes = langid.language_prototypes(langid.trained_on(docs))
-    found = langid.identify(docs.withColumn("_text", F.col("text")), prototypes, "_text")
+    # The row rides along as one column, so no name of its own clashes with the found ones.
+    found = langid.identify(docs.select(F.struct("*").alias("row"), "text"), prototypes)
     sure = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    return found.filter(sure).select(*docs.columns)
+    return found.filter(sure).select("row.*")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group that five-word shingles link at 0.8 or more; repeated rows once."""
     groups = jaccard_groups(docs, size=5, percent=80)
     gone = cut_lineage(groups.filter("doc_id != component_id").select("doc_id").distinct())
-    return join_small(docs, gone, ["doc_id"], "left_anti", 16).dropDuplicates()
+    kept = join_small(docs, gone, ["doc_id"], "left_anti", 16)
+    # Only rows that share a doc_id can be repeated rows; the others need no look at their texts.
+    shared = cut_lineage(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"))
+    return join_small(kept, shared, ["doc_id"], "left_anti", 16).unionByName(
+        join_small(kept, shared, ["doc_id"], "left_semi", 16).dropDuplicates()
+    )
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
