@@ -2,9 +2,14 @@
 
 Markup is stripped so that every block of text is one line and everything that is not running text
 (menus, headers outside the article, footers, sidebars, notices, adverts, forms, comments) leaves
-an empty line. Pages that mark an article keep the lines inside it. On others text lengths are summed over windows of WINDOW
-lines of text; the main stretch goes from the first window whose sum surges to a share of the largest, to the last before the sums dive
-below it. All its lines are kept, however short.
+an empty line. Where articles are marked, those with a share of the largest one's text are kept, so a teaser beside them goes. On other
+pages text lengths are summed over windows of WINDOW lines of text; the main stretch goes from the first window whose sum surges to a
+share of the largest, to the last before the sums dive below it. All its lines are kept, however short, but for lines of links and a
+copyright line at either end.
+
+An element is no running text by its name, or by its class, id or role: by a whole word of it, or the first or last part of a hyphened
+one. By class and the like nothing is dropped that holds an article or most of the page's text, and inside an article
+a first part alone (related-work) counts only where links make up most of the element.
 """
 
 from __future__ import annotations
@@ -21,8 +26,10 @@ from pyspark.sql import functions as F
 from assayspark.llm.common import fresh_name
 
 WINDOW = 5
-#: A window is dense from one part in so many of the largest sum.
+#: A window is dense, and an article kept, from one part in so many of the largest one's text.
 DENSE = 8
+#: A line of links has this share of its text in links.
+LINKS = 0.8
 # Element names of HTML.
 DROPPED = frozenset("""script style noscript template head title svg math canvas iframe object select option textarea
     button nav aside footer form menu dialog audio video""".split())
@@ -45,22 +52,64 @@ ENDED_BY = {
 }
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+_MAIN_TAG = re.compile(r"<(?:article|main)\b", re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
-_WORD = re.compile(r"[a-z]+")
+_PARTS = re.compile(r"[-_]+")
+_COPYRIGHT = re.compile(r"\s*(?:©|\(c\)\s|copyright\b)", re.I)
+#: First parts of class names that tell about the element, not what it is.
+MODIFIERS = frozenset("has no with without is not hide show".split())
+SURE, BY_NAME, BY_FIRST_PART = "sure", "name", "first part"
 
 
-def _is_noise(name: str, attributes: str, depth_main: int) -> bool:
+def _noise(name: str, attributes: str, depth_main: int) -> str:
+    """Why the element is no running text: its name or that it is hidden (SURE), or its class, id or role; empty if it may be."""
     if name in DROPPED or name == "header" and not depth_main:
-        return True
+        return SURE
+    if _hidden(attributes) and name not in ("html", "body"):
+        return SURE
     if not attributes or name in ("html", "body") or name in MAIN and not depth_main:
-        return _hidden(attributes) and name not in ("html", "body")
+        return ""
+    found = ""
     for key, *values in _ATTRIBUTE.findall(attributes):
         value = "".join(values).lower()
-        if key.lower() in ("class", "id") and any(w in NOISE_WORDS for w in _WORD.findall(value)):
-            return True
         if key.lower() == "role" and value in NOISE_ROLES:
-            return True
-    return _hidden(attributes)
+            return BY_NAME
+        if key.lower() not in ("class", "id"):
+            continue
+        for word in value.split():
+            parts = _PARTS.split(word)
+            if word in NOISE_WORDS or parts[-1] in NOISE_WORDS and parts[0] not in MODIFIERS:
+                return BY_NAME
+            if parts[0] in NOISE_WORDS:
+                found = BY_FIRST_PART
+    return found
+
+
+def _extent(page: str, at: int, name: str) -> tuple[bool, int, int]:
+    """Of the element whose start tag ends at ``at``: whether it holds an article, its text's length, and that in links."""
+    depth, text, linked, links = 1, 0, 0, 0
+    while depth:
+        found = _TAG.search(page, at)
+        size = len(page[at:found.start() if found else len(page)].strip())
+        text, linked = text + size, linked + size * (links > 0)
+        if not found:
+            break
+        at = found.end()
+        tag, closing = (found[2] or "").lower(), bool(found[1])
+        if tag in MAIN:
+            return True, text, linked
+        if tag == "a":
+            links = max(0, links + (-1 if closing else 1))
+        if tag in RAW and not closing:
+            at = _end_of_raw(page, at, tag)
+        elif tag == name and not found[3].rstrip().endswith("/"):
+            depth += -1 if closing else 1
+    return False, text, linked
+
+
+def _end_of_raw(page: str, at: int, name: str) -> int:
+    ended = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+    return ended.end() if ended else len(page)
 
 
 def _hidden(attributes: str) -> bool:
@@ -86,30 +135,54 @@ def _ends(dropping: str, nested: list[str], closing: bool, name: str) -> bool:
     return False
 
 
-def text_lines(page: str) -> tuple[list[str], list[int]]:
-    """Blocks of text with empty lines where something was dropped, and for each the number of article elements around it."""
+def text_lines(page: str) -> tuple[list[str], list[int], list[float]]:
+    """Blocks of text with empty lines where something was dropped, and for each the number of its outermost article on the
+    page, 0 outside, and its share of text in links.
+    """
     lines: list[str] = []
     inside: list[int] = []
+    shares: list[float] = []
     held: list[str] = []
-    open_main = dropped = 0
+    linked = links = 0
+    whole = -1
+    open_main = dropped = article = 0
     dropping = ""
     nested: list[str] = []
     at, n = 0, len(page)
 
     def end_line(gap: bool = False) -> None:
+        nonlocal linked
+        size = sum(len(piece.strip()) for piece in held)
         text = " ".join(html.unescape("".join(held)).split())
         held.clear()
         if text:
             lines.append(text)
-            inside.append(open_main)
+            inside.append(article if open_main else 0)
+            shares.append(linked / max(size, 1))
+        linked = 0
         if gap and lines and lines[-1]:
             lines.append("")
-            inside.append(open_main)
+            inside.append(article if open_main else 0)
+            shares.append(0.0)
+
+    def is_noise(name: str, attributes: str, at: int) -> bool:
+        nonlocal whole
+        why = _noise(name, attributes, open_main)
+        if why in ("", SURE) or name in VOID or name in ENDED_BY:
+            return bool(why)
+        holds, text, in_links = _extent(page, at, name)
+        if why == BY_FIRST_PART and open_main and 2 * in_links < text:
+            return False
+        if whole < 0:
+            whole = _extent(page, 0, "")[1] if not _MAIN_TAG.search(page) else 0
+        return not (holds or whole and 2 * text > whole)
 
     while at < n:
         found = _TAG.search(page, at)
         if not dropped:
-            held.append(page[at:found.start() if found else n])
+            piece = page[at:found.start() if found else n]
+            held.append(piece)
+            linked += len(piece.strip()) * (links > 0)
         if not found:
             break
         at = found.end()
@@ -127,36 +200,47 @@ def text_lines(page: str) -> tuple[list[str], list[int]]:
             if not dropped:
                 end_line(gap=True)
             continue
-        if not closing and _is_noise(name, found[3], open_main):
+        if not closing and is_noise(name, found[3], at):
             end_line(gap=True)
             if name in RAW:
-                ended = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = ended.end() if ended else n
+                at = _end_of_raw(page, at, name)
             elif name not in VOID and not found[3].rstrip().endswith("/"):
                 dropped, dropping = 1, name
                 nested.clear()
             continue
         if name in MAIN:
             end_line(gap=True)
+            article += not closing and not open_main
             open_main = max(0, open_main + (-1 if closing else 1))
         elif name not in INLINE:
             end_line()
+        elif name == "a":
+            links = max(0, links + (-1 if closing else 1))
     end_line()
-    return lines, inside
+    return lines, inside, shares
 
 
 def main_text(page: str | None) -> str:
     """Blocks of the main text, joined by one space; empty if there is none."""
-    lines, inside = text_lines(page or "")
-    if not lines:
+    lines, inside, shares = text_lines(page or "")
+    if not any(lines):
         return ""
-    if any(inside):
-        return " ".join(line for line, within in zip(lines, inside, strict=True) if line and within)
+    if any(line and within for line, within in zip(lines, inside, strict=True)):
+        sizes = np.bincount(inside, [len(line) for line in lines])
+        sizes[0] = 0
+        kept = sizes * DENSE >= sizes.max()
+        return " ".join(line for line, within in zip(lines, inside, strict=True) if line and within and kept[within])
+    shares = [share for line, share in zip(lines, shares, strict=True) if line]
     lines = [line for line in lines if line]
     width = min(WINDOW, len(lines))
     sums = np.convolve([len(line) for line in lines], np.ones(width, dtype=np.int64), "valid")
     dense = np.flatnonzero(sums * DENSE >= sums.max())
-    return " ".join(lines[dense[0]:dense[-1] + width])
+    first, last = int(dense[0]), int(dense[-1]) + width - 1
+    while first < last and shares[first] >= LINKS:
+        first += 1
+    while first < last and (shares[last] >= LINKS or _COPYRIGHT.match(lines[last])):
+        last -= 1
+    return " ".join(lines[first:last + 1])
 
 
 def extract_main_text(pages: DataFrame, page: str = "html") -> DataFrame:
