@@ -816,9 +816,9 @@ oracle("correlation_frame", "ccorr", f"SELECT p_brand, combination, {r('correlat
 
 # Classifiers
 
-def logistic_views(source: str, prefix: str, steps: int = 12) -> None:
-    """Newton steps from a zero line, one view each, over ``source (analyte, x, y)``; x is centred."""
-    p = prefix
+def logistic_views(source: str, prefix: str, steps: int = 12, scored: str | None = None) -> None:
+    """Newton steps from a zero line, one view each, over ``source (analyte, x, y)``; x is centred. ``scored`` has the rows to score."""
+    p, target = prefix, scored or source
     view(f"{p}d", source, f"SELECT analyte, x - avg(x) OVER (PARTITION BY analyte) AS x, avg(x) OVER (PARTITION BY analyte) AS mx, y::DOUBLE AS y FROM {source}")
     view(f"{p}0", f"{p}d", f"SELECT analyte, any_value(mx) AS mx, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1 FROM {p}d GROUP BY analyte")
     for i in range(1, steps + 1):
@@ -829,15 +829,15 @@ def logistic_views(source: str, prefix: str, steps: int = 12) -> None:
                   FROM (SELECT d.analyte, d.x, d.y, l.mx, b0, b1, 1 / (1 + exp(-(b0 + b1 * d.x))) AS mu
                         FROM {p}d d JOIN {p}{i - 1} l ON l.analyte = d.analyte) GROUP BY analyte, mx, b0, b1)""")
     view(f"{p}fit", f"{p}{steps}", f"SELECT analyte, b0 - b1 * mx AS b0, b1, mx - b0 / b1 AS cutoff FROM {p}{steps}")
-    view(f"{p}scored", f"{p}fit", f"""
-        SELECT s.*, 1 / (1 + exp(-(b0 + b1 * x))) AS probability, (b0 + b1 * x > 0)::INT AS predicted FROM {source} s JOIN {p}fit USING (analyte)""")
+    view(f"{p}scored", f"{p}fit {target}", f"""
+        SELECT s.*, 1 / (1 + exp(-(b0 + b1 * x))) AS probability, (b0 + b1 * x > 0)::INT AS predicted FROM {target} s JOIN {p}fit USING (analyte)""")
     view(f"{p}conf", f"{p}scored", f"""
         SELECT *, round((tp + tn) / (tp + tn + fp + fn)::DOUBLE, 2) AS accuracy, round(tp / nullif(tp + fn, 0)::DOUBLE, 2) AS sensitivity,
                round(tn / nullif(tn + fp, 0)::DOUBLE, 2) AS specificity
         FROM (SELECT analyte, count(*) FILTER (predicted = 1 AND y = 1) AS tp, count(*) FILTER (predicted = 0 AND y = 0) AS tn,
                      count(*) FILTER (predicted = 1 AND y = 0) AS fp, count(*) FILTER (predicted = 0 AND y = 1) AS fn
               FROM {p}scored GROUP BY analyte)""")
-    view(f"{p}auc", f"{p}fit", auc_of(f"(SELECT s.analyte, CASE WHEN b1 < 0 THEN -x ELSE x END AS x, y FROM {source} s JOIN {p}fit USING (analyte))"))
+    view(f"{p}auc", f"{p}fit {target}", auc_of(f"(SELECT s.analyte, CASE WHEN b1 < 0 THEN -x ELSE x END AS x, y FROM {target} s JOIN {p}fit USING (analyte))"))
     view(f"{p}sep", source, f"""
         SELECT analyte, n, coalesce(h0 <= l1 OR h1 <= l0, TRUE) AS separated FROM (
             SELECT analyte, count(*) AS n, max(x) FILTER (y = 0) AS h0, min(x) FILTER (y = 0) AS l0, max(x) FILTER (y = 1) AS h1,
@@ -862,6 +862,12 @@ view("marks", "items", """
 logistic_views("docs", "dl")
 logistic_views("families", "fl")
 logistic_views("marks", "ml")
+view("drawn", "docs", """
+    SELECT *, row_number() OVER (PARTITION BY analyte ORDER BY md5('1354|' || doc_id)) <= round(0.3::DOUBLE * count(*) OVER (PARTITION BY analyte)) AS is_train
+    FROM docs""")
+view("trains", "drawn", "SELECT analyte, x, y FROM drawn WHERE is_train")
+view("tests", "drawn", "SELECT analyte, x, y FROM drawn WHERE NOT is_train")
+logistic_views("trains", "tl", scored="tests")
 TABLE = f"{r('accuracy', 'sensitivity', 'specificity')}, {r('cutoff', digits=4)}, {r('auc', digits=2)}, TRUE AS converged, separated"
 oracle("logistic_fit", "dlfit dlsep", f"""
     SELECT analyte AS lang, n, {r("b0 AS intercept", "b1 AS slope", "cutoff")}, TRUE AS converged, separated FROM dlfit JOIN dlsep USING (analyte)""")
@@ -878,6 +884,7 @@ oracle("roc_curve", "marks", f"""
 view("mauc", "marks", auc_of("marks"))
 oracle("auc", "mauc", f"SELECT analyte AS peptide, {r('auc')} FROM mauc")
 oracle("classifier_table", "dltable", f"SELECT analyte AS lang, n, {TABLE} FROM dltable")
+oracle("classifier_on_train", "tltable", f"SELECT analyte AS lang, n, {TABLE} FROM tltable")
 oracle("marker_subset", "fltable", f"SELECT analyte AS lang, n, {TABLE} FROM fltable")
 oracle("merge_performance", "bio2 mltable", f"""
     SELECT peptide, {r("mean_fc", "accuracy", "sensitivity", "specificity")}, {r("auc", digits=2)} FROM bio2 JOIN mltable ON analyte = peptide""")

@@ -761,7 +761,7 @@ def classifier_table(spark, sf):
 def classifier_on_train(spark, sf):
     return plain(L.classifier_table(
         V.labelled_documents(spark, sf), LANGUAGE, "x", "y", fit_on="train", row_key=["doc_id"]
-    ))
+    ), cutoff=4)
 
 
 @query
