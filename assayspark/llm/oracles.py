@@ -9,7 +9,7 @@ _WHOLE = """kept AS MATERIALIZED (
     SELECT vec_id, label, [floor({factor} * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
     WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0{more}
 )"""
-_CRLF_WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+_PLAIN_WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -93,7 +93,7 @@ def _license_scan() -> str:
             for k, w in enumerate(found)
         ]
     return f"""WITH passages(number, label, based, size, need, keys, place, word, is_key) AS (VALUES {", ".join(rows)}),
-split AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_LOWER}, '{_CRLF_WORD}') AS w FROM documents),
+split AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_LOWER}, '{_PLAIN_WORD}') AS w FROM documents),
 words AS (SELECT doc_id, len(w) AS n_words, unnest(range(len(w))) AS at, unnest(w) AS word FROM split),
 found AS (
     SELECT doc_id, label, based, w.at - p.place AS first, count(*) / size AS share
@@ -114,7 +114,76 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
 FROM split LEFT JOIN summed USING (doc_id)"""
 
 
+#: Nodes of ``edges (a, b)``, which has both directions, with the smallest node they reach.
+_REACH = """reach(node, other) AS (
+    SELECT DISTINCT a, a FROM edges UNION SELECT r.node, e.b FROM reach r JOIN edges e ON e.a = r.other
+), component AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)"""
+
+
+def _near_vectors() -> str:
+    return f"""WITH RECURSIVE usable AS MATERIALIZED (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        AND len([x FOR x IN embedding IF x <> 0]) > 0
+), edges AS MATERIALIZED (
+    SELECT l.vec_id AS a, r.vec_id AS b FROM usable l JOIN usable r ON l.label = r.label AND l.vec_id <> r.vec_id AND len(l.v) = len(r.v)
+    WHERE list_cosine_similarity(l.v, r.v) >= 0.98
+), {_REACH}
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id,
+    coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN component ON node = vec_id LEFT JOIN (SELECT a, count(*) AS n FROM edges GROUP BY a) ON a = vec_id"""
+
+
+def _jaccard_join(size: int = 3, percent: int = 90) -> str:
+    word = "[^\\x20\\x09-\\x0D]+"
+    return f"""WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{word}') AS w FROM documents),
+sets AS MATERIALIZED (
+    SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {size} THEN [array_to_string(w, ' ')]
+        ELSE [array_to_string(w[i:i + {size - 1}], ' ') FOR i IN range(1, len(w) - {size - 2})] END) AS s FROM split
+), cells AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+edges AS MATERIALIZED (
+    SELECT l.doc_id AS a, r.doc_id AS b FROM cells l JOIN cells r ON l.shingle = r.shingle AND l.doc_id <> r.doc_id
+        AND 100 * l.n >= {percent} * r.n AND 100 * r.n >= {percent} * l.n
+    GROUP BY l.doc_id, r.doc_id, l.n, r.n HAVING 100 * count(*) >= {percent} * (l.n + r.n - count(*))
+), {_REACH}
+SELECT doc_id, len(s)::BIGINT AS n_shingles, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, doc_id) AS component_id
+FROM sets LEFT JOIN component ON node = doc_id LEFT JOIN (SELECT a, count(*) AS n FROM edges GROUP BY a) ON a = doc_id"""
+
+
+def _suffix_dedup(length: int = 50, chunk: int = 2000) -> str:
+    return f"""WITH hexed AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+chunks AS (
+    SELECT doc_id, c * {chunk} AS base, substr(h, 2 * c * {chunk} + 1, 2 * ({chunk} + {length - 1})) AS h
+    FROM (SELECT doc_id, h, unnest(range(0, len(h) // {2 * chunk} + 1)) AS c FROM hexed)
+), windows AS MATERIALIZED (
+    SELECT doc_id, base + i AS start, substr(h, 2 * i + 1, {2 * length}) AS w
+    FROM (SELECT doc_id, base, h, unnest(range(0, len(h) // 2 - {length - 1})) AS i FROM chunks)
+), first AS (SELECT w, min(doc_id) AS least FROM windows GROUP BY w),
+gone AS (SELECT doc_id, start FROM windows JOIN first USING (w) WHERE doc_id > least),
+runs AS (
+    SELECT doc_id, min(start) AS low, max(start) + {length} AS high FROM (
+        SELECT doc_id, start, sum(fresh) OVER (PARTITION BY doc_id ORDER BY start) AS run FROM (
+            SELECT doc_id, start,
+                (coalesce(start > lag(start) OVER (PARTITION BY doc_id ORDER BY start) + {length}, TRUE))::INT AS fresh
+            FROM gone))
+    GROUP BY doc_id, run
+), pieces AS (
+    SELECT doc_id, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS a, low AS b FROM runs
+    UNION ALL SELECT doc_id, max(high), NULL FROM runs GROUP BY doc_id
+), kept AS (
+    SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, len(h) // 2) - a)), '' ORDER BY a) AS k
+    FROM pieces JOIN hexed USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+    sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM hexed LEFT JOIN kept USING (doc_id)
+LEFT JOIN (SELECT doc_id, sum(high - low) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id) USING (doc_id)"""
+
+
 ORACLES: dict[str, str] = {
+    "op2_near_vectors": _near_vectors(),
+    "op3_jaccard_join": _jaccard_join(),
+    "op7_suffix_dedup": _suffix_dedup(),
     "op11_vector_codes": _vector_codes(),
     "op12_license_scan": _license_scan(),
     "op13_centroid_clusters": _centroid_clusters(),

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from __spark_entry__ import queries
+from assayspark.llm.common import cut_lineage
 
-from test_corpus import brute_jaccard, lowest
+from test_corpus import brute_jaccard, lowest, prose
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,7 +39,26 @@ def test_stages(spark):
     assert sorted(r.start for r in last)[0] == 0
 
 
+@pytest.mark.parametrize("rows", [0, 40])
+def test_stages_of_odd_tables(spark, documents, rows):
+    """Empty tables, null ids, texts and sources, repeated rows, very long texts, extra columns that clash."""
+    texts = [prose(k, 30) for k in range(rows)]
+    if rows:
+        texts[1:7] = [None, "", " \n", texts[0], prose(77, 20000), "7 7 7"]
+    docs = documents(texts, [None if k % 9 == 8 else k for k in range(rows)], [None if k % 4 else "s" for k in range(rows)])
+    docs = docs.withColumnsRenamed({"n": "_found", "node": "lang_pred"}).withColumn("row", F.lit(1))
+    docs = docs.unionByName(docs.filter("doc_id = 0 or doc_id is null"))
+    now = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = cut_lineage(stage(spark, now, SF))
+        assert now.columns == docs.columns, name
+        assert (now.count() > 0) == (rows > 0), name
+    kept = [r.text for r in now.collect()]
+    assert len({t for t in kept}) <= len({t for t in texts})
+    assert corpus_pipeline.token_files(spark, now, SF).count() == len(kept)
+
+
 def test_registered_queries(spark):
     found = queries()
     names = {m[0] for n in found if (m := re.match(r"op\d+", n))}
-    assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in found
+    assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in found
