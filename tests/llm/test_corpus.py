@@ -198,17 +198,37 @@ def test_lists_are_read_from_the_least_set():
     assert jaccard._positions(entries, np.array([1]), 0, 5).tolist() == [3, 4, 5]
 
 
-def test_portions_meet_once(documents, monkeypatch):
-    monkeypatch.setattr(jaccard, "PORTION", 50)
-    texts = [prose(1, 40) + f" end{k}" for k in range(20)]
-    row = next(iter(jaccard.shingle_sets([texts[0]], 3)))
-    k1, k2 = jaccard._identity(row)
-    import pandas as pd
-
-    frame = pd.DataFrame([(texts[0], len(row), k1, k2, 1, 200, 5, 1)],
-                         columns=["text", "n", "k1", "k2", "component", "tokens", "node", "copies"])
-    out = pd.concat(jaccard._portioned(3)(iter([frame])))
-    assert len(out) == 4 and (out["side"] == 2).sum() == 1 and len(out.drop_duplicates(["low", "high"])) == 4
+def test_portions_meet_once():
+    from types import SimpleNamespace
+
+    def row(band, own, up, down, k2):
+        return SimpleNamespace(band=band, own=own, up=up, down=down, k2=k2)
+
+    # Two bands of three and two portions: every two portions of one band, and of both, have one meeting; sides tell them apart.
+    rows = [row(4, 3, 2, 0, k) for k in range(40)] + [row(5, 2, 0, 3, 1000 + k) for k in range(40)]
+    places = [[m[:4] for m in jaccard._meetings(r)] for r in rows]
+    for k, a in enumerate(places):
+        assert len(set(a)) == len(a) == (5 if rows[k].band == 4 else 5)
+        for b in places[:k]:
+            assert len(set(a) & set(b)) >= 1
+    for r in rows:
+        for band, following, low, high, side in jaccard._meetings(r):
+            assert side == (int(band != r.band) if following else 2 if low == high else side) and side in (0, 1, 2)
+
+
+@pytest.mark.parametrize("portion", [150, 2000])
+def test_groups_in_bands_and_portions(documents, monkeypatch, portion):
+    monkeypatch.setattr(jaccard, "PORTION", portion)
+    draw, base, texts = random.Random(8), prose(77, 60).split(), []
+    for _ in range(60):
+        own = base[:draw.randint(40, 60)]
+        own[draw.randrange(len(own))] = "x" + str(draw.randint(0, 9))
+        texts.append(" ".join(own))
+    rows = list(enumerate(texts))
+    sets, links = brute_jaccard(rows, 2, 80)
+    groups, count = lowest(sets, links), Counter(i for link in links for i in link)
+    for r in jaccard_groups(documents(texts), 2, 80).collect():
+        assert (r.n_links, r.component_id) == (count[r.doc_id], groups[r.doc_id])
 
 
 def test_simple8b_round_trip():
@@ -491,6 +511,30 @@ def test_dropped_elements_without_end_tag():
         assert main_text(f"<body>{body}</body>") == main_text(f"<article>{body}</article>") == "One Two"
 
 
+WORDS = " ".join(f"word{k}" for k in range(60))
+
+
+@pytest.mark.parametrize(("page", "wanted"), [
+    (f'<div class="layout no-comments"><article><p>{WORDS}</p></article></div>', WORDS),
+    (f'<div class="content has-sidebar"><p>{WORDS}</p></div>', WORDS),
+    (f'<div class="post social-share"><p>{WORDS}</p></div>', WORDS),
+    (f'<div id="sidebar"><main><p>{WORDS}</p></main></div><div class="sidebar">x y z</div>', WORDS),
+    (f'<article><p>{WORDS}</p><section id="related-work"><p>Others did this.</p></section></article>', WORDS + " Others did this."),
+    (f'<article><p>{WORDS}</p><div class="related-posts"><a href="/a">One</a> <a href="/b">Two</a></div></article>', WORDS),
+    (f'<article><p>{WORDS}</p><div class="post-comments"><p>Nice.</p></div></article>', WORDS),
+    (f'<article><p>{WORDS}</p></article><article><h2>Read next</h2><p>Short one.</p></article>', WORDS),
+    (f'<article><p>{WORDS}</p></article><article><p>{WORDS} more</p></article>', f"{WORDS} {WORDS} more"),
+    (f'<ul><li><a href="/">Home</a></li><li><a href="/n">News</a></li></ul><h1>Title</h1><p>{WORDS}</p><p>End.</p><p>© 2024 Us</p>',
+     f"Title {WORDS} End."),
+    (f'<body class="nav"><p>{WORDS}</p><div class="site-footer">imprint</div></body>', WORDS),
+    (f'<div class="nav"><div class="menu"><div class="ad"><p>{WORDS}', WORDS),
+    ('<div class="ad">only an advert</div>', "only an advert"),
+    (f'<article><p>{"very long " * 30000}</p></article>', ("very long " * 30000).strip()),
+])
+def test_main_text_within_wrappers(page, wanted):
+    assert main_text(page) == wanted
+
+
 def test_main_text_of_the_given_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     for r in pages.collect():
@@ -498,6 +542,47 @@ def test_main_text_of_the_given_pages(spark):
         assert main_text(r.html) == " ".join(" ".join(html.unescape(x) for x in re.split(r"<[^>]*>", article)).split())
 
 
+def brute_profile(text):
+    plain = re.sub(r"[\W\d_]+", " ", text or "").strip().lower()
+    if not plain:
+        return None
+    total = np.zeros(langid.DIMENSIONS)
+    for a, b, c in zip(f" {plain} ", f" {plain} "[1:], f" {plain} "[2:], strict=False):
+        total += np.roll(langid.letter_vector(a), 2) * np.roll(langid.letter_vector(b), 1) * langid.letter_vector(c)
+    return total
+
+
+def test_language_id_against_plain_profiles(documents):
+    draw = random.Random(2)
+
+    def text(letters, n):
+        return " ".join("".join(draw.choices(letters, k=draw.randint(1, 6))) for _ in range(n))
+
+    labelled = [(text("abcde", 20), "x"), (text("efgh", 15), "y"), (text("ABcdé", 9), "x"), ("zz zz", "n"), ("zz zz", "m"), (None, "y"),
+                ("", "x"), ("12 34", "q"), (text("efgh", 5), None)]
+    texts = [text("abcde", 8), text("efgh", 8), "zz", None, " \t", "1_2", "a", "É", text("abcdefgh", 60000), "日本語 text", labelled[0][0]]
+    sums = {}
+    for own, lang in labelled:
+        vector = brute_profile(own)
+        if lang is not None and vector is not None:
+            sums[lang] = sums.get(lang, 0) + np.rint(vector * (100 / np.linalg.norm(vector)))
+    train = documents([t for t, _ in labelled], langs=[lang for _, lang in labelled])
+    prototypes = langid.language_prototypes(train)
+    assert sorted(prototypes) == sorted(sums) == ["m", "n", "x", "y"]
+    assert all((prototypes[k] == sums[k]).all() for k in sums)
+    for r in langid.identify(documents(texts), prototypes).collect():
+        vector = brute_profile(texts[r.doc_id])
+        if vector is None:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        cosines = {k: vector @ v / np.linalg.norm(v) / np.linalg.norm(vector) for k, v in sums.items()}
+        best = max(sorted(cosines), key=cosines.get)
+        assert r.score == pytest.approx(max(0.0, cosines[best]), abs=1e-9)
+        # Two languages of the same text are a tie, which the first by code point wins.
+        assert r.lang_pred == ("m" if best in "mn" else best)
+    assert {r.lang_pred for r in langid.identify(documents(texts), {}).collect()} == {"und"}
+
+
 def test_language_id(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     prototypes = langid.language_prototypes(langid.trained_on(docs))
