@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assayspark.functions.aggregates import cv, first_row, mean
 from assayspark.functions.expressions import joined_label, log10_positive, mass_concentration, ratio_or_area, transition_label
+from assayspark.operators.filters import in_linear_range
 from assayspark.operators.joins import lookup_first
 from assayspark.operators.replicates import ISOTOPES, TRANSITION
 from assayspark.operators.reshape import pivot_multi
@@ -90,7 +91,7 @@ def linear_range(points: DataFrame, amounts: DataFrame) -> DataFrame:
 
 def limit_of_quantification(ranged: DataFrame, info: DataFrame) -> DataFrame:
     """Lowest in-range curve point and concentration per peptide."""
-    lowest = ranged.filter(F.col("cthr")).groupBy("peptide").agg(
+    lowest = in_linear_range(ranged).groupBy("peptide").agg(
         F.min("curvepoint").alias("loq_point"),
         F.when(F.count("theor_h_ug_ml") == F.count(F.lit(1)), F.min("theor_h_ug_ml")).alias("loq_ug_ml"),
     )

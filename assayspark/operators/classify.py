@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from assayspark.functions.expressions import logistic, logit_cutoff
 from assayspark.operators.reshape import train_test_split
 from assayspark.operators.scale import (
-    BROADCAST_ROWS, attach, average_ranks, cut_lineage, in_slices, join_summary, null_safe_join, running,
+    attach, average_ranks, cut_lineage, fits_broadcast, in_slices, join_summary, null_safe_join, running,
 )
 
 ETA_LIMIT = 30.0
@@ -75,7 +75,7 @@ def _fit(inputs: DataFrame, analyte: list[str], threshold: float, max_iter: int
         *analyte, F.try_divide(F.col("x") - F.col("_centre"), F.col("_scale")).alias("x"), "y", "w"
     )
     rows = cut_lineage(spread.filter(F.col("x").isNotNull()))
-    few = params.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    few = fits_broadcast(params)
     for _ in range(max_iter):
         open_params = params.filter(~F.col("_done"))
         if open_params.isEmpty():
@@ -166,9 +166,9 @@ def _labelled(df: DataFrame, analyte: list[str], score_col: str, label: str, wei
 
 def roc_curve(df: DataFrame, analyte: list[str], score_col: str, label: str) -> DataFrame:
     """False and true positive rate and accuracy at every distinct score, from (0, 0) at infinity."""
-    tallied = _labelled(df, analyte, score_col, label).groupBy(*analyte, "cutoff").agg(
+    tallied = cut_lineage(_labelled(df, analyte, score_col, label).groupBy(*analyte, "cutoff").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
-    )
+    ))
     walked = running(
         in_slices(tallied, analyte, ["cutoff"]), analyte, ["cutoff"], sums={"tp": "pos", "fp": "neg"},
         totals={"_p": "pos", "_n": "neg"}, from_top=True,

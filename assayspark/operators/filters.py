@@ -30,6 +30,7 @@ def complete_subjects(df: DataFrame, subject: str, analyte: list[str], study: Da
 
 
 def in_linear_range(points: DataFrame) -> DataFrame:
+    """Curve points that are precise and above the limit; an unknown verdict goes."""
     return points.filter(F.col("cthr"))
 
 

@@ -13,8 +13,12 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
+#: What a field takes besides the bytes of its text.
+FIELD_BYTES = 16
 #: Rows of one key that a task may get; a key with more is cut into as many pieces as that takes.
 ROWS_PER_PIECE = 1_000_000
 SLICE = "_slice"
@@ -61,6 +65,26 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str =
     return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in on])
 
 
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a written table, by the lengths of its texts and nested values; each field counts FIELD_BYTES more."""
+    width = F.lit(0)
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            width = width + F.coalesce(F.octet_length(column), F.lit(0))
+        elif isinstance(field.dataType, (ArrayType, MapType, StructType)):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+        width = width + FIELD_BYTES
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("bigint")).alias("bytes")).first()
+    return found["n"], found["bytes"] or 0
+
+
+def fits_broadcast(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a written table is small enough to be sent to every executor, as measured."""
+    n, size = measured(df)
+    return n <= most_rows and size <= BROADCAST_BYTES
+
+
 def attach(
     rows: DataFrame,
     summary: DataFrame,
@@ -71,13 +95,12 @@ def attach(
 ) -> DataFrame:
     """Join at most one summary row per key to the rows, whatever the size of a key.
 
-    The summary is materialised and counted. Up to ``broadcast_rows`` it is broadcast, so the rows
+    The summary is materialised and measured. Up to ``broadcast_rows`` and BROADCAST_BYTES it is broadcast, so the rows
     are not shuffled; beyond, the most frequent keys are salted. ``rows_per_key`` names a summary
     column with the key's row count, which saves counting them; it does not reach the result.
     """
     kept = cut_lineage(summary)
-    small = kept.limit(broadcast_rows + 1).count() <= broadcast_rows
-    return join_summary(rows, kept, on, how, small, rows_per_key)
+    return join_summary(rows, kept, on, how, fits_broadcast(kept, broadcast_rows), rows_per_key)
 
 
 def join_summary(

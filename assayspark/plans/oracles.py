@@ -727,7 +727,7 @@ oracle("wilcoxon_normal", "csrank", f"""
            exact FROM csrank""")
 # Power: the upper alpha/2 t quantile by bisection on the tail, then the noncentral t by Simpson's rule.
 view("tcrit", "ptest", f"""
-    SELECT df, 0 AS step, 0.0::DOUBLE AS lo, 50.0::DOUBLE AS hi FROM (SELECT DISTINCT df FROM ptest)
+    SELECT df, 0 AS step, 0.0::DOUBLE AS lo, 50.0::DOUBLE AS hi FROM (SELECT DISTINCT n - 1 AS df FROM ptest)
     UNION ALL
     SELECT df, step + 1, CASE WHEN {t_sf("(lo + hi) / 2", "df")} > 0.25 THEN (lo + hi) / 2 ELSE lo END,
            CASE WHEN {t_sf("(lo + hi) / 2", "df")} > 0.25 THEN hi ELSE (lo + hi) / 2 END
@@ -735,10 +735,10 @@ view("tcrit", "ptest", f"""
 view("power", "tcrit", f"""
     SELECT peptide, sum(w * exp(ln(2) + df / 2 * ln(df / 2) - lgamma(df / 2) + (df - 1) * ln(s) - df * s * s / 2)
                * ({phi_fast("(shift - crit * s)")} + {phi_fast("(-shift - crit * s)")})) AS power
-    FROM (SELECT peptide, t.df::DOUBLE AS df, abs(cohen_d) * sqrt(n) AS shift, (lo + hi) / 2 AS crit,
-                 1 + (j - 100) / 100.0::DOUBLE * least(8 / sqrt(2 * t.df::DOUBLE), 0.999999) AS s,
-                 (CASE WHEN j IN (0, 200) THEN 1 WHEN j % 2 = 1 THEN 4 ELSE 2 END) / 300.0::DOUBLE * least(8 / sqrt(2 * t.df::DOUBLE), 0.999999) AS w
-          FROM ptest t JOIN tcrit c ON c.df = t.df AND step = 50, range(201) g(j))
+    FROM (SELECT peptide, c.df::DOUBLE AS df, abs(cohen_d) * sqrt(n) AS shift, (lo + hi) / 2 AS crit,
+                 1 + (j - 100) / 100.0::DOUBLE * least(8 / sqrt(2 * c.df::DOUBLE), 0.999999) AS s,
+                 (CASE WHEN j IN (0, 200) THEN 1 WHEN j % 2 = 1 THEN 4 ELSE 2 END) / 300.0::DOUBLE * least(8 / sqrt(2 * c.df::DOUBLE), 0.999999) AS w
+          FROM ptest t JOIN tcrit c ON c.df = t.n - 1 AND step = 50, range(201) g(j))
     GROUP BY peptide""")
 view("bio0", "psum ptest utest", """
     SELECT s.*, t.t, t.p AS p_t, t.cohen_d, u.v, u.p AS p_u FROM psum s JOIN ptest t USING (peptide) JOIN utest u USING (peptide)""")

@@ -226,3 +226,39 @@ def test_equal_rows_of_a_hot_key_are_split(spark, monkeypatch):
     df = spark.range(3000).select(F.lit("hot").alias("key"), F.lit(1).alias("v"))
     joined = scale.attach(df, df.groupBy("key").agg(F.count(F.lit(1)).alias("n")), ["key"], broadcast_rows=0)
     assert joined.count() == 3000 and joined.filter("n = 3000").count() == 3000
+
+
+def test_lookups_run_no_job_while_built(spark):
+    from assayspark.operators import joins, replicates
+
+    rows = spark.range(10).select(F.col("id").alias("run"), F.lit("s").alias("set"), F.col("id").cast("double").alias("v"))
+    spark.sparkContext.setJobGroup("lookups", "lookups while they are built")
+    try:
+        joined = joins.enrich_left(rows, rows.select("run", F.lit(1).alias("n")), "run")
+        first = joins.lookup_first(joined, rows.select("run", F.lit(2).alias("m")), "run", ["m"], ["m"])
+        left = joins.drop_botched(first, rows.filter("run < 3"))
+        related = replicates.relative_to_max(left, "v", "share")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lookups")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted((r.run, r.n, r.m, r.share) for r in related.collect()) == [(k, 1, 2, k / 9) for k in range(3, 10)]
+
+
+def test_measured_bytes_decide_about_broadcasts(spark, monkeypatch):
+    wide = scale.cut_lineage(spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("text"), F.array("id").alias("list")))
+    n, size = scale.measured(wide)
+    assert n == 100 and 100_000 < size < 120_000
+    assert scale.measured(wide.limit(0)) == (0, 0)
+    assert scale.fits_broadcast(wide)
+    monkeypatch.setattr(scale, "BROADCAST_BYTES", 50_000)
+    assert not scale.fits_broadcast(wide)
+
+
+def test_released_tables_are_gone(spark):
+    kept = scale.cut_lineage(spark.range(5))
+    path = kept.inputFiles()[0]
+    scale.release(kept)
+    with pytest.raises(Exception, match="(?i)not.*exist|no such"):
+        spark.read.parquet(path).count()
+    with pytest.raises(ValueError, match="no table of this application"):
+        scale.release(spark.read.parquet("/root/testdata/sf0.001/region.parquet"))

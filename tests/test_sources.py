@@ -42,6 +42,19 @@ def files(tmp_path):
             "peptide_concentration": f"{tmp_path}/amounts.csv"}
 
 
+def test_report_keeps_other_columns(spark, files):
+    with open(files["report"]) as file:
+        lines = file.read().splitlines()
+    path = files["report"].replace("/report.csv", "/wider.csv")
+    with open(path, "w") as file:
+        file.write("\n".join([lines[0] + ",Operator Name,area"] + [f"{x},Kim {k},none" for k, x in enumerate(lines[1:])]) + "\n")
+    report = reports.read_report(spark, path)
+    plain = reports.read_report(spark, files["report"])
+    assert report.columns == [*plain.columns, "Operator Name"]
+    assert report.filter("`Operator Name` = 'Kim 3'").count() == 1
+    assert report.filter("area IS NULL").count() == plain.filter("area IS NULL").count()
+
+
 def test_report_types_and_missing_marker(spark, files):
     report = reports.read_report(spark, files["report"])
     assert dict(report.dtypes)["area"] == "double" and dict(report.dtypes)["precursor_charge"] == "int"
