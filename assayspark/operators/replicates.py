@@ -12,6 +12,7 @@ from assayspark.functions.expressions import (
 )
 from assayspark.operators.joins import lookup_first
 from assayspark.operators.reshape import pivot_multi
+from assayspark.operators.scale import cut_lineage
 
 # The columns that identify each level; pasted labels are ambiguous and serve display only.
 SAMPLE = ["subject_id", "condition", "timepoint"]
@@ -137,7 +138,8 @@ def peptide_concentrations(
         "concentration_ug_ml",
         mass_concentration(F.col("concentration_fm_ul"), F.col("molecular_weight")),
     )
-    related = relative_to_max(weighed, "lh_rt_diff", "lh_rt_diff_rel", na_rm_relative)
+    # One row per experiment and peptide: to write these is less than to work them out again for the maximum.
+    related = relative_to_max(cut_lineage(weighed), "lh_rt_diff", "lh_rt_diff_rel", na_rm_relative)
     led = select_first(related, [
         "set", "run", "peptide", "protein", "stage_specificity", "subject_id", "condition", "histology",
         "tese", "texlevel", "rdotp", "concentration_fm_ul", "concentration_ug_ml",
