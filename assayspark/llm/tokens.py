@@ -23,15 +23,18 @@ from assayspark.llm import simple8b
 from assayspark.llm.common import join_small
 
 BLOCK_IDS = 1 << 16
-#: Words whose ids a worker remembers; when full it starts anew. Results don't depend on it.
+#: Words whose ids a worker remembers, about 60 bytes each; when full it starts anew. Results don't depend on it.
 MEMORY = 1_200_000
 #: Unknown words encoded in one call.
 TOGETHER = 256
 #: Documents split into words at a time within a task.
 DOCS_AT_ONCE = 4096
 WORD_END = "</w>"
-#: Latin letters that no normalisation takes apart, then a stop or comma that ends a word.
-SENTENCE_END = r"([A-Za-zÀ-ÖØ-öø-įı-ɏ])([.,])(\s|$)"
+#: Two keys give the two halves of a word's hash.
+HASH_KEYS = ("token words one.", "token words two.")
+#: A Latin letter that no normalisation takes apart, then a run of marks up to the end of a word. The tokenizer cuts between letters and
+#: marks. An apostrophe begins contractions, and "<", ">" and "|" stand in special tokens; words with these stay whole.
+SENTENCE_END = r"([A-Za-zÀ-ÖØ-öø-įı-ɏ])([!\"#$%&()*+,\-./:;=?@\[\\\]^_`{}~]+)(\s|$)"
 BLOCK_SCHEMA = (
     "shard int, block int, first long, n_ids long, n_unnamed long, doc_ids array<long>, doc_lens array<long>, "
     "payload binary"
@@ -44,6 +47,40 @@ DOC_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 _workers: dict[str, WordCoder] = {}
 
 
+class WordStore:
+    """Ids of many words in a few arrays: a word is told by 128 bits of hash, its ids are a stretch of one array."""
+
+    def __init__(self) -> None:
+        self.keys = self.checks = np.zeros(0, np.uint64)
+        self.places = np.zeros(0, np.int64)
+        self.starts, self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place of each word, -1 if it is not there, and the two halves of its hash."""
+        key, check = (pd.util.hash_array(words, hash_key=k, categorize=False) for k in HASH_KEYS)
+        if not len(self.keys):
+            return np.full(len(words), -1), key, check
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        known = (self.keys[at] == key) & (self.checks[at] == check)
+        return np.where(known, self.places[at], -1), key, check
+
+    def add(self, key: np.ndarray, check: np.ndarray, found: list[np.ndarray]) -> np.ndarray:
+        """Places of new words with these ids."""
+        places = np.arange(len(found)) + len(self)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, *found])
+        order = np.argsort(key, kind="stable")
+        at = np.searchsorted(self.keys, key[order])
+        self.keys = np.insert(self.keys, at, key[order])
+        self.checks = np.insert(self.checks, at, check[order])
+        self.places = np.insert(self.places, at, places[order])
+        return places
+
+
 class WordCoder:
     """Ids of texts as little-endian unsigned 32-bit integers, word by word.
 
@@ -60,32 +97,31 @@ class WordCoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith(WORD_END)]] = True
-        self.known: dict[str, bytes] = {"": b""}
-
-    def _learn(self, missing: list[str]) -> None:
-        plain = [w for w in missing if w.isalpha()]
-        self._learn_plain(plain)
-        rest = [w for w in missing if w not in self.known]
-        for word, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
-
-    def _learn_plain(self, words: list[str]) -> None:
-        """Words of letters, encoded many as one text and told apart by their last pieces; else they stay unknown."""
-        groups = [words[at:at + TOGETHER] for at in range(0, len(words), TOGETHER)]
-        joined = self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        self.store = WordStore()
+
+    def _encode(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of each word: words of letters many as one text, told apart by their last pieces, the others one by one."""
+        out: list[np.ndarray | None] = [None] * len(words)
+        plain = [k for k, w in enumerate(words) if w.isalpha()]
+        groups = [plain[at:at + TOGETHER] for at in range(0, len(plain), TOGETHER)]
+        joined = self.tokenizer.encode_batch_fast([" ".join([words[k] for k in g]) for g in groups], add_special_tokens=False)
         for group, coded in zip(groups, joined, strict=True):
             found = np.array(coded.ids, dtype="<u4")
             stops = np.flatnonzero(self.ends[found]) + 1
-            if len(stops) != len(group) or stops[-1] != len(found):
-                continue
-            held, stops = found.tobytes(), (4 * stops).tolist()
-            self.known.update(zip(group, map(held.__getitem__, map(slice, [0, *stops[:-1]], stops)), strict=True))
+            if len(stops) == len(group) and stops[-1] == len(found):
+                for k, a, b in zip(group, [0, *stops[:-1].tolist()], stops.tolist(), strict=True):
+                    out[k] = found[a:b]
+        rest = [k for k, own in enumerate(out) if own is None]
+        alone = self.tokenizer.encode_batch_fast([words[k] for k in rest], add_special_tokens=False)
+        for k, coded in zip(rest, alone, strict=True):
+            out[k] = np.array(coded.ids, dtype="<u4")
+        return out
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of ids of each text.
 
-        Every different word is looked up once. A full stop or comma behind a Latin letter at the end of a word is a word of
-        its own, and ASCII words without "<", which special tokens begin with, are put in lower case, as the tokenizer does both.
+        Every different word is looked up once. Marks behind a Latin letter at the end of a word are a word of
+        their own, and ASCII words without "<", which special tokens begin with, are put in lower case, as the tokenizer does both.
         """
         apart = pc.replace_substring_regex(texts, SENTENCE_END, r"\1 \2\3")
         split = pc.ascii_split_whitespace(apart.cast(pa.large_string()))
@@ -93,19 +129,18 @@ class WordCoder:
         written = coded.dictionary
         folds = pc.and_(pc.string_is_ascii(written), pc.invert(pc.match_substring(written, "<")))
         folded = pc.if_else(folds, pc.ascii_lower(written), written).dictionary_encode()
-        words = folded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        missing = [w for w in words if w not in self.known]
-        if missing and len(self.known) + len(missing) > MEMORY:
-            self.known, missing = {"": b""}, [w for w in words if w]
-        self._learn(missing)
-        pieces = list(map(self.known.__getitem__, words))
-        values = np.frombuffer(b"".join(pieces), dtype="<u4")
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
-        starts = np.cumsum(sizes) - sizes
+        words = folded.dictionary.to_numpy(zero_copy_only=False)
+        place, key, check = self.store.find(words)
+        missing = np.flatnonzero(place < 0)
+        if len(missing) and len(self.store) + len(missing) > MEMORY:
+            self.store, missing = WordStore(), np.arange(len(words))
+        if len(missing):
+            place[missing] = self.store.add(key[missing], check[missing], self._encode(words[missing].tolist()))
+        sizes, starts = self.store.sizes[place], self.store.starts[place]
         at = folded.indices.to_numpy()[coded.indices.to_numpy()]
         lens = sizes[at]
         before = np.r_[0, np.cumsum(lens)]
-        found = values[np.repeat(starts[at] - before[:-1], lens) + np.arange(before[-1])]
+        found = self.store.flat[np.repeat(starts[at] - before[:-1], lens) + np.arange(before[-1])]
         ends = np.r_[0, np.cumsum(pc.list_value_length(split).to_numpy())]
         return found, np.diff(before[ends])
 
