@@ -16,7 +16,7 @@ from assayspark.llm.shingles import mix
 LENGTH = 50
 GRAM = 18
 #: Bytes handled at once; longer texts are taken in overlapping parts.
-PART = 1 << 22
+PART = 1 << 18
 _BASE = 0xA0761D6478BD642F
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _PLACE_BITS = 24

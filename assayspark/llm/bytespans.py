@@ -24,6 +24,8 @@ from assayspark.llm.lyndon import suffix_array
 
 #: Covers in one suffix array.
 BLOCK = 512
+#: Covers cut out before a task hands them on.
+PIECES = 1 << 14
 #: Rows gathered before a task hands them on, and most rows of one anchor looked at together.
 ROWS = 1 << 18
 
@@ -114,15 +116,19 @@ def _settled(kind: int, anchor, cover, doc, place) -> pd.DataFrame:
 
 
 def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Cut the covers of each document's open anchors out of its bytes."""
+    """Cut the covers of each document's open anchors out of its bytes, PIECES of them at a time."""
+    out: list[tuple] = []
     for batch in batches:
-        out = []
         for doc, text, anchors, places in batch.itertuples(index=False):
             for anchor, place in zip(anchors.tolist(), places.tolist(), strict=True):
                 start = place >> 12
                 piece = text[start:start + (place & 63) + LENGTH]
                 if len(piece) >= LENGTH:
                     out.append((anchor, doc, start, piece))
+            if len(out) >= PIECES:
+                yield pd.DataFrame(out, columns=["anchor", "doc", "start", "piece"])
+                out = []
+    if out:
         yield pd.DataFrame(out, columns=["anchor", "doc", "start", "piece"])
 
 
