@@ -6,15 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayspark.operators import scale
-from assayspark.operators.scale import null_safe_join, scratch_folder
+from assayspark.operators.scale import BROADCAST_BYTES, measured, null_safe_join, scratch_folder
 
 __all__ = ["components", "computed", "cut_lineage", "join_small", "null_safe_join", "scratch_folder", "table",
            "words"]
 
 BLANKS = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Largest side that is broadcast, in bytes as counted before the join; beyond it both sides are shuffled.
-BROADCAST_BYTES = 32 << 20
+#: Rows handed to a Python worker at once.
+BATCH_ROWS = 2048
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,10 +44,11 @@ def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
 def join_small(rows: DataFrame, small: DataFrame, on: list[str], how: str = "left", row_bytes: int = 64) -> DataFrame:
     """NULL-safe join with a table that is usually small.
 
-    ``small`` must be cheap to count (a written table). Its rows times ``row_bytes`` decide: up to
+    ``small`` must be cheap to measure (a written table). Its bytes, as measured, and ``row_bytes`` for each row decide: up to
     BROADCAST_BYTES it is broadcast, beyond that Spark shuffles both sides and splits skewed keys.
     """
-    fits = small.count() * row_bytes <= BROADCAST_BYTES
+    n, size = measured(small)
+    fits = size + n * row_bytes <= BROADCAST_BYTES
     return null_safe_join(rows, F.broadcast(small) if fits else small, on, how)
 
 
@@ -60,14 +61,22 @@ def fresh_name(columns: list[str], wanted: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """The rows as a written table in the shared folder; the shuffle files behind it go when it is complete."""
-    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(key)
-    conf.set(key, "true")
+    """The rows as a written table in the shared folder; the shuffle files behind it go when it is complete.
+
+    Python workers meanwhile get batches of BATCH_ROWS rows, as whole texts may be long.
+    """
+    conf, wanted = df.sparkSession.conf, {
+        "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
+    }
+    before = {key: conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        conf.set(key, value)
     try:
         return scale.cut_lineage(df)
     finally:
-        conf.set(key, before)
+        for key, value in before.items():
+            conf.set(key, value)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

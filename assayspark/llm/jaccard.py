@@ -10,8 +10,9 @@ A short list gives its pairs, of which those go that sketches prove dissimilar.
 
 Answers. Pairs and long lists that share a set form a candidate group. Inside it every set's overlaps with the others are derived
 from those of the set before it by the shingles in which the two differ, where these are fewer than its
-own; of each shingle's list, which is ordered by set size, only the positions of possible sizes are read. The set before
-is the next smaller one, not one chosen for its likeness. Groups beyond a number of shingles are cut into portions, compared two at a time.
+own; of each shingle's list, which is ordered by set size, only the positions of possible sizes are read. The sets follow each other
+by size, and sets of one size by their smallest shingle hashes, as those of similar sets mostly agree. Groups beyond a number of
+shingles are cut into bands of sizes and these into portions; portions of a band meet each other and those of the next band.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayspark.llm.common import components, cut_lineage
@@ -228,7 +229,9 @@ def _positions(entries: np.ndarray, tokens: np.ndarray, low: int, n: int) -> np.
 def overlaps_join(sets: list[np.ndarray], side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of the similar pairs: among all sets if their side is 2, across sides 0 and 1 otherwise."""
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    order = np.argsort(sizes, kind="stable")
+    # Neighbours of one size share their smallest hashes if they are similar, so little is left to be derived.
+    sketch = np.array([(s[0], s[min(1, len(s) - 1)]) for s in sets], dtype=np.int64)
+    order = np.lexsort((sketch[:, 1], sketch[:, 0], sizes))
     n, sorted_sizes = len(sets), sizes[order]
     _, flat = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
     ends = np.cumsum(sorted_sizes)
@@ -267,6 +270,8 @@ def _join(percent: int):
     def join(group: pd.DataFrame) -> pd.DataFrame:
         # A row that repeats its doc_id and text brings the set once more; its copies are counted already.
         group = group.drop_duplicates("node")
+        if group["side"].nunique() == 1 and group["side"].iloc[0] != 2:
+            return pd.DataFrame({"node": [], "links": [], "lowest": []}).astype(np.int64)
         sets = [np.asarray(s, dtype=np.int64) for s in group["shingles"]]
         a, b = overlaps_join(sets, group["side"].to_numpy(), percent)
         nodes, copies = group["node"].to_numpy(), group["copies"].to_numpy()
@@ -279,26 +284,67 @@ def _join(percent: int):
 
 
 def _portioned(size: int):
-    """The sets of candidate rows, each as often as portions of its group have to meet."""
+    """The sets of candidate rows, each as often as portions of its group have to meet.
+
+    A row's band of sizes has ``own`` portions, the bands next to it ``down`` and ``up``. Portions of one band meet each other
+    and those of the next band; sets farther apart are not similar.
+    """
 
     def portion(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = shingle_sets(batch["text"].tolist(), size)
-            for row, own in zip(batch.itertuples(index=False), sets, strict=True):
-                if len(own) != row.n or _identity(own) != (row.k1, row.k2):
-                    continue
-                portions = -(-row.tokens // PORTION)
-                drawn = int(mix(np.array([row.k2]).view(np.uint64), 5)[0] % np.uint64(portions))
-                other = np.arange(portions)
-                yield pd.DataFrame({
-                    "component": row.component, "low": np.minimum(other, drawn), "high": np.maximum(other, drawn),
-                    "side": np.where(other == drawn, 2, (other < drawn).astype(int)), "node": row.node,
-                    "copies": row.copies, "shingles": [own.view(np.int64)] * portions,
-                })
+            first = 0
+            for sets in sliced_sets(batch["text"].tolist(), size):
+                part = batch.iloc[first:first + len(sets)]
+                first += len(sets)
+                out = []
+                for row, own in zip(part.itertuples(index=False), sets, strict=True):
+                    if len(own) == row.n and _identity(own) == (row.k1, row.k2):
+                        out += [(row.component, *place, row.node, row.copies, own.view(np.int64)) for place in _meetings(row)]
+                if out:
+                    yield pd.DataFrame(out, columns=[c.split()[0] for c in PORTIONED.split(", ")])
 
     return portion
 
 
+PORTIONED = (
+    "component long, band int, next boolean, low int, high int, side int, node long, copies long, shingles array<long>"
+)
+
+
+def _meetings(row) -> list[tuple]:
+    """(band, whether with the next one, lower portion, higher portion, side) of each meeting of a set."""
+    drawn = int(mix(np.array([row.k2]).view(np.uint64), 5)[0] % np.uint64(row.own))
+    own = [(row.band, False, min(other, drawn), max(other, drawn), 2 if other == drawn else int(other < drawn))
+           for other in range(row.own)]
+    up = [(row.band, True, drawn, other, 0) for other in range(row.up)]
+    down = [(row.band - 1, True, other, drawn, 1) for other in range(row.down)]
+    return own + up + down
+
+
+def _banded(grouped: DataFrame, percent: int) -> DataFrame:
+    """The rows (component, n, ...) of groups of several sets, with their band of sizes and the portions that it and its neighbours have.
+
+    A band spans sizes that differ by ``percent``, so similar sets are in one band or in neighbouring ones. A group that fits one
+    portion is one band.
+    """
+    sums = grouped.groupBy("component").agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("sets"))
+    wide = F.log(F.lit(100.0 / percent)) * (1 + 1e-9)
+    several = grouped.join(sums.filter("sets > 1"), "component")
+    placed = cut_lineage(several.withColumn(
+        "band", F.when(F.col("tokens") <= PORTION, -1).otherwise(F.floor(F.log(F.col("n").cast("double")) / wide)).cast("int")
+    ).drop("tokens", "sets"))
+    bands = placed.groupBy("component", "band").agg(F.ceil(F.sum("n") / PORTION).cast("int").alias("own"))
+    # A component has one row per band here.
+    by_band = Window.partitionBy("component").orderBy("band")
+
+    def beside(step: int) -> Column:
+        there = F.lead("band", step).over(by_band) if step > 0 else F.lag("band", -step).over(by_band)
+        own = F.lead("own", step).over(by_band) if step > 0 else F.lag("own", -step).over(by_band)
+        return F.when(there == F.col("band") + step, own).otherwise(0)
+
+    return placed.join(bands.withColumns({"up": beside(1), "down": beside(-1)}), ["component", "band"])
+
+
 def jaccard_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     """One row per document: doc_id, n_shingles, n_links, component_id.
 
@@ -324,7 +370,8 @@ def jaccard_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
         _index(size, percent, frequent), "key long, owner long"
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = lists.repartitionByRange(parts, "key", "owner").sortWithinPartitions("key", "owner")
+    # Written first: dealing out by range reads its rows twice, once for a sample.
+    dealt = cut_lineage(lists).repartitionByRange(parts, "key", "owner").sortWithinPartitions("key", "owner")
     met = cut_lineage(dealt.mapInPandas(_neighbours, "kind int, a long, b long"))
     ends = met.filter(f"kind = {END}")
     across = ends.join(ends.groupBy("a").agg(F.min("b").alias("first")), "a").select(F.col("first").alias("a"), "b")
@@ -337,14 +384,12 @@ def jaccard_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
     chains = met.filter(f"kind = {CHAIN}").select("a", "b")
     candidates = components(likely.unionByName(chains).unionByName(across))
     grouped = classes.join(candidates.withColumnRenamed("node", "k1"), "k1")
-    sums = grouped.groupBy("component").agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("sets"))
-    wanted = cut_lineage(grouped.join(sums.filter("sets > 1"), "component").drop("sets"))
+    wanted = cut_lineage(_banded(grouped, percent))
     texts = own.join(wanted.withColumn("doc_id", F.col("node")), "doc_id")
-    portions = texts.select("text", "n", "k1", "k2", "component", "tokens", "node", "copies").mapInPandas(
-        _portioned(size),
-        "component long, low long, high long, side long, node long, copies long, shingles array<long>",
-    )
-    found = cut_lineage(portions.groupBy("component", "low", "high").applyInPandas(
+    portions = texts.select(
+        "text", "n", "k1", "k2", "component", "band", "own", "up", "down", "node", "copies"
+    ).mapInPandas(_portioned(size), PORTIONED)
+    found = cut_lineage(portions.groupBy("component", "band", "next", "low", "high").applyInPandas(
         _join(percent), "node long, links long, lowest long"
     ))
     labels = components(found.filter("node != lowest"), "node", "lowest")
