@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from assayspark.llm.common import components, cut_lineage
 from assayspark.llm.groups import linked_lowest
 from assayspark.llm.shingles import mix, shingle_sets, sliced_sets
+from assayspark.operators.scale import release
 
 #: Share of the documents, over all and within a batch, from which a shingle counts as one of many documents. It
 #: steers the work, not the result; at most (shingles per document) / FREQUENT shingles can pass it.
@@ -371,8 +372,10 @@ def jaccard_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Written first: dealing out by range reads its rows twice, once for a sample.
-    dealt = cut_lineage(lists).repartitionByRange(parts, "key", "owner").sortWithinPartitions("key", "owner")
+    index = cut_lineage(lists)
+    dealt = index.repartitionByRange(parts, "key", "owner").sortWithinPartitions("key", "owner")
     met = cut_lineage(dealt.mapInPandas(_neighbours, "kind int, a long, b long"))
+    release(index)
     ends = met.filter(f"kind = {END}")
     across = ends.join(ends.groupBy("a").agg(F.min("b").alias("first")), "a").select(F.col("first").alias("a"), "b")
     sketches = described.filter("kind = 0 and n > 0").groupBy("k1").agg(
