@@ -267,13 +267,20 @@ def overlaps_join(sets: list[np.ndarray], side: np.ndarray, percent: int) -> tup
     return a[wanted], b[wanted]
 
 
-def _join(percent: int):
+def _join(percent: int, size: int):
     def join(group: pd.DataFrame) -> pd.DataFrame:
-        # A row that repeats its doc_id and text brings the set once more; its copies are counted already.
-        group = group.drop_duplicates("node")
         if group["side"].nunique() == 1 and group["side"].iloc[0] != 2:
             return pd.DataFrame({"node": [], "links": [], "lowest": []}).astype(np.int64)
-        sets = [np.asarray(s, dtype=np.int64) for s in group["shingles"]]
+        sets = list(shingle_sets(group["text"].tolist(), size))
+        rows = zip(group["n"], group["k1"], group["k2"], sets, strict=True)
+        # Rows of this doc_id with another text go. One that repeats its doc_id and text brings the set once more; its copies are counted.
+        good = np.array([len(own) == n and _identity(own) == (k1, k2) for n, k1, k2, own in rows])
+        found = np.flatnonzero(good)
+        good[found[group["node"].iloc[found].duplicated().to_numpy()]] = False
+        group = group[good].reset_index(drop=True)
+        sets = [own.view(np.int64) for own, keep in zip(sets, good, strict=True) if keep]
+        if len(sets) < 2:
+            return pd.DataFrame({"node": [], "links": [], "lowest": []}).astype(np.int64)
         a, b = overlaps_join(sets, group["side"].to_numpy(), percent)
         nodes, copies = group["node"].to_numpy(), group["copies"].to_numpy()
         gained = np.bincount(a, copies[b], len(group)) + np.bincount(b, copies[a], len(group))
@@ -284,42 +291,29 @@ def _join(percent: int):
     return join
 
 
-def _portioned(size: int):
-    """The sets of candidate rows, each as often as portions of its group have to meet.
+def meetings(drawn: Column) -> Column:
+    """Array of (band, next, low, high, side): the meetings of a set whose portion of its band is ``drawn``.
 
     A row's band of sizes has ``own`` portions, the bands next to it ``down`` and ``up``. Portions of one band meet each other
     and those of the next band; sets farther apart are not similar.
     """
 
-    def portion(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            first = 0
-            for sets in sliced_sets(batch["text"].tolist(), size):
-                part = batch.iloc[first:first + len(sets)]
-                first += len(sets)
-                out = []
-                for row, own in zip(part.itertuples(index=False), sets, strict=True):
-                    if len(own) == row.n and _identity(own) == (row.k1, row.k2):
-                        out += [(row.component, *place, row.node, row.copies, own.view(np.int64)) for place in _meetings(row)]
-                if out:
-                    yield pd.DataFrame(out, columns=[c.split()[0] for c in PORTIONED.split(", ")])
-
-    return portion
+    def meet(band: Column, following: bool, low: Column, high: Column, side: Column) -> Column:
+        return F.struct(
+            band.cast("int").alias("band"), F.lit(following).alias("next"), low.cast("int").alias("low"),
+            high.cast("int").alias("high"), side.cast("int").alias("side"),
+        )
 
+    def upto(n: str) -> Column:
+        return F.filter(F.sequence(F.lit(0), F.greatest(F.col(n), F.lit(1)) - 1), lambda k: k < F.col(n))
 
-PORTIONED = (
-    "component long, band int, next boolean, low int, high int, side int, node long, copies long, shingles array<long>"
-)
-
-
-def _meetings(row) -> list[tuple]:
-    """(band, whether with the next one, lower portion, higher portion, side) of each meeting of a set."""
-    drawn = int(mix(np.array([row.k2]).view(np.uint64), 5)[0] % np.uint64(row.own))
-    own = [(row.band, False, min(other, drawn), max(other, drawn), 2 if other == drawn else int(other < drawn))
-           for other in range(row.own)]
-    up = [(row.band, True, drawn, other, 0) for other in range(row.up)]
-    down = [(row.band - 1, True, other, drawn, 1) for other in range(row.down)]
-    return own + up + down
+    band = F.col("band")
+    own = F.transform(upto("own"), lambda k: meet(
+        band, False, F.least(k, drawn), F.greatest(k, drawn), F.when(k == drawn, 2).otherwise((k < drawn).cast("int"))
+    ))
+    up = F.transform(upto("up"), lambda k: meet(band, True, drawn, k, F.lit(0)))
+    down = F.transform(upto("down"), lambda k: meet(band - 1, True, k, drawn, F.lit(1)))
+    return F.concat(own, up, down)
 
 
 def _banded(grouped: DataFrame, percent: int) -> DataFrame:
@@ -389,11 +383,13 @@ def jaccard_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
     grouped = classes.join(candidates.withColumnRenamed("node", "k1"), "k1")
     wanted = cut_lineage(_banded(grouped, percent))
     texts = own.join(wanted.withColumn("doc_id", F.col("node")), "doc_id")
-    portions = texts.select(
-        "text", "n", "k1", "k2", "component", "band", "own", "up", "down", "node", "copies"
-    ).mapInPandas(_portioned(size), PORTIONED)
+    drawn = F.pmod(F.xxhash64("k2"), "own").cast("int")
+    # Texts are sent, not their sets: they compress, hashes don't.
+    portions = texts.withColumn("meet", F.explode(meetings(drawn))).select(
+        "component", "meet.*", "node", "copies", "n", "k1", "k2", "text"
+    )
     found = cut_lineage(portions.groupBy("component", "band", "next", "low", "high").applyInPandas(
-        _join(percent), "node long, links long, lowest long"
+        _join(percent, size), "node long, links long, lowest long"
     ))
     labels = components(found.filter("node != lowest"), "node", "lowest")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))

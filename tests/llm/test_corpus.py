@@ -198,22 +198,20 @@ def test_lists_are_read_from_the_least_set():
     assert jaccard._positions(entries, np.array([1]), 0, 5).tolist() == [3, 4, 5]
 
 
-def test_portions_meet_once():
-    from types import SimpleNamespace
-
-    def row(band, own, up, down, k2):
-        return SimpleNamespace(band=band, own=own, up=up, down=down, k2=k2)
-
+def test_portions_meet_once(spark):
     # Two bands of three and two portions: every two portions of one band, and of both, have one meeting; sides tell them apart.
-    rows = [row(4, 3, 2, 0, k) for k in range(40)] + [row(5, 2, 0, 3, 1000 + k) for k in range(40)]
-    places = [[m[:4] for m in jaccard._meetings(r)] for r in rows]
-    for k, a in enumerate(places):
-        assert len(set(a)) == len(a) == (5 if rows[k].band == 4 else 5)
-        for b in places[:k]:
-            assert len(set(a) & set(b)) >= 1
-    for r in rows:
-        for band, following, low, high, side in jaccard._meetings(r):
-            assert side == (int(band != r.band) if following else 2 if low == high else side) and side in (0, 1, 2)
+    rows = [(4, 3, 2, 0, k) for k in range(3)] + [(5, 2, 0, 3, k) for k in range(2)]
+    df = spark.createDataFrame(rows, "band int, own int, up int, down int, drawn int")
+    found = [(r, [tuple(m) for m in r.meet]) for r in df.withColumn("meet", jaccard.meetings(F.col("drawn"))).collect()]
+    for k, (row, own) in enumerate(found):
+        assert len({m[:4] for m in own}) == len(own) == 5
+        for other, theirs in found[:k]:
+            shared = {m[:4] for m in own} & {m[:4] for m in theirs}
+            assert len(shared) == 1
+            sides = {m[4] for m in [*own, *theirs] if m[:4] in shared}
+            assert sides == {0, 1}
+        assert sum(m[4] == 2 for m in own) == 1
+        assert all(m[4] == int(m[0] != row.band) for m in own if m[1])
 
 
 @pytest.mark.parametrize("portion", [150, 2000])
