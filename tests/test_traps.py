@@ -310,3 +310,15 @@ def test_longitudinal_keeps_the_highest_concentration(spark):
     )
     found = longitudinal.longitudinal(rows, "subject_id", ["peptide"], "timepoint", ["-concentration_ug_ml", "condition"])
     assert {r.timepoint: r.concentration_ug_ml for r in found.collect()} == {1: 9.0, 2: 3.0}
+
+
+def test_shares_are_rounded_as_in_sql(spark):
+    """41/640 ends in a 5 at the seventh place as a text, but its double times a million lies below the half."""
+    import duckdb
+
+    from assayspark.plans.queries import plain
+
+    shares = [(k / 640,) for k in range(640)] + [(float("inf"),)]
+    found = plain(spark.createDataFrame(shares, "share double"), binary=True).collect()
+    expected = duckdb.connect().execute("SELECT round(s, 6) FROM (SELECT unnest(?::DOUBLE[]) AS s)", [[s for s, in shares]]).fetchall()
+    assert sorted(r.share for r in found) == sorted(v for v, in expected)
