@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayspark.operators.scale import cut_lineage, placed_rows
+from assayspark.operators.scale import cut_lineage, placed_rows, session_partitions
 
 
 def rank_avg(df: DataFrame, analyte: list[str], value: str, out: str = "rank") -> DataFrame:
@@ -14,7 +14,7 @@ def rank_avg(df: DataFrame, analyte: list[str], value: str, out: str = "rank") -
     The rows get their rank where their slice of the values is, so neither a frequent value nor NULL meets in one task.
     """
     turned = df.withColumn("_turned", -F.col(value))
-    placed = placed_rows(turned.filter(F.col("_turned").isNotNull()), analyte, "_turned")
+    placed = placed_rows(turned.filter(F.col("_turned").isNotNull()), analyte, "_turned", session_partitions(df.sparkSession))
     ranked = placed.select(*df.columns, (F.col("_before") + (F.col("_ties") + 1) / 2).alias(out))
     unranked = turned.filter(F.col("_turned").isNull()).select(*df.columns, F.lit(None).cast("double").alias(out))
     return ranked.unionByName(unranked)

@@ -262,3 +262,11 @@ def test_released_tables_are_gone(spark):
         spark.read.parquet(path).count()
     with pytest.raises(ValueError, match="no table of this application"):
         scale.release(spark.read.parquet("/root/testdata/sf0.001/region.parquet"))
+
+
+def test_windows_over_slices_get_tasks_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(scale, "ROWS_PER_TASK", 100)
+    rows = spark.range(2000).select(F.lit("k").alias("key"), (F.col("id") % 50).cast("double").alias("v"))
+    ranked = ranks.rank_avg(rows, ["key"], "v")
+    assert re.search(r"hashpartitioning\(key#\d+, _slice#\d+, 20\), REPARTITION_BY_NUM", plan(ranked))
+    assert sorted({r["rank"] for r in ranked.collect()}) == [20.5 + 40 * k for k in range(50)]
