@@ -270,3 +270,11 @@ def test_windows_over_slices_get_tasks_by_rows(spark, monkeypatch):
     ranked = ranks.rank_avg(rows, ["key"], "v")
     assert re.search(r"hashpartitioning\(key#\d+, _slice#\d+, 20\), REPARTITION_BY_NUM", plan(ranked))
     assert sorted({r["rank"] for r in ranked.collect()}) == [20.5 + 40 * k for k in range(50)]
+
+
+def test_pairs_are_joined_once_for_all_statistics(spark):
+    """The table of statistics comes from written tables: nothing of the source is read a second time."""
+    from __spark_entry__ import queries
+
+    files = queries()["volcano_flags"](spark, "/root/testdata/sf0.001").inputFiles()
+    assert files and not [f for f in files if "testdata" in f]
