@@ -278,3 +278,8 @@ def test_pairs_are_joined_once_for_all_statistics(spark):
 
     files = queries()["volcano_flags"](spark, "/root/testdata/sf0.001").inputFiles()
     assert files and not [f for f in files if "testdata" in f]
+
+
+def test_tallies_by_factor_are_dealt_before_rows_multiply(spark):
+    df = spark.createDataFrame([("a", "x", "p", 1.0)], "a string, f string, g string, v double")
+    assert re.search(r"Expand[^$]*REPARTITION_BY_NUM", plan(groups._tally_by_factor(df, ["a"], ["f", "g"], "v")))
