@@ -283,3 +283,10 @@ def test_pairs_are_joined_once_for_all_statistics(spark):
 def test_tallies_by_factor_are_dealt_before_rows_multiply(spark):
     df = spark.createDataFrame([("a", "x", "p", 1.0)], "a string, f string, g string, v double")
     assert re.search(r"Expand[^$]*REPARTITION_BY_NUM", plan(groups._tally_by_factor(df, ["a"], ["f", "g"], "v")))
+
+
+def test_followed_subjects_are_dealt_once(spark):
+    from assayspark.plans import tables
+
+    text = plan(tables.followed_subjects(spark, "/root/testdata/sf0.001"))
+    assert re.search(r"REPARTITION_BY_NUM", text) and not re.search(r"hashpartitioning\([^)]*year", text)
