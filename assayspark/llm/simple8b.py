@@ -27,22 +27,30 @@ GROUP = 256
 _COUNTS = np.array([ZEROS, 1] + [SELECTORS[s][0] for s in range(2, 16)], dtype=np.int64)
 
 
+def _runs(fits: np.ndarray, count: int) -> np.ndarray:
+    """Whether ``count`` elements in a row fit, for each place that has as many from it on."""
+    length = 1
+    while 2 * length <= count:
+        fits = fits[:-length] & fits[length:]
+        length *= 2
+    return fits[:length - count] & fits[count - length:] if length < count else fits
+
+
 def _selectors_at(values: np.ndarray) -> np.ndarray:
-    """The selector a word would take if it began at each value: the one that holds most values."""
-    n = len(values)
-    kind = np.int32 if n < 1 << 30 else np.int64
-    place = np.arange(n, dtype=kind)
-    best = np.ones(n, dtype=np.int8)
+    """The selector a word would take if it began at each value: the one that holds most values.
+
+    A word at the end may hold fewer; its other places stay 0.
+    """
+    best = np.ones(len(values), dtype=np.int8)
     for selector, (count, bits) in sorted(SELECTORS.items(), reverse=True):
-        too_wide = np.where(values >= np.uint64(1 << bits), place, kind(n + count))
-        reach = np.minimum.accumulate(too_wide[::-1])[::-1] - place
-        fits = reach >= count
+        narrow = np.ones(len(values) + count - 1, dtype=bool)
+        np.less(values, np.uint64(1 << bits), out=narrow[:len(values)])
+        fits = _runs(narrow, count)
         if not fits.any():
             break
-        best[fits] = selector
-    filled = np.where(values != 0, place, kind(n))
-    reach = np.minimum.accumulate(filled[::-1])[::-1] - place
-    best[reach >= ZEROS] = 0
+        np.copyto(best, np.int8(selector), where=fits)
+    zeros = _runs(values == 0, ZEROS)
+    best[:len(zeros)][zeros] = 0
     return best
 
 
