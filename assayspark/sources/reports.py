@@ -95,6 +95,16 @@ def _typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items() if c in df.columns and t != "string"})
 
 
+def _headers(spark: SparkSession, path: str, names: list[str]) -> list[str]:
+    """The headers as written, for the names Spark gives: it adds the place to headers that are equal but for case."""
+    bare = [c.removesuffix(str(k)) for k, c in enumerate(names)]
+    folded = [c.lower() for c in bare]
+    if not any(b != c and folded.count(b.lower()) > 1 for b, c in zip(bare, names, strict=True)):
+        return names
+    first = spark.read.csv(path).first()
+    return [h if h and c == f"{h}{k}" else c for k, (h, c) in enumerate(zip(first, names, strict=True))]
+
+
 def read_report(
     spark: SparkSession, path: str, dialect: str = "multiset", blank_as_null: bool = False
 ) -> DataFrame:
@@ -114,8 +124,10 @@ def read_report(
     )
     mapping = DIALECTS[dialect]
     own = [*mapping.values(), "row_id"]
-    extra = [c for c in raw.columns if _dotted(c) not in mapping and c not in own]
-    named = normalise_columns(placed.select(*[F.col(f"`{c}`") for c in placed.columns if c in extra or _dotted(c) in mapping or c == "row_id"]), mapping)
+    headers = dict(zip(raw.columns, _headers(spark, path, raw.columns), strict=True))
+    extra = [c for c, h in headers.items() if _dotted(h) not in mapping and h.lower() not in own]
+    kept = [F.col(f"`{c}`").alias(c if c in extra else h) for c, h in headers.items() if c in extra or _dotted(h) in mapping]
+    named = normalise_columns(placed.select(*kept, "row_id"), mapping)
     named = named.select(*own, *[F.col(f"`{c}`") for c in extra])
     typed = _typed(named, TYPES)
     if not blank_as_null:

@@ -55,6 +55,20 @@ def test_report_keeps_other_columns(spark, files):
     assert report.filter("area IS NULL").count() == plain.filter("area IS NULL").count()
 
 
+def test_headers_equal_but_for_case(spark, files):
+    """Spark numbers such headers by place; a header that ends in its place by itself stays."""
+    with open(files["report"]) as file:
+        lines = file.read().splitlines()
+    path = files["report"].replace("/report.csv", "/cases.csv")
+    n = len(lines[0].split(","))
+    with open(path, "w") as file:
+        file.write("\n".join([f"{lines[0]},AREA,Note,Mark{n + 2},note"] + [f"{x},none,a,b,c" for x in lines[1:]]) + "\n")
+    report = reports.read_report(spark, path)
+    plain = reports.read_report(spark, files["report"])
+    assert report.columns == [*plain.columns, f"Note{n + 1}", f"Mark{n + 2}", f"note{n + 3}"]
+    assert report.filter("area IS NULL").count() == plain.filter("area IS NULL").count()
+
+
 def test_report_types_and_missing_marker(spark, files):
     report = reports.read_report(spark, files["report"])
     assert dict(report.dtypes)["area"] == "double" and dict(report.dtypes)["precursor_charge"] == "int"
