@@ -3,6 +3,7 @@
 Index. The hash order of the shingles is cut into blocks by position, as many that two similar sets must
 agree on a whole block: with t the least similarity, similar sets of which the smaller has s shingles
 differ in at most s(1-t)/t. The index has one list per block content, so a probe skips every block that isn't equal.
+A set is in the lists of its fullest blocks only, one more of them than can differ.
 Shingles of many documents are left out of the blocks where enough others remain; a set for which they don't remain gets
 blocks of all its shingles as well, and, if those are still too few, its empty blocks. So no link is lost.
 
@@ -24,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayspark.llm.common import components, cut_lineage
+from assayspark.llm.common import components, cut_lineage, join_small
 from assayspark.llm.groups import linked_lowest
 from assayspark.llm.shingles import mix, shingle_sets, sliced_sets
 from assayspark.operators.scale import release
@@ -41,14 +42,11 @@ PORTION = 200_000
 
 def _levels(percent: int) -> np.ndarray:
     """Largest set size of each level."""
-    sizes = [1]
-    while sizes[-1] < 1 << 40:
-        sizes.append(max(sizes[-1] + 1, sizes[-1] * 3 // 2))
-    return np.array(sizes, dtype=np.int64)
+    return 1 << np.arange(41, dtype=np.int64)
 
 
 def _most_apart(size: int, percent: int) -> int:
-    """Most shingles by which a set of this size and a similar one can differ."""
+    """Most shingles by which a set of this size and a similar one that is not smaller can differ."""
     return size * (100 - percent) // percent
 
 
@@ -58,29 +56,35 @@ def _blocks_of(level_size: int, percent: int) -> int:
 
 
 def _block_keys(own: np.ndarray, rare: np.ndarray, percent: int, levels: np.ndarray) -> np.ndarray:
-    """Keys of the lists that a set is in."""
+    """Keys of the lists that a set is in.
+
+    Two similar sets meet at the level of the smaller one, where each has at most ``need - 1`` blocks that the other has not. So of its
+    blocks in one order, which depends on their contents alone, the first ``need`` suffice: the first common one is among them. Blocks
+    of many shingles come first, as they are equal by chance least often.
+    """
     n = len(own)
     smallest = -(-n * percent // 100)
     scrambled, weights = mix(own, 7), mix(own, 8)
-    need = _most_apart(n, percent) + 1
     keys = []
     for level in range(int(np.searchsorted(levels, smallest)), int(np.searchsorted(levels, n)) + 1):
         blocks = _blocks_of(int(levels[level]), percent)
+        need = _most_apart(min(n, int(levels[level])), percent) + 1
         place = ((scrambled >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
 
-        def contents(chosen: np.ndarray, kind: int, place=place, blocks=blocks, level=level) -> np.ndarray:
+        def contents(chosen: np.ndarray, kind: int, place=place, blocks=blocks, level=level, need=need) -> tuple[int, np.ndarray]:
+            counts = np.bincount(place[chosen], minlength=blocks)
             sums = np.zeros(blocks, dtype=np.uint64)
             np.add.at(sums, place[chosen], weights[chosen])
-            used = np.zeros(blocks, dtype=bool)
-            used[place[chosen]] = True
+            used = np.flatnonzero(counts)
             named = np.arange(blocks, dtype=np.uint64) + np.uint64((level * 4 + kind) << 44)
-            keys.append(mix(sums[used] + mix(named[used])))
-            return named[~used]
-
-        if blocks - len(contents(rare, 0)) < need:
-            empty = contents(np.ones(n, dtype=bool), 1)
-            if blocks - len(empty) < need:
-                keys.append(mix(mix(empty + np.uint64(1 << 44))))
+            found = mix(sums[used] + mix(named[used]))
+            keys.append(found[np.lexsort((found, -counts[used]))[:need]] if len(used) > need else found)
+            return len(used), named[counts == 0]
+
+        if contents(rare, 0)[0] < need:
+            used, empty = contents(np.ones(n, dtype=bool), 1)
+            if used < need:
+                keys.append(mix(mix(empty[:need - used] + np.uint64(1 << 44))))
     return np.concatenate(keys).view(np.int64)
 
 
@@ -382,7 +386,9 @@ def jaccard_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
     candidates = components(likely.unionByName(chains).unionByName(across))
     grouped = classes.join(candidates.withColumnRenamed("node", "k1"), "k1")
     wanted = cut_lineage(_banded(grouped, percent))
-    texts = own.join(wanted.withColumn("doc_id", F.col("node")), "doc_id")
+    # Few texts are wanted, so the others are left where they are as long as the wanted ids can be broadcast.
+    near = join_small(own, wanted.select(F.col("node").alias("doc_id")), ["doc_id"], "left_semi", 16)
+    texts = near.join(wanted.withColumn("doc_id", F.col("node")), "doc_id")
     drawn = F.pmod(F.xxhash64("k2"), "own").cast("int")
     # Texts are sent, not their sets: they compress, hashes don't.
     portions = texts.withColumn("meet", F.explode(meetings(drawn))).select(

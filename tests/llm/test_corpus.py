@@ -179,6 +179,29 @@ def test_repeated_rows_count_once_each(documents):
     assert sorted((r.doc_id or 0, r.n_links, r.component_id) for r in found) == [(0, 0, None), (1, 3, 1), (1, 3, 1), (2, 3, 1), (3, 3, 1)]
 
 
+@pytest.mark.parametrize("percent", [60, 80, 90, 100])
+def test_similar_sets_share_one_of_few_keys(percent):
+    draw, levels = np.random.default_rng(percent), jaccard._levels(percent)
+    for size in [1, 2, 3, 4, 5, 7, 8, 9, 16, 17, 31, 32, 33, 60, 64, 65, 130, 300, 346, 513, 1100] * 4:
+        most = jaccard._most_apart(size, percent)
+        pool = np.unique(draw.integers(1, 1 << 62, size + most + 20).astype(np.uint64))
+        draw.shuffle(pool)
+        often = pool[draw.random(len(pool)) < draw.choice([0, 0.3, 0.9])]
+        one, spare = pool[:size], pool[size:]
+        lost = int(draw.integers(0, most + 1))
+        for gone, new in [(0, most), (lost // 2, lost - lost // 2), (lost, 0)]:
+            two = np.concatenate([one[gone:], spare[:new]])
+            keys = []
+            for own in (np.sort(one), np.sort(two)):
+                keys.append(jaccard._block_keys(own, ~np.isin(own, often), percent, levels))
+                met = np.searchsorted(levels, len(own)) - np.searchsorted(levels, -(-len(own) * percent // 100)) + 1
+                # A set gives one block more than can differ, twice that where its rare shingles fill too few.
+                fills = percent >= 80 and size >= 60 and not len(often)
+                assert len(keys[-1]) <= met * (jaccard._most_apart(len(own), percent) + 1) * (1 if fills else 2)
+            if 100 * (size - gone) >= percent * (size + new):
+                assert np.intersect1d(*keys).size
+
+
 def test_overlaps_across_two_portions():
     draw = np.random.default_rng(1)
     sets = [np.unique(draw.integers(0, 60, draw.integers(5, 50))) for _ in range(60)]
