@@ -28,6 +28,8 @@ BLOCK = 512
 PIECES = 1 << 14
 #: Rows gathered before a task hands them on, and most rows of one anchor looked at together.
 ROWS = 1 << 18
+#: Rows of covers that a task settles at once; it gets fewer at a time.
+GATHERED = 1 << 15
 
 
 def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -64,10 +66,7 @@ def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """
     state: dict = {"forced": set(), "run": None, "first": None}
     held: list[np.ndarray] | None = None
-    for batch in batches:
-        if not len(batch):
-            continue
-        new = [batch[c].to_numpy() for c in ("anchor", "cover", "doc", "place")]
+    for new in _gathered(batches):
         if held is None:
             state["first"] = (new[0][0], new[1][0])
             state["forced"].add(new[0][0])
@@ -87,6 +86,21 @@ def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield _settled(EDGE, *(np.array([x]) for x in (*state["run"], 0)))
 
 
+def _gathered(batches: Iterator[pd.DataFrame]) -> Iterator[list[np.ndarray]]:
+    """The columns of several batches, GATHERED rows or more but for the last."""
+    parts: list[list[np.ndarray]] = []
+    size = 0
+    for batch in batches:
+        if len(batch):
+            parts.append([batch[c].to_numpy() for c in ("anchor", "cover", "doc", "place")])
+            size += len(batch)
+        if size >= GATHERED:
+            yield [np.concatenate(c) for c in zip(*parts, strict=True)]
+            parts, size = [], 0
+    if parts:
+        yield [np.concatenate(c) for c in zip(*parts, strict=True)]
+
+
 def _settle_part(rows: list[np.ndarray], state: dict) -> Iterator[pd.DataFrame]:
     anchor, cover, doc, place = rows
     if not len(doc):
@@ -98,7 +112,8 @@ def _settle_part(rows: list[np.ndarray], state: dict) -> Iterator[pd.DataFrame]:
         leaders[0] = state["run"][2]
     leader = leaders[np.cumsum(new_run) - 1]
     covered = doc > leader
-    yield _settled(COVERED, *(c[covered] for c in rows))
+    # Their place is all that is asked of them later; zeros take no room.
+    yield _settled(COVERED, 0, 0, doc[covered], place[covered])
     in_first = (anchor == state["first"][0]) & (cover == state["first"][1]) & ~covered
     yield _settled(FIRST_RUN, *(c[in_first] for c in rows))
     group, starts = np.cumsum(new_anchor) - 1, np.flatnonzero(new_anchor)
@@ -169,7 +184,7 @@ def _by_anchor(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list[tuple], b
 
 
 def _block(rows: list[tuple], cut: set[int]) -> pd.DataFrame:
-    """Equal windows of the block's covers, from the suffix array of those covers that share a window hash."""
+    """Equal windows of the block's covers, from the suffix array of those stretches that share window hashes."""
     pieces = [r[3] for r in rows]
     sizes = np.array([len(p) for p in pieces])
     ends = np.cumsum(sizes)
@@ -185,10 +200,15 @@ def _block(rows: list[tuple], cut: set[int]) -> pd.DataFrame:
     own = docs[owner[order]]
     shared = np.minimum.reduceat(own, edge) < np.maximum.reduceat(own, edge)
     hits = np.repeat(shared, np.diff(np.append(edge, len(order))))
-    chosen = np.unique(owner[order][hits])
+    at = np.sort(order[hits])
+    chosen, first = np.unique(owner[at], return_index=True)
     if len(chosen):
-        gone_starts = _equal_windows([pieces[i] for i in chosen], docs[chosen])
-        gone[(ends - sizes)[chosen[gone_starts[0]]] + gone_starts[1]] = True
+        # Of each such cover the bytes from its first to its last shared window.
+        low = starts[at[first]]
+        high = starts[at[np.append(first[1:], len(at)) - 1]] + LENGTH
+        text = joined.tobytes()
+        piece, offset = _equal_windows([text[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True)], docs[chosen])
+        gone[low[piece] + offset] = True
     return _found_rows(rows, ends - sizes, row_of, starts, gone, keys, joined, cut)
 
 
@@ -262,13 +282,13 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
     edge = settled.filter(f"kind = {EDGE}").groupBy("anchor", "cover").agg(F.min("doc").alias("leader"))
     first = settled.filter(f"kind = {FIRST_RUN}").join(edge, ["anchor", "cover"])
     columns = ["anchor", "doc", "place"]
-    whole = settled.filter(f"kind = {COVERED}").select(*columns).unionByName(
-        first.filter("doc > leader").select(*columns)
+    whole = settled.filter(f"kind = {COVERED}").select("doc", "place").unionByName(
+        first.filter("doc > leader").select("doc", "place")
     )
     opened = settled.filter(f"kind = {OPEN}").select(*columns).unionByName(
         first.filter("doc <= leader").select(*columns)
     )
-    listed = opened.distinct().groupBy("doc").agg(F.collect_list(F.struct("anchor", "place")).alias("open"))
+    listed = opened.groupBy("doc").agg(F.collect_set(F.struct("anchor", "place")).alias("open"))
     with_text = texts.join(listed, "doc").select("doc", "text", "open.anchor", "open.place")
     pieces = cut_lineage(with_text.mapInPandas(_contexts, "anchor long, doc long, start long, piece binary"))
     met = pieces.repartitionByRange(parts, "anchor", "piece").sortWithinPartitions("anchor", "piece")

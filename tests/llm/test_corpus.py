@@ -11,6 +11,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -252,6 +253,19 @@ def test_groups_in_bands_and_portions(documents, monkeypatch, portion):
         assert (r.n_links, r.component_id) == (count[r.doc_id], groups[r.doc_id])
 
 
+def test_covers_are_settled_many_at_a_time():
+    draw = np.random.default_rng(5)
+    rows = pd.DataFrame({c: draw.integers(0, n, 30_000) for c, n in [("anchor", 4000), ("cover", 3), ("doc", 50), ("place", 1 << 20)]})
+    rows = rows.sort_values(["anchor", "cover", "doc", "place"], ignore_index=True)
+    once = pd.concat(bytespans._settle(iter([rows])))
+    parts = list(bytespans._settle(rows.iloc[k:k + 2048] for k in range(0, len(rows), 2048)))
+    assert sum(len(p) > 0 for p in parts) <= 8
+    columns = list(once.columns)
+    assert pd.concat(parts).sort_values(columns, ignore_index=True).equals(once.sort_values(columns, ignore_index=True))
+    leader = rows.groupby(["anchor", "cover"])["doc"].transform("min")
+    assert (once["kind"] == bytespans.COVERED).sum() == (rows["doc"] > leader).sum()
+
+
 def test_simple8b_round_trip():
     draw = np.random.default_rng(0)
     for values in ([], [0] * 1000, [1] * 61, draw.integers(0, 50_000, 9999), [2**64 - 1, 5, 2**60, 2**60 - 1, 0], [2**31] * 7):
