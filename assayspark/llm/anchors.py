@@ -17,6 +17,8 @@ LENGTH = 50
 GRAM = 18
 #: Bytes handled at once; longer texts are taken in overlapping parts.
 PART = 1 << 18
+#: Bytes of shorter texts that are handled together.
+JOINED = 1 << 15
 _BASE = 0xA0761D6478BD642F
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _PLACE_BITS = 24
@@ -73,13 +75,35 @@ def text_anchors(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.
         part = data[at:at + PART + LENGTH - 1]
         if len(part) < LENGTH:
             return
-        sums = _sums(part)
-        grams = mix(_every_hash(sums, GRAM), 3)
-        place = np.arange(len(grams), dtype=np.uint64)
-        mask = np.uint64((1 << _PLACE_BITS) - 1)
-        best = _least_in_window((grams & ~mask) | place, LENGTH - GRAM + 1) & mask
-        first = np.flatnonzero(np.concatenate([[True], best[1:] != best[:-1]]))
-        extra = np.diff(np.append(first, len(best))) - 1
-        cover = mix(_hashes(sums, first, extra + LENGTH) ^ (extra.astype(np.uint64) << np.uint64(57)), 4)
-        place = best[first].astype(np.int64)
-        yield grams[place], cover, first + at, (place - first) * 64 + extra
+        anchor, cover, first, shape = _anchors_of(part, np.arange(len(part) - LENGTH + 1))
+        yield anchor, cover, first + at, shape
+
+
+def joined_anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Place of the text and what ``text_anchors`` gives, for texts that are a part together."""
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    begins = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(texts)), np.maximum(sizes - LENGTH + 1, 0))
+    counts = np.maximum(sizes - LENGTH + 1, 0)
+    starts = np.arange(len(owner)) + np.repeat(begins - (np.cumsum(counts) - counts), counts)
+    if not len(starts):
+        none = np.zeros(0, dtype=np.int64)
+        return none, none.view(np.uint64), none.view(np.uint64), none, none
+    anchor, cover, first, shape = _anchors_of(np.frombuffer(b"".join(texts), dtype=np.uint8), starts)
+    text = np.searchsorted(begins, first, side="right") - 1
+    return text, anchor, cover, first - begins[text], shape
+
+
+def _anchors_of(part: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of the windows at these starts; two windows of one anchor have all starts between them."""
+    sums = _sums(part)
+    grams = mix(_every_hash(sums, GRAM), 3)
+    place = np.arange(len(grams), dtype=np.uint64)
+    mask = np.uint64((1 << _PLACE_BITS) - 1)
+    best = (_least_in_window((grams & ~mask) | place, LENGTH - GRAM + 1) & mask)[starts]
+    edge = np.flatnonzero(np.concatenate([[True], best[1:] != best[:-1]]))
+    first = starts[edge]
+    extra = np.diff(np.append(edge, len(best))) - 1
+    cover = mix(_hashes(sums, first, extra + LENGTH) ^ (extra.astype(np.uint64) << np.uint64(57)), 4)
+    place = best[edge].astype(np.int64)
+    return grams[place], cover, first, (place - first) * 64 + extra

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayspark.llm.anchors import LENGTH, text_anchors, window_hashes
+from assayspark.llm.anchors import JOINED, LENGTH, joined_anchors, text_anchors, window_hashes
 from assayspark.llm.common import cut_lineage
 from assayspark.llm.lyndon import suffix_array
 
@@ -36,10 +36,15 @@ def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held: list[tuple] = []
     size = 0
     for batch in batches:
-        for doc, text in batch.itertuples(index=False):
-            for anchor, cover, first, shape in text_anchors(np.frombuffer(text, dtype=np.uint8)):
-                held.append((anchor, cover, np.full(len(first), doc), first * 4096 + shape))
-                size += len(first)
+        for docs, texts in _few_bytes(batch):
+            if len(texts) > 1:
+                text, anchor, cover, first, shape = joined_anchors(texts)
+                found = [(anchor, cover, docs[text], first * 4096 + shape)]
+            else:
+                parts = text_anchors(np.frombuffer(texts[0], dtype=np.uint8))
+                found = [(a, c, np.full(len(first), docs[0]), first * 4096 + shape) for a, c, first, shape in parts]
+            held += found
+            size += sum(len(f[0]) for f in found)
             if size >= ROWS:
                 yield _anchor_rows(held)
                 held, size = [], 0
@@ -47,6 +52,18 @@ def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield _anchor_rows(held)
 
 
+def _few_bytes(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """Neighbouring rows whose texts have JOINED bytes together, or single ones."""
+    docs, texts = batch["doc"].to_numpy(), batch["text"].tolist()
+    ends = np.cumsum([len(t) for t in texts])
+    at = 0
+    while at < len(texts):
+        before = ends[at] - len(texts[at])
+        after = max(at + 1, int(np.searchsorted(ends, before + JOINED, side="right")))
+        yield docs[at:after], texts[at:after]
+        at = after
+
+
 def _anchor_rows(held: list[tuple]) -> pd.DataFrame:
     anchor, cover, doc, place = (np.concatenate(c) for c in zip(*held, strict=True))
     return pd.DataFrame({"anchor": anchor.view(np.int64), "cover": cover.view(np.int64), "doc": doc, "place": place})

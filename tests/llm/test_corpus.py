@@ -16,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from assayspark.llm import bytespans, jaccard, langid, simple8b, unigram
+from assayspark.llm import anchors, bytespans, jaccard, langid, simple8b, unigram
 from assayspark.llm.bytespans import strip_repeats
 from assayspark.llm.common import components
 from assayspark.llm.decontaminate import leaked_documents, without_leaks
@@ -266,6 +266,16 @@ def test_covers_are_settled_many_at_a_time():
     assert (once["kind"] == bytespans.COVERED).sum() == (rows["doc"] > leader).sum()
 
 
+def test_joined_texts_have_their_own_anchors():
+    draw = random.Random(4)
+    texts = [bytes(draw.choices(b"ab c", k=draw.choice([0, 1, 49, 50, 51, 90, 700]))) for _ in range(80)]
+    text, *found = anchors.joined_anchors(texts)
+    for k, own in enumerate(texts):
+        alone = list(anchors.text_anchors(np.frombuffer(own, dtype=np.uint8)))
+        for at, column in enumerate(found):
+            assert column[text == k].tolist() == [x for part in alone for x in part[at].tolist()]
+
+
 def test_simple8b_round_trip():
     draw = np.random.default_rng(0)
     for values in ([], [0] * 1000, [1] * 61, draw.integers(0, 50_000, 9999), [2**64 - 1, 5, 2**60, 2**60 - 1, 0], [2**31] * 7):
