@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,8 @@ BLANKS = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Rows handed to a Python worker at once.
 BATCH_ROWS = 2048
+#: The operator whose tasks this Python worker ran last, and what gives back its memory.
+_worker: tuple[str, Callable[[], None]] = ("", lambda: None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,23 +65,41 @@ def fresh_name(columns: list[str], wanted: str) -> str:
     return wanted
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """The rows as a written table in the shared folder; the shuffle files behind it go when it is complete.
+def take_worker(operator: str, forget: Callable[[], None] = lambda: None) -> None:
+    """Say in a Python worker, at the start of a task, whose it is; ``forget`` gives back what the task leaves for those after it.
 
-    Python workers meanwhile get batches of BATCH_ROWS rows, as whole texts may be long.
+    Spark goes on using its workers, so what an operator remembers between its tasks goes when another operator's begin.
     """
-    conf, wanted = df.sparkSession.conf, {
-        "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-        "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
-    }
-    before = {key: conf.get(key) for key in wanted}
+    global _worker
+    if _worker[0] != operator:
+        _worker[1]()
+    _worker = operator, forget
+
+
+@contextmanager
+def _with_conf(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key) for key in wanted}
     for key, value in wanted.items():
-        conf.set(key, value)
+        spark.conf.set(key, value)
     try:
-        return scale.cut_lineage(df)
+        yield
     finally:
         for key, value in before.items():
-            conf.set(key, value)
+            spark.conf.set(key, value)
+
+
+def small_batches(spark: SparkSession):
+    """Meanwhile Python workers get batches of BATCH_ROWS rows, as whole texts may be long."""
+    return _with_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)})
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The rows as a written table in the shared folder, handed to Python workers in small batches; the shuffle files behind it go when
+    it is complete.
+    """
+    spark = df.sparkSession
+    with small_batches(spark), _with_conf(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        return scale.cut_lineage(df)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayspark.llm.common import components, cut_lineage, join_small
+from assayspark.llm.common import components, cut_lineage, join_small, take_worker
 from assayspark.llm.groups import linked_lowest
 from assayspark.llm.shingles import mix, shingle_sets, sliced_sets
 from assayspark.operators.scale import release
@@ -96,6 +96,7 @@ def _describe(size: int):
     """Per document its set's size and identity (``kind`` 0); per batch the frequent shingles (``kind`` 1)."""
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        take_worker(__name__)
         for batch in batches:
             held, first = [], 0
             for sets in sliced_sets(batch["text"].tolist(), size):
@@ -123,6 +124,7 @@ def _describe(size: int):
 
 def _index(size: int, percent: int, frequent: np.ndarray):
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        take_worker(__name__)
         levels = _levels(percent)
         for batch in batches:
             for sets in sliced_sets(batch["text"].tolist(), size):

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayspark.llm.common import cut_lineage, fresh_name
+from assayspark.llm.common import cut_lineage, fresh_name, take_worker
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -25,14 +25,15 @@ MEMORY = 20_000
 _OTHER = re.compile(r"[\W\d_]+")
 _letters: dict[str, np.ndarray] = {}
 _rows: dict[int, int] = {}
-_vectors = np.zeros((0, DIMENSIONS), dtype=np.float32)
+#: One byte a component, as they are +1 and -1: a full memory takes 20 MB.
+_vectors = np.zeros((0, DIMENSIONS), dtype=np.int8)
 
 
 def letter_vector(letter: str) -> np.ndarray:
     """The letter's random vector; it depends on its code point alone."""
     if letter not in _letters:
         draw = np.random.Generator(np.random.Philox(key=ord(letter))).integers(0, 2, DIMENSIONS)
-        _letters[letter] = (2 * draw - 1).astype(np.float32)
+        _letters[letter] = (2 * draw - 1).astype(np.int8)
     return _letters[letter]
 
 
@@ -53,7 +54,7 @@ def _gram_rows(keys: list[int]) -> list[int]:
         _letters.clear()
         missing = keys
     if len(_rows) + len(missing) > len(_vectors):
-        larger = np.zeros((min(MEMORY, 2 * (len(_rows) + len(missing))), DIMENSIONS), dtype=np.float32)
+        larger = np.zeros((min(MEMORY, 2 * (len(_rows) + len(missing))), DIMENSIONS), dtype=np.int8)
         larger[:len(_vectors)] = _vectors
         _vectors = larger
     for key in missing:
@@ -68,7 +69,7 @@ def _forget() -> None:
     global _vectors
     _rows.clear()
     _letters.clear()
-    _vectors = np.zeros((0, DIMENSIONS), dtype=np.float32)
+    _vectors = np.zeros((0, DIMENSIONS), dtype=np.int8)
 
 
 def normalised(text: str | None) -> str:
@@ -91,7 +92,7 @@ def text_vector(text: str | None) -> np.ndarray | None:
     total = np.zeros(DIMENSIONS, dtype=np.float64)
     for at in range(0, len(found), 1024):
         rows = _gram_rows(found[at:at + 1024].tolist())
-        total += counts[at:at + 1024].astype(np.float32) @ _vectors[rows]
+        total += counts[at:at + 1024].astype(np.float32) @ _vectors[rows].astype(np.float32)
     return total
 
 
@@ -111,6 +112,7 @@ def language_prototypes(labelled: DataFrame, text: str = "text", lang: str = "la
 
 
 def _bundle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    take_worker(__name__)
     sums: dict[str, np.ndarray] = {}
     for batch in batches:
         for text, lang in batch.itertuples(index=False):
@@ -136,6 +138,7 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "te
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        take_worker(__name__)
         try:
             for texts in batches:
                 yield pd.DataFrame([_nearest(t, names, matrix) for t in texts], columns=["lang_pred", "score"])

@@ -20,15 +20,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from assayspark.llm import simple8b
-from assayspark.llm.common import join_small
+from assayspark.llm.common import join_small, small_batches, take_worker
 
 BLOCK_IDS = 1 << 16
 #: Words whose ids a worker remembers, about 60 bytes each; when full it starts anew. Results don't depend on it.
 MEMORY = 1_200_000
 #: Unknown words encoded in one call.
 TOGETHER = 256
-#: Documents split into words at a time within a task.
-DOCS_AT_ONCE = 4096
+#: Documents split into words at a time within a task; the arrays of their words take some 20 times the text.
+DOCS_AT_ONCE = 512
 WORD_END = "</w>"
 #: Two keys give the two halves of a word's hash.
 HASH_KEYS = ("token words one.", "token words two.")
@@ -167,7 +167,8 @@ def write_token_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     parts = _parts(docs.sparkSession)
     dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     blocks = dealt.withColumn("shard", F.spark_partition_id()).mapInArrow(_writer(tokenizer, end_id), BLOCK_SCHEMA)
-    blocks.write.mode("overwrite").parquet(path)
+    with small_batches(docs.sparkSession):
+        blocks.write.mode("overwrite").parquet(path)
 
 
 def _parts(spark: SparkSession) -> int:
@@ -186,6 +187,7 @@ def _writer(tokenizer: str, end_id: int):
         )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_worker(__name__, _workers.clear)
         own = coder(tokenizer)
         shard, number, first, held, unnamed, ids, texts = 0, 0, 0, 0, 0, [], []
         for batch in batches:
